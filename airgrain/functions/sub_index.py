@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,15 @@ def sub_index(col: Column, bands: Sequence[tuple], scale: bool = False) -> Colum
     ``scale=True`` gives the linear index of the band instead. The first band wins where two
     bands share a bound; values between bands or above the last one have no index.
     """
-    result: Column | None = None
-    for (low, high), (index_low, index_high) in zip(bands, INDEX_RANGES, strict=True):
-        slope = (index_high - index_low) / (high - low)
-        value = F.lit(slope) * (col - F.lit(float(low))) + F.lit(float(index_low)) if scale else col
-        inside = col.between(F.lit(float(low)), F.lit(float(high)))
-        result = F.when(inside, value) if result is None else result.when(inside, value)
+    spans = [(F.lit(float(low)), F.lit(float(high))) for low, high in bands]
+    if not scale:
+        # one test for all bands keeps the generated code small
+        return F.when(reduce(Column.__or__, [col.between(*span) for span in spans]), col)
+    result = F
+    for (low, high), (first, last), span in zip(bands, INDEX_RANGES, spans, strict=True):
+        slope = (last - first) / (high - low)
+        index = F.lit(slope) * (col - span[0]) + F.lit(float(first))
+        result = result.when(col.between(*span), index)
     return result
 
 

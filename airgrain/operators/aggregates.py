@@ -72,46 +72,42 @@ def refresh_average(
     if stored is not None:
         kept = stored.select(*keys, *values, *text).withColumn("_origin", F.lit(0))
         rows = rows.unionByName(kept, allowMissingColumns=True)
-    rank = ["_origin", *order]
-    firsts = [first_known(c, rank).alias(c) for c in text]
-
     if mode == "true_mean" or batch == "together":
+        firsts = [first_known(c, ["_origin", *order]).alias(c) for c in text]
         source = rows.where(F.col("_origin") == 1) if mode == "true_mean" else rows
         return source.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in values], *firsts)
 
     run = ["_origin", SEG]
-    backwards = (
-        Window.partitionBy(*keys, *run)
-        .orderBy(*[F.col(c).desc() for c in order])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # per run: known values, their sum weighted from the run's end, and the run's first value
-    weighted = rows.withColumns({f"_k_{c}": F.count(c).over(backwards) for c in values})
-    rank_value = F.struct(*rank)
-    runs = weighted.groupBy(*keys, *run).agg(
+    backwards = Window.partitionBy(*keys, *run).orderBy(*[F.col(c).desc() for c in order])
+    to_end = backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # per run: known values, their sum weighted from the run's end, and the run's first value,
+    # which is the one with the most known values from it to the end
+    counted = rows.withColumns({f"_k_{c}": F.count(c).over(to_end) for c in values})
+    if text:
+        counted = counted.withColumn("_rn", F.row_number().over(backwards))
+    runs = counted.groupBy(*keys, *run).agg(
         *[F.count(c).alias(f"_n_{c}") for c in values],
         *[F.sum(F.col(c) * F.pow(F.lit(0.5), F.col(f"_k_{c}"))).alias(f"_s_{c}") for c in values],
-        *[first_known(c, rank).alias(f"_f_{c}") for c in values],
-        *firsts,
-        F.min(rank_value).alias("_rank"),
-    )
-    later = (
-        Window.partitionBy(*keys)
-        .orderBy(*[F.col(c).desc() for c in run])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    runs = runs.withColumns(
-        {f"_a_{c}": F.coalesce(F.sum(f"_n_{c}").over(later), F.lit(0)) for c in values}
+        *[_at_largest(c, f"_k_{c}").alias(f"_f_{c}") for c in values],
+        *[_at_largest(c, "_rn").alias(c) for c in text],
     )
+    last_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in run])
+    later = last_first.rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumns({
+        "_run": F.row_number().over(last_first),
+        **{f"_a_{c}": F.coalesce(F.sum(f"_n_{c}").over(later), F.lit(0)) for c in values},
+    })
 
     def combined(c: str) -> Column:
-        known = F.col(f"_n_{c}") > 0
         total = F.sum(F.col(f"_s_{c}") * F.pow(F.lit(0.5), F.col(f"_a_{c}")))
         # x1 weighs as much as x2, so it is added once more with the weight it already has
-        first = F.min_by(F.col(f"_f_{c}"), F.when(known, F.col("_rank")))
-        return total + first * F.pow(F.lit(0.5), F.sum(f"_n_{c}"))
+        return total + _at_largest(f"_f_{c}", "_run") * F.pow(F.lit(0.5), F.sum(f"_n_{c}"))
 
     return runs.groupBy(*keys).agg(
-        *[combined(c).alias(c) for c in values],
-        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in text],
+        *[combined(c).alias(c) for c in values], *[_at_largest(c, "_run").alias(c) for c in text]
     )
+
+
+def _at_largest(col: str, rank: str) -> Column:
+    """The known value with the largest rank."""
+    return F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col(rank)))

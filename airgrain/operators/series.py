@@ -149,61 +149,71 @@ def add_position(
     return joined.withColumn(pos, F.col("_offset") + F.col("_rn")).drop(SEG, "_rn", "_offset")
 
 
-def _neighbours(df, cols, keys, ts, segment, previous: bool) -> DataFrame:
-    """Add ``_pos`` and, per column, ``_next_<c>`` (and ``_prev_<c>``): the nearest non-null value
-    at or after (before) the row, as ``struct(v, at)`` with its position."""
+def _near(side: str, c: str) -> tuple[str, str]:
+    return f"_{side}_value_{c}", f"_{side}_at_{c}"
 
-    def known(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_pos").alias("at")))
 
-    def filled(group, order=ts):
-        ahead = _up_to(_spec(group, order, reverse=True))
-        behind = _up_to(_spec(group, order))
-        found = {f"_next_{c}": F.last(known(c), ignorenulls=True).over(ahead) for c in cols}
-        if previous:
-            found |= {f"_prev_{c}": F.last(known(c), ignorenulls=True).over(behind) for c in cols}
-        return found
+def _neighbours(df, cols, keys, ts, segment, sides) -> DataFrame:
+    """Add ``_pos`` and per column and side the nearest known value and its position.
+
+    Side 'next' looks from the row itself on, 'prev' up to the row itself. Plain columns instead
+    of structs keep the window buffers flat.
+    """
+
+    def at(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.col("_pos"))
+
+    def found(group) -> dict[str, Column]:
+        result = {}
+        for side in sides:
+            window = _up_to(_spec(group, ts, reverse=side == "next"))
+            for c in cols:
+                value, position = _near(side, c)
+                result[value] = F.last(c, ignorenulls=True).over(window)
+                result[position] = F.last(at(c), ignorenulls=True).over(window)
+        return result
 
     if segment is None:
         numbered = df.withColumn("_pos", F.row_number().over(_spec(keys, ts)))
-        return numbered.withColumns(filled(keys))
+        return numbered.withColumns(found(keys))
 
     cut = df.withColumn(SEG, segment)
     local = cut.withColumn("_pos", F.row_number().over(_spec([*keys, SEG], ts)))
-    runs = local.groupBy(*keys, SEG).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(f"_first_{c}") for c in cols],
-        *[F.max_by(known(c), F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(f"_last_{c}") for c in cols],
-    )
-    runs = runs.withColumn(
-        "_offset", F.coalesce(F.sum("_n").over(_before(_spec(keys, SEG))), F.lit(0))
-    )
-
-    def moved(c: str) -> Column:
-        value = F.col(c)
-        return F.when(
-            value.isNotNull(),
-            F.struct(value["v"].alias("v"), (value["at"] + F.col("_offset")).alias("at")),
-        )
 
-    before, after = _before(_spec(keys, SEG)), _before(_spec(keys, SEG, reverse=True))
-    carry = runs.select(
-        *keys, SEG, "_offset",
-        *[F.last(moved(f"_first_{c}"), ignorenulls=True).over(after).alias(f"_after_{c}") for c in cols],
-        *[F.last(moved(f"_last_{c}"), ignorenulls=True).over(before).alias(f"_before_{c}") for c in cols if previous],
-    )
-    joined = _join_summary(local.withColumns(filled([*keys, SEG])), carry, keys)
+    # per run: its length, its first known value (for earlier runs), its last (for later ones)
+    pick = {"next": (F.min_by, F.min), "prev": (F.max_by, F.max)}
+    summary = [F.count(F.lit(1)).alias("_n")]
+    for side in sides:
+        by, extreme = pick[side]
+        for c in cols:
+            value, position = _near(side, c)
+            summary += [by(F.col(c), at(c)).alias(value), extreme(at(c)).alias(position)]
+    runs = local.groupBy(*keys, SEG).agg(*summary)
+    offset = F.coalesce(F.sum("_n").over(_before(_spec(keys, SEG))), F.lit(0))
+    runs = runs.withColumn("_offset", offset)
+    carry = {}
+    for side in sides:
+        window = _before(_spec(keys, SEG, reverse=side == "next"))
+        for c in cols:
+            value, position = _near(side, c)
+            carry["_run" + value] = F.last(value, ignorenulls=True).over(window)
+            moved = F.col(position) + F.col("_offset")
+            carry["_run" + position] = F.last(moved, ignorenulls=True).over(window)
+    carried = runs.withColumns(carry).select(*keys, SEG, "_offset", *carry)
+
+    joined = _join_summary(local.withColumns(found([*keys, SEG])), carried, keys)
     result = {"_pos": F.col("_pos") + F.col("_offset")}
-    result |= {f"_next_{c}": F.coalesce(moved(f"_next_{c}"), F.col(f"_after_{c}")) for c in cols}
-    if previous:
-        result |= {f"_prev_{c}": F.coalesce(moved(f"_prev_{c}"), F.col(f"_before_{c}")) for c in cols}
-    return joined.withColumns(result).drop(
-        SEG, "_offset", *[f"_after_{c}" for c in cols], *[f"_before_{c}" for c in cols]
-    )
+    for side in sides:
+        for c in cols:
+            value, position = _near(side, c)
+            result[value] = F.coalesce(F.col(value), F.col("_run" + value))
+            moved = F.col(position) + F.col("_offset")
+            result[position] = F.coalesce(moved, F.col("_run" + position))
+    return joined.withColumns(result).drop(SEG, "_offset", *carry)
 
 
-def _drop_neighbours(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.drop("_pos", *[f"_next_{c}" for c in cols], *[f"_prev_{c}" for c in cols])
+def _drop_neighbours(df: DataFrame, cols: Sequence[str], sides: Sequence[str]) -> DataFrame:
+    return df.drop("_pos", *[name for side in sides for c in cols for name in _near(side, c)])
 
 
 def interpolate_linear(
@@ -216,15 +226,17 @@ def interpolate_linear(
     """
     if not cols:
         return df
-    near = _neighbours(df, cols, keys, ts, segment, previous=True)
+    sides = ("next", "prev")
 
     def line(c: str) -> Column:
-        prev, nxt, at = F.col(f"_prev_{c}"), F.col(f"_next_{c}"), F.col("_pos")
-        between = prev["v"] + (nxt["v"] - prev["v"]) * (at - prev["at"]) / (nxt["at"] - prev["at"])
-        rest = (prev["v"], nxt["v"]) if backward else (prev["v"],)
+        later, later_at = (F.col(n) for n in _near("next", c))
+        earlier, earlier_at = (F.col(n) for n in _near("prev", c))
+        between = earlier + (later - earlier) * (F.col("_pos") - earlier_at) / (later_at - earlier_at)
+        rest = (earlier, later) if backward else (earlier,)
         return F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.coalesce(between, *rest))
 
-    return _drop_neighbours(near.withColumns({c: line(c) for c in cols}), cols)
+    near = _neighbours(df, cols, keys, ts, segment, sides)
+    return _drop_neighbours(near.withColumns({c: line(c) for c in cols}), cols, sides)
 
 
 def backfill(
@@ -233,8 +245,9 @@ def backfill(
     """Nulls take the next non-null value, in columns of any type."""
     if not cols:
         return df
-    near = _neighbours(df, cols, keys, ts, segment, previous=False)
-    return _drop_neighbours(near.withColumns({c: F.col(f"_next_{c}")["v"] for c in cols}), cols)
+    near = _neighbours(df, cols, keys, ts, segment, ("next",))
+    filled = near.withColumns({c: F.col(_near("next", c)[0]) for c in cols})
+    return _drop_neighbours(filled, cols, ("next",))
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:

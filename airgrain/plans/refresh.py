@@ -13,7 +13,7 @@ from airgrain.operators.aggregates import refresh_average
 from airgrain.operators.columns import select_features
 from airgrain.operators.joins import build_raw
 from airgrain.operators.series import time_segment
-from airgrain.plans.cleaning import clean_weather, type_pollutant
+from airgrain.plans.cleaning import clean_weather
 from airgrain.plans.model import check_horizon, forecast, load_or_train, save_model, train
 from airgrain.schemas import (
     DAY,
@@ -42,13 +42,13 @@ def refreshed_tables(
 ) -> dict[str, DataFrame]:
     """The daily rows of all four tables for the days in the batch.
 
-    ``weather`` and ``pollutant`` are document rows with ``fetched_at``. Each fetch is cleaned on
+    ``weather`` and ``pollutant`` are rows of ``sources.documents``: typed, with ``fetched_at``. Each fetch is cleaned on
     its own, as it would be if it came alone; a pollutant fetch is a single row, which
     interpolation leaves as it is, so that step needs no window here. Of the stored rows those of
     days in either batch take part, so a day with news of one kind is joined anew too.
     """
     cleaned_weather = clean_weather(weather, [*KEYS, FETCH], DAY)
-    scored = with_aqi(type_pollutant(pollutant)).where(F.col(DAY).isNotNull())
+    scored = with_aqi(pollutant.where(F.col(DAY).isNotNull()))
     runs = time_segment(FETCH, segment_seconds)
     days = weather.select(*DAILY).union(pollutant.select(*DAILY)).distinct()
 

@@ -8,13 +8,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings the operators like on any cluster. Wide rows make long generated methods; the JVM does
+# not compile methods above 8000 bytes, so Spark should split such stages instead.
+SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cpus: str | int = "*", app: str = "airgrain") -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller brings its own."""
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    for name, value in SETTINGS.items():
+        builder = builder.config(name, value)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        builder.config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -2,7 +2,7 @@
 
 Layout::
 
-    <root>/<table>/run_id=<run>/_month=<yyyy-MM>/part-*.parquet
+    <root>/<table>/run_id=<run>/_period=<yyyy-MM>/part-*.parquet
     <root>/_commits/part-*.json            one line per (run, table)
 
 A run writes its rows to every table first and its commit lines, in one file, last. Readers take
@@ -24,15 +24,20 @@ from airgrain.schemas import PARTITION_COLUMN, TABLE_KEYS, TABLES
 from airgrain.sources.files import read_jdbc, write_csv, write_jdbc
 
 COMMIT = "run_id string, table string, kind string"
-MONTH = "_month"
+PERIOD = "_period"
 
 
 class Store:
-    """A folder of tables; any file system Spark can write to."""
+    """A folder of tables; any file system Spark can write to.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``period`` is the date pattern rows are partitioned by: months suit hourly runs on a long
+    history, years suit small tables. It is fixed for the life of a store.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, period: str = "yyyy-MM"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.period = period
 
     def path(self, *parts: str) -> str:
         return "/".join((self.root, *parts))
@@ -71,11 +76,11 @@ def append_rows(df: DataFrame, store: Store, table: str, run_id: str) -> None:
     """Write one run's rows of one table; invisible until committed. A repeated run overwrites
     its own folder. Keys must be unique in a run."""
     rows = nan_to_null(conform(df, TABLES[table]))
-    month = F.date_format(F.col(PARTITION_COLUMN[table]), "yyyy-MM")
-    rows = rows.withColumn(MONTH, month)
-    # few files per month; a month too large for one task is split at run time
-    rows = rows.hint("rebalance", MONTH)
-    rows.write.mode("overwrite").partitionBy(MONTH).parquet(store.path(table, f"run_id={run_id}"))
+    day = PARTITION_COLUMN[table]
+    rows = rows.withColumn(PERIOD, F.date_format(F.col(day), store.period))
+    # few files per period; a period too large for one task is split at run time
+    rows = rows.hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, day)
+    rows.write.mode("overwrite").partitionBy(PERIOD).parquet(store.path(table, f"run_id={run_id}"))
 
 
 def commit(store: Store, run_id: str, tables: Sequence[str], kind: str = "append") -> None:
@@ -97,7 +102,7 @@ def current(store: Store, table: str, start=None, end=None) -> DataFrame:
     """The table as of the last commit: the newest row per key.
 
     The base is read as it is and loses only the keys written since, by an anti-join against the
-    recent runs; those alone are ranked. A date range reaches the scan, also as month pruning.
+    recent runs; those alone are ranked. A date range reaches the scan, also as partition pruning.
     """
     schema = TABLES[table]
     runs = store.runs(table)
@@ -121,14 +126,14 @@ def current(store: Store, table: str, start=None, end=None) -> DataFrame:
 
 def _scan(store: Store, table: str, runs: Sequence[str], start, end) -> DataFrame:
     paths = [store.path(table, f"run_id={r}") for r in runs]
-    reader = store.spark.read.schema(f"{_ddl(TABLES[table])}, run_id string, {MONTH} string")
+    reader = store.spark.read.schema(f"{_ddl(TABLES[table])}, run_id string, {PERIOD} string")
     df = reader.option("basePath", store.path(table)).parquet(*paths)
     col = PARTITION_COLUMN[table]
     if start is not None:
-        df = df.where(F.col(MONTH) >= F.date_format(F.lit(start).cast("date"), "yyyy-MM"))
+        df = df.where(F.col(PERIOD) >= F.date_format(F.lit(start).cast("date"), store.period))
     if end is not None:
-        df = df.where(F.col(MONTH) <= F.date_format(F.lit(end).cast("date"), "yyyy-MM"))
-    return date_range(df, col, start, end).drop(MONTH)
+        df = df.where(F.col(PERIOD) <= F.date_format(F.lit(end).cast("date"), store.period))
+    return date_range(df, col, start, end).drop(PERIOD)
 
 
 def _ddl(schema) -> str:
