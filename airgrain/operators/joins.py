@@ -47,4 +47,4 @@ def band_join(
 def latest_by(df: DataFrame, col: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Rows whose ``col`` equals the maximum of their key."""
     newest = df.groupBy(*keys).agg(F.max(col).alias(col)) if keys else df.agg(F.max(col).alias(col))
-    return df.join(newest, [*keys, col], "left_semi")
+    return df.join(newest, [*keys, col], "left_semi").select(*df.columns)

@@ -146,7 +146,8 @@ def add_position(
     )
     numbered = cut.withColumn("_rn", F.row_number().over(_spec([*keys, SEG], ts)))
     joined = _join_summary(numbered, runs, keys)
-    return joined.withColumn(pos, F.col("_offset") + F.col("_rn")).drop(SEG, "_rn", "_offset")
+    place = (F.col("_offset") + F.col("_rn")).alias(pos)
+    return joined.select(*df.columns, place, size)
 
 
 def _near(side: str, c: str) -> tuple[str, str]:
