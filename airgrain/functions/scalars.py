@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airgrain.functions.text import quoted, with_expressions
+
 NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))\s*$"
 
 
@@ -46,14 +48,18 @@ def comma_list(col: Column) -> Column:
     return F.nullif(F.array_join(col, ","), F.lit(""))
 
 
+def _floating(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN and null are one thing here; only floating columns can hold NaN."""
-    floating = {
-        f.name: F.nullif(F.col(f"`{f.name}`"), F.lit(float("nan")).cast(f.dataType))
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-    }
-    return df.withColumns(floating) if floating else df
+    return _each(df, _floating(df), "nullif({}, double('NaN'))")
+
+
+def _each(df: DataFrame, names: Iterable[str], template: str) -> DataFrame:
+    changed = {n: template.format(quoted(n)) for n in names}
+    return with_expressions(df, changed) if changed else df
 
 
 def utc_date(col: Column, time_zone: str = "UTC") -> Column:
@@ -80,24 +86,16 @@ def percent(col: Column, decimals: int = 3) -> Column:
 
 def row_sum(cols: Iterable[str]) -> Column:
     """Sum over columns of one row; null counts as 0, so all-null gives 0."""
-    total = F.lit(0.0)
-    for c in cols:
-        total = total + F.coalesce(F.col(c), F.lit(0.0))
-    return total
+    return F.expr(" + ".join(["0.0D", *[f"coalesce({quoted(c)}, 0.0D)" for c in cols]]))
 
 
 def row_max(cols: Iterable[str]) -> Column:
     """Largest of several columns of one row, nulls skipped; all-null gives null."""
-    return F.greatest(*cols)
+    return F.expr(f"greatest({', '.join(quoted(c) for c in cols)})")
 
 
 def round_floats(df: DataFrame, decimals: int) -> DataFrame:
-    floating = {
-        f.name: F.round(F.col(f"`{f.name}`"), decimals)
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-    }
-    return df.withColumns(floating) if floating else df
+    return _each(df, _floating(df), f"round({{}}, {decimals})")
 
 
 def shown_text(name: str, dtype: T.DataType, decimals: int = 3) -> Column:

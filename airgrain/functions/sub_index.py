@@ -3,37 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airgrain.functions.scalars import row_max
+from airgrain.functions.text import quoted, with_expressions
 from airgrain.schemas import BANDS, INDEX_RANGES, POLLUTANTS
 
 
-def sub_index(col: Column, bands: Sequence[tuple], scale: bool = False) -> Column:
+def sub_index(col: str, bands: Sequence[tuple], scale: bool = False) -> Column:
     """The concentration itself if it lies in a band, else null.
 
     ``scale=True`` gives the linear index of the band instead. The first band wins where two
     bands share a bound; values between bands or above the last one have no index.
     """
-    spans = [(F.lit(float(low)), F.lit(float(high))) for low, high in bands]
+    return F.expr(_sub_index(col, bands, scale))
+
+
+def _sub_index(col: str, bands: Sequence[tuple], scale: bool) -> str:
+    x = quoted(col)
+    inside = [f"{x} BETWEEN {float(low)}D AND {float(high)}D" for low, high in bands]
     if not scale:
         # one test for all bands keeps the generated code small
-        return F.when(reduce(Column.__or__, [col.between(*span) for span in spans]), col)
-    result = F
-    for (low, high), (first, last), span in zip(bands, INDEX_RANGES, spans, strict=True):
-        slope = (last - first) / (high - low)
-        index = F.lit(slope) * (col - span[0]) + F.lit(float(first))
-        result = result.when(col.between(*span), index)
-    return result
+        return f"CASE WHEN {' OR '.join(inside)} THEN {x} END"
+    steps = [
+        f"WHEN {test} THEN {(last - first) / (high - low)!r}D * ({x} - {float(low)}D) + {float(first)}D"
+        for test, (low, high), (first, last) in zip(inside, bands, INDEX_RANGES, strict=True)
+    ]
+    return f"CASE {' '.join(steps)} END"
 
 
 def with_aqi(df: DataFrame, scale: bool = False) -> DataFrame:
     """Add the six sub-indices and their row maximum; a reported ``AQI`` is overwritten."""
-    scored = df.withColumns(
-        {f"AQI_{p}": sub_index(F.col(p), BANDS[p], scale) for p in POLLUTANTS}
+    scored = with_expressions(
+        df, {f"AQI_{p}": _sub_index(p, BANDS[p], scale) for p in POLLUTANTS}
     )
     return scored.withColumn("AQI", row_max([f"AQI_{p}" for p in POLLUTANTS]))
 

@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airgrain.functions.text import (
+    BEFORE,
+    UP_TO,
+    aggregates,
+    listed,
+    over,
+    quoted,
+    with_expressions,
+)
 from airgrain.operators.columns import split_columns
 from airgrain.operators.series import SEG, Order
 from airgrain.schemas import DAY, KEYS
 
 
-def first_known(col: str, order: Sequence[str]) -> Column:
+def first_known(col: str, order: Sequence[str]) -> str:
     """First non-null value in order; an aggregate that combines before the shuffle."""
-    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    return F.min_by(F.col(col), F.when(F.col(col).isNotNull(), rank))
+    rank = f"struct({listed(order)})" if len(order) > 1 else quoted(order[0])
+    return f"min_by({quoted(col)}, CASE WHEN {quoted(col)} IS NOT NULL THEN {rank} END)"
 
 
 def daily_aggregate(
@@ -30,12 +39,12 @@ def daily_aggregate(
     group = [*keys, ts]
     numeric, other = split_columns(df)
     skip = {*group, *order}
-    values = {c: F.avg(c) for c in numeric if c not in skip}
+    values = {c: f"avg({quoted(c)})" for c in numeric if c not in skip}
     values |= {c: first_known(c, order) for c in other if c not in skip}
     return (
         df.where(F.col(ts).isNotNull())
         .groupBy(*group)
-        .agg(*[values[c].alias(c) for c in df.columns if c in values])
+        .agg(*aggregates({c: values[c] for c in df.columns if c in values}))
     )
 
 
@@ -73,41 +82,39 @@ def refresh_average(
         kept = stored.select(*keys, *values, *text).withColumn("_origin", F.lit(0))
         rows = rows.unionByName(kept, allowMissingColumns=True)
     if mode == "true_mean" or batch == "together":
-        firsts = [first_known(c, ["_origin", *order]).alias(c) for c in text]
-        source = rows.where(F.col("_origin") == 1) if mode == "true_mean" else rows
-        return source.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in values], *firsts)
+        source = rows.where("_origin = 1") if mode == "true_mean" else rows
+        means = {c: f"avg({quoted(c)})" for c in values}
+        firsts = {c: first_known(c, ["_origin", *order]) for c in text}
+        return source.groupBy(*keys).agg(*aggregates(means | firsts))
 
     run = ["_origin", SEG]
-    backwards = Window.partitionBy(*keys, *run).orderBy(*[F.col(c).desc() for c in order])
-    to_end = backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    backwards = over([*keys, *run], order, reverse=True)
+    to_end = over([*keys, *run], order, reverse=True, frame=UP_TO)
     # per run: known values, their sum weighted from the run's end, and the run's first value,
     # which is the one with the most known values from it to the end
-    counted = rows.withColumns({f"_k_{c}": F.count(c).over(to_end) for c in values})
+    counts = {f"_k_{c}": f"count({quoted(c)}) {to_end}" for c in values}
     if text:
-        counted = counted.withColumn("_rn", F.row_number().over(backwards))
-    runs = counted.groupBy(*keys, *run).agg(
-        *[F.count(c).alias(f"_n_{c}") for c in values],
-        *[F.sum(F.col(c) * F.pow(F.lit(0.5), F.col(f"_k_{c}"))).alias(f"_s_{c}") for c in values],
-        *[_at_largest(c, f"_k_{c}").alias(f"_f_{c}") for c in values],
-        *[_at_largest(c, "_rn").alias(c) for c in text],
-    )
-    last_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in run])
-    later = last_first.rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumns({
-        "_run": F.row_number().over(last_first),
-        **{f"_a_{c}": F.coalesce(F.sum(f"_n_{c}").over(later), F.lit(0)) for c in values},
-    })
-
-    def combined(c: str) -> Column:
-        total = F.sum(F.col(f"_s_{c}") * F.pow(F.lit(0.5), F.col(f"_a_{c}")))
+        counts["_rn"] = f"row_number() {backwards}"
+    per_run = {f"_n_{c}": f"count({quoted(c)})" for c in values}
+    per_run |= {f"_s_{c}": f"sum({quoted(c)} * pow(0.5D, {quoted('_k_' + c)}))" for c in values}
+    per_run |= {f"_f_{c}": _at_largest(c, f"_k_{c}") for c in values}
+    per_run |= {c: _at_largest(c, "_rn") for c in text}
+    runs = with_expressions(rows, counts).groupBy(*keys, *run).agg(*aggregates(per_run))
+
+    later = over(keys, run, reverse=True, frame=BEFORE)
+    after = {f"_a_{c}": f"coalesce(sum({quoted('_n_' + c)}) {later}, 0)" for c in values}
+    runs = with_expressions(runs, {"_run": f"row_number() {over(keys, run, reverse=True)}"} | after)
+
+    def combined(c: str) -> str:
+        s, n, a = (quoted(f"_{x}_{c}") for x in "sna")
+        total = f"sum({s} * pow(0.5D, {a}))"
         # x1 weighs as much as x2, so it is added once more with the weight it already has
-        return total + _at_largest(f"_f_{c}", "_run") * F.pow(F.lit(0.5), F.sum(f"_n_{c}"))
+        return f"{total} + {_at_largest('_f_' + c, '_run')} * pow(0.5D, sum({n}))"
 
-    return runs.groupBy(*keys).agg(
-        *[combined(c).alias(c) for c in values], *[_at_largest(c, "_run").alias(c) for c in text]
-    )
+    result = {c: combined(c) for c in values} | {c: _at_largest(c, "_run") for c in text}
+    return runs.groupBy(*keys).agg(*aggregates(result))
 
 
-def _at_largest(col: str, rank: str) -> Column:
+def _at_largest(col: str, rank: str) -> str:
     """The known value with the largest rank."""
-    return F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col(rank)))
+    return f"max_by({quoted(col)}, CASE WHEN {quoted(col)} IS NOT NULL THEN {quoted(rank)} END)"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airgrain.functions.scalars import date_text, shown_text, utc_date
+from airgrain.functions.text import quoted
 from airgrain.schemas import (
     BROWSE_ORDER,
     CLEANED,
@@ -47,8 +48,9 @@ def select_features(
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Fixed columns in fixed order; a column missing at the source is a typed null."""
-    return df.select(*[
-        (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.selectExpr(*[
+        f"CAST({quoted(f.name) if f.name in df.columns else 'NULL'} AS {f.dataType.simpleString()})"
+        f" AS {quoted(f.name)}"
         for f in schema.fields
     ])
 

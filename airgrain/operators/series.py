@@ -16,9 +16,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airgrain.functions.text import (
+    BEFORE,
+    UP_TO,
+    aggregates,
+    listed,
+    over,
+    quoted,
+    with_expressions,
+)
 from airgrain.schemas import DAY, KEYS
 
 SEG = "_segment"
@@ -27,31 +36,18 @@ Order = str | Sequence[str]
 
 def time_segment(col: str, seconds: int) -> Column:
     """Runs of a fixed time span; for dates and for timestamps without time zone too."""
-    return F.floor(F.unix_micros(F.col(col).cast("timestamp")) / (seconds * 1_000_000))
+    return F.expr(f"floor(unix_micros(CAST({quoted(col)} AS timestamp)) / {seconds * 1_000_000})")
 
 
 def id_segment(day: str, ident: str, width: int) -> Column:
     """Runs inside one day by ranges of an increasing id, for days too large for one task."""
-    return F.struct(F.col(day), F.floor(F.col(ident) / width))
+    return F.expr(f"struct({quoted(day)} AS day, floor({quoted(ident)} / {width}) AS part)")
 
 
 def _names(order: Order) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
 
-def _spec(keys: Sequence[str], order: Order, reverse: bool = False) -> WindowSpec:
-    columns = [F.col(c).desc() if reverse else F.col(c).asc() for c in _names(order)]
-    return Window.partitionBy(*keys).orderBy(*columns)
-
-
-def _before(spec: WindowSpec) -> WindowSpec:
-    return spec.rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _up_to(spec: WindowSpec) -> WindowSpec:
-    return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def _join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Plain equi-join: the rows already lie partitioned and sorted by (keys, segment)."""
     return rows.join(summary, [*keys, SEG], "left")
@@ -66,37 +62,39 @@ def shift(
     segment: Column | None = None,
 ) -> DataFrame:
     """Add ``{new: (column, k)}``: the value k rows earlier, or k rows later if ``forward``."""
+    order = _names(order)
     if segment is None:
-        step = F.lead if forward else F.lag
-        spec = _spec(keys, order)
-        return df.withColumns({n: step(c, k).over(spec) for n, (c, k) in shifts.items()})
+        step, window = "lead" if forward else "lag", over(keys, order)
+        return with_expressions(
+            df, {n: f"{step}({quoted(c)}, {k}) {window}" for n, (c, k) in shifts.items()}
+        )
 
     depth = max(k for _, k in shifts.values())
     columns = sorted({c for c, _ in shifts.values()})
     cut = df.withColumn(SEG, segment)
-    local = _spec([*keys, SEG], order, forward)
+    run = [*keys, SEG]
 
     # the ``depth`` rows of each run nearest to the next one, farthest first
     edge = (
-        cut.select(*dict.fromkeys([*keys, SEG, *_names(order), *columns]))
-        .withColumn("_rn", F.row_number().over(_spec([*keys, SEG], order, not forward)))
-        .where(F.col("_rn") <= depth)
-        .groupBy(*keys, SEG)
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("_rn")).alias("_o"), *columns))).alias("_edge"))
+        cut.select(*dict.fromkeys([*run, *order, *columns]))
+        .selectExpr("*", f"row_number() {over(run, order, not forward)} AS _rn")
+        .where(f"_rn <= {depth}")
+        .groupBy(*run)
+        .agg(F.expr(f"sort_array(collect_list(struct(-_rn AS _o, {listed(columns)}))) AS _edge"))
     )
-    along = _spec(keys, SEG, forward).rowsBetween(-depth, -1)
-    carry = edge.select(*keys, SEG, F.flatten(F.collect_list("_edge").over(along)).alias("_carry"))
+    along = over(keys, [SEG], forward, f"{depth} PRECEDING AND 1 PRECEDING")
+    carry = edge.selectExpr(*map(quoted, run), f"flatten(collect_list(_edge) {along}) AS _carry")
 
-    numbered = cut.withColumn("_rn", F.row_number().over(local)).withColumns(
-        {n: F.lag(c, k).over(local) for n, (c, k) in shifts.items()}
-    )
+    local = over(run, order, forward)
+    inside = {n: f"lag({quoted(c)}, {k}) {local}" for n, (c, k) in shifts.items()}
+    numbered = with_expressions(cut, {"_rn": f"row_number() {local}"} | inside)
     joined = _join_summary(numbered, carry, keys)
-    return joined.withColumns({
-        n: F.when(F.col("_rn") > k, F.col(n)).otherwise(
-            F.get("_carry", F.size("_carry") + F.col("_rn") - k - 1)[c]
-        )
+    carried = {
+        n: f"CASE WHEN _rn > {k} THEN {quoted(n)}"
+        f" ELSE get(_carry, size(_carry) + _rn - {k + 1}).{quoted(c)} END"
         for n, (c, k) in shifts.items()
-    }).drop(SEG, "_rn", "_carry")
+    }
+    return with_expressions(joined, carried).select(*dict.fromkeys([*df.columns, *shifts]))
 
 
 def add_lags(df, col, n, keys=KEYS, ts: Order = DAY, segment=None) -> DataFrame:
@@ -115,39 +113,37 @@ def rolling_sum(
 ) -> DataFrame:
     """Sum over n rows ending at the current one; null unless all n values are there."""
     name = name or f"{col}_sum_{n}"
+    v = quoted(col)
     if segment is None:
-        last_n = _spec(keys, ts).rowsBetween(1 - n, 0)
-        return df.withColumn(
-            name, F.when(F.count(col).over(last_n) == n, F.sum(col).over(last_n))
+        last_n = over(keys, _names(ts), frame=f"{n - 1} PRECEDING AND CURRENT ROW")
+        return with_expressions(
+            df, {name: f"CASE WHEN count({v}) {last_n} = {n} THEN sum({v}) {last_n} END"}
         )
     earlier = {f"_l{i}": (col, i) for i in range(1, n)}
     shifted = shift(df, earlier, keys, ts, False, segment)
-    total = F.col(f"_l{n - 1}") if n > 1 else F.col(col)
-    for i in range(n - 2, -1, -1):
-        total = total + F.col(f"_l{i}" if i else col)
-    return shifted.withColumn(name, total).drop(*earlier)
+    total = " + ".join([f"_l{i}" for i in range(n - 1, 0, -1)] + [v])
+    return with_expressions(shifted, {name: total}).drop(*earlier)
 
 
 def add_position(
     df: DataFrame, keys=KEYS, ts: Order = DAY, segment=None, pos="_pos", size="_size"
 ) -> DataFrame:
     """Row number in the series (from 1) and the number of its rows."""
+    order = _names(ts)
     if segment is None:
-        whole = Window.partitionBy(*keys)
-        return df.withColumns(
-            {pos: F.row_number().over(_spec(keys, ts)), size: F.count(F.lit(1)).over(whole)}
+        return with_expressions(
+            df, {pos: f"row_number() {over(keys, order)}", size: f"count(1) {over(keys)}"}
         )
     cut = df.withColumn(SEG, segment)
-    runs = cut.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_n"))
-    runs = runs.select(
-        *keys, SEG,
-        F.coalesce(F.sum("_n").over(_before(_spec(keys, SEG))), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias(size),
+    run = [*keys, SEG]
+    offset = f"coalesce(sum(_n) {over(keys, [SEG], frame=BEFORE)}, 0)"
+    runs = with_expressions(
+        cut.groupBy(*run).agg(F.expr("count(1) AS _n")),
+        {"_offset": offset, size: f"sum(_n) {over(keys)}"},
     )
-    numbered = cut.withColumn("_rn", F.row_number().over(_spec([*keys, SEG], ts)))
-    joined = _join_summary(numbered, runs, keys)
-    place = (F.col("_offset") + F.col("_rn")).alias(pos)
-    return joined.select(*df.columns, place, size)
+    numbered = with_expressions(cut, {"_rn": f"row_number() {over(run, order)}"})
+    joined = with_expressions(_join_summary(numbered, runs, keys), {pos: "_offset + _rn"})
+    return joined.select(*df.columns, pos, size)
 
 
 def _near(side: str, c: str) -> tuple[str, str]:
@@ -161,56 +157,58 @@ def _neighbours(df, cols, keys, ts, segment, sides) -> DataFrame:
     of structs keep the window buffers flat.
     """
 
-    def at(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.col("_pos"))
+    order = _names(ts)
 
-    def found(group) -> dict[str, Column]:
+    def at(c: str) -> str:
+        return f"CASE WHEN {quoted(c)} IS NOT NULL THEN _pos END"
+
+    def found(group) -> dict[str, str]:
         result = {}
         for side in sides:
-            window = _up_to(_spec(group, ts, reverse=side == "next"))
+            window = over(group, order, side == "next", UP_TO)
             for c in cols:
                 value, position = _near(side, c)
-                result[value] = F.last(c, ignorenulls=True).over(window)
-                result[position] = F.last(at(c), ignorenulls=True).over(window)
+                result[value] = f"last({quoted(c)}, true) {window}"
+                result[position] = f"last({at(c)}, true) {window}"
         return result
 
     if segment is None:
-        numbered = df.withColumn("_pos", F.row_number().over(_spec(keys, ts)))
-        return numbered.withColumns(found(keys))
+        numbered = with_expressions(df, {"_pos": f"row_number() {over(keys, order)}"})
+        return with_expressions(numbered, found(keys))
 
     cut = df.withColumn(SEG, segment)
-    local = cut.withColumn("_pos", F.row_number().over(_spec([*keys, SEG], ts)))
+    run = [*keys, SEG]
+    local = with_expressions(cut, {"_pos": f"row_number() {over(run, order)}"})
 
     # per run: its length, its first known value (for earlier runs), its last (for later ones)
-    pick = {"next": (F.min_by, F.min), "prev": (F.max_by, F.max)}
-    summary = [F.count(F.lit(1)).alias("_n")]
+    pick = {"next": ("min_by", "min"), "prev": ("max_by", "max")}
+    summary = {"_n": "count(1)"}
     for side in sides:
         by, extreme = pick[side]
         for c in cols:
             value, position = _near(side, c)
-            summary += [by(F.col(c), at(c)).alias(value), extreme(at(c)).alias(position)]
-    runs = local.groupBy(*keys, SEG).agg(*summary)
-    offset = F.coalesce(F.sum("_n").over(_before(_spec(keys, SEG))), F.lit(0))
-    runs = runs.withColumn("_offset", offset)
+            summary |= {value: f"{by}({quoted(c)}, {at(c)})", position: f"{extreme}({at(c)})"}
+    runs = local.groupBy(*run).agg(*aggregates(summary))
+    offset = f"coalesce(sum(_n) {over(keys, [SEG], frame=BEFORE)}, 0)"
+    runs = with_expressions(runs, {"_offset": offset})
     carry = {}
     for side in sides:
-        window = _before(_spec(keys, SEG, reverse=side == "next"))
+        window = over(keys, [SEG], side == "next", BEFORE)
         for c in cols:
-            value, position = _near(side, c)
-            carry["_run" + value] = F.last(value, ignorenulls=True).over(window)
-            moved = F.col(position) + F.col("_offset")
-            carry["_run" + position] = F.last(moved, ignorenulls=True).over(window)
-    carried = runs.withColumns(carry).select(*keys, SEG, "_offset", *carry)
+            value, position = map(quoted, _near(side, c))
+            carry["_run" + value.strip("`")] = f"last({value}, true) {window}"
+            carry["_run" + position.strip("`")] = f"last({position} + _offset, true) {window}"
+    carried = with_expressions(runs, carry).select(*run, "_offset", *carry)
 
-    joined = _join_summary(local.withColumns(found([*keys, SEG])), carried, keys)
-    result = {"_pos": F.col("_pos") + F.col("_offset")}
+    joined = _join_summary(with_expressions(local, found(run)), carried, keys)
+    result = {"_pos": "_pos + _offset"}
     for side in sides:
         for c in cols:
             value, position = _near(side, c)
-            result[value] = F.coalesce(F.col(value), F.col("_run" + value))
-            moved = F.col(position) + F.col("_offset")
-            result[position] = F.coalesce(moved, F.col("_run" + position))
-    return joined.withColumns(result).drop(SEG, "_offset", *carry)
+            result[value] = f"coalesce({quoted(value)}, {quoted('_run' + value)})"
+            moved = f"{quoted(position)} + _offset"
+            result[position] = f"coalesce({moved}, {quoted('_run' + position)})"
+    return with_expressions(joined, result).drop(SEG, "_offset", *carry)
 
 
 def _drop_neighbours(df: DataFrame, cols: Sequence[str], sides: Sequence[str]) -> DataFrame:
@@ -229,15 +227,15 @@ def interpolate_linear(
         return df
     sides = ("next", "prev")
 
-    def line(c: str) -> Column:
-        later, later_at = (F.col(n) for n in _near("next", c))
-        earlier, earlier_at = (F.col(n) for n in _near("prev", c))
-        between = earlier + (later - earlier) * (F.col("_pos") - earlier_at) / (later_at - earlier_at)
-        rest = (earlier, later) if backward else (earlier,)
-        return F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.coalesce(between, *rest))
+    def line(c: str) -> str:
+        later, later_at = map(quoted, _near("next", c))
+        earlier, earlier_at = map(quoted, _near("prev", c))
+        between = f"{earlier} + ({later} - {earlier}) * (_pos - {earlier_at}) / ({later_at} - {earlier_at})"
+        rest = f"{earlier}, {later}" if backward else earlier
+        return f"CASE WHEN {quoted(c)} IS NOT NULL THEN {quoted(c)} ELSE coalesce({between}, {rest}) END"
 
     near = _neighbours(df, cols, keys, ts, segment, sides)
-    return _drop_neighbours(near.withColumns({c: line(c) for c in cols}), cols, sides)
+    return _drop_neighbours(with_expressions(near, {c: line(c) for c in cols}), cols, sides)
 
 
 def backfill(
@@ -247,7 +245,7 @@ def backfill(
     if not cols:
         return df
     near = _neighbours(df, cols, keys, ts, segment, ("next",))
-    filled = near.withColumns({c: F.col(_near("next", c)[0]) for c in cols})
+    filled = with_expressions(near, {c: quoted(_near("next", c)[0]) for c in cols})
     return _drop_neighbours(filled, cols, ("next",))
 
 
@@ -259,7 +257,7 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 def drop_tail(df: DataFrame, n: int, keys=KEYS, ts: Order = DAY, segment=None) -> DataFrame:
     """Drop the last n rows of each series."""
     placed = add_position(df, keys, ts, segment)
-    return placed.where(F.col("_pos") <= F.col("_size") - n).drop("_pos", "_size")
+    return placed.where(f"_pos <= _size - {n}").drop("_pos", "_size")
 
 
 def chronological_split(
@@ -267,20 +265,20 @@ def chronological_split(
 ) -> DataFrame:
     """Add ``split``: the last ``ceil(test_fraction * n)`` rows of a series are 'test'."""
     placed = add_position(df, keys, ts, segment)
-    is_test = F.col("_pos") > F.col("_size") - F.ceil(F.lit(float(test_fraction)) * F.col("_size"))
-    split = F.when(is_test, F.lit("test")).otherwise(F.lit("train"))
-    return placed.withColumn("split", split).drop("_pos", "_size")
+    is_test = f"_pos > _size - ceil({float(test_fraction)!r}D * _size)"
+    split = f"CASE WHEN {is_test} THEN 'test' ELSE 'train' END"
+    return with_expressions(placed, {"split": split}).drop("_pos", "_size")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     """One row per key, the first in ``order``. Map tasks already keep one row per key."""
-    return _ranked_first(df, _spec(keys, order))
+    return _ranked_first(df, over(keys, _names(order)))
 
 
 def last_row(df: DataFrame, keys=KEYS, ts: Order = DAY) -> DataFrame:
     """The last row of each series."""
-    return _ranked_first(df, _spec(keys, ts, reverse=True))
+    return _ranked_first(df, over(keys, _names(ts), reverse=True))
 
 
-def _ranked_first(df: DataFrame, spec: WindowSpec) -> DataFrame:
-    return df.withColumn("_rn", F.row_number().over(spec)).where(F.col("_rn") == 1).drop("_rn")
+def _ranked_first(df: DataFrame, window: str) -> DataFrame:
+    return with_expressions(df, {"_rn": f"row_number() {window}"}).where("_rn = 1").drop("_rn")

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airgrain.functions.scalars import is_summer, is_winter, row_sum
+from airgrain.functions.scalars import row_sum
+from airgrain.functions.text import quoted, with_expressions
 from airgrain.operators.series import (
     add_lags,
     add_targets,
@@ -24,15 +25,16 @@ def engineer_features(
     """The ten derived columns: totals, seven-row sums, season flags and products."""
     df = rolling_sum(df, "AQI", ROLLING, keys, ts, "aqi_cum_sum_7", segment)
     df = rolling_sum(df, "pm25", ROLLING, keys, ts, "pm25_cumulative_sum_7", segment)
-    return df.withColumns({
-        "total_pollution": row_sum(POLLUTANTS),
-        "month": F.month(ts),
-        "is_summer": is_summer(F.month(ts)),
-        "is_winter": is_winter(F.month(ts)),
-        "pm25_co_interaction": F.col("pm25") * F.col("co"),
-        "temp_humidity_interaction": F.col("temp") * F.col("humidity"),
-        "pm25_no2_interaction": F.col("pm25") * F.col("no2"),
-        "pm25_so2_interaction": F.col("pm25") * F.col("so2"),
+    day = quoted(ts)
+    df = df.withColumn("total_pollution", row_sum(POLLUTANTS))
+    return with_expressions(df, {
+        "month": f"month({day})",
+        "is_summer": f"CASE WHEN month({day}) IN (6, 7, 8) THEN 1 ELSE 0 END",
+        "is_winter": f"CASE WHEN month({day}) IN (12, 1, 2) THEN 1 ELSE 0 END",
+        "pm25_co_interaction": "pm25 * co",
+        "temp_humidity_interaction": "temp * humidity",
+        "pm25_no2_interaction": "pm25 * no2",
+        "pm25_so2_interaction": "pm25 * so2",
     })
 
 

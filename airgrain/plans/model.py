@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airgrain.functions.text import quoted
 from airgrain.operators.columns import conform
 from airgrain.operators.metrics import regression_metrics
 from airgrain.operators.series import last_row
@@ -96,11 +97,13 @@ def to_long(
     """Wide to long: one row per horizon (from 1). ``outputs`` maps a new column to its wide
     columns in horizon order."""
     size = len(next(iter(outputs.values())))
-    steps = F.array(*[
-        F.struct(F.lit(i + 1).alias("horizon"), *[F.col(cols[i]).alias(n) for n, cols in outputs.items()])
+    steps = ", ".join(
+        "struct({} AS horizon, {})".format(
+            i + 1, ", ".join(f"{quoted(cols[i])} AS {quoted(n)}" for n, cols in outputs.items())
+        )
         for i in range(size)
-    ])
-    return df.select(*keep, F.inline(steps))
+    )
+    return df.selectExpr(*map(quoted, keep), f"inline(array({steps}))")
 
 
 def evaluate(

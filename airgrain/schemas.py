@@ -28,6 +28,7 @@ WEATHER_COLUMNS = (
 WEATHER_TEXT = (
     "name", "preciptype", "sunrise", "sunset", "conditions", "description", "icon", "stations",
 )
+WEATHER_LISTS = ("preciptype", "stations")
 WEATHER_NUMERIC = tuple(c for c in WEATHER_COLUMNS if c not in WEATHER_TEXT)
 
 # The columns of the cleaned table.
@@ -204,7 +205,7 @@ WEATHER_DOCUMENT = T.StructType(_DOCUMENT_HEAD + [
         + [
             T.StructField(
                 c,
-                T.ArrayType(T.StringType()) if c in ("preciptype", "stations")
+                T.ArrayType(T.StringType()) if c in WEATHER_LISTS
                 else T.StringType() if c in WEATHER_TEXT
                 else T.DoubleType(),
             )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrain.functions.scalars import comma_list, local_date, nan_to_null, parse_date
+from airgrain.functions.scalars import local_date, nan_to_null, parse_date
 from airgrain.schemas import (
     POLLUTANT_DOCUMENT,
     POLLUTANTS,
@@ -13,30 +13,27 @@ from airgrain.schemas import (
     TIME_ZONE,
     WEATHER_COLUMNS,
     WEATHER_DOCUMENT,
+    WEATHER_LISTS,
 )
 
 
 def weather_rows(documents: DataFrame) -> DataFrame:
     """One row per element of ``days``; no ``days`` gives no row. The address repeats on each."""
-    days = documents.select(
-        "series_id",
-        "fetched_at",
-        F.coalesce("resolvedAddress", F.lit("Unknown")).alias("name"),
-        F.explode("days").alias("day"),
+    days = documents.selectExpr(
+        "series_id", "fetched_at", "coalesce(resolvedAddress, 'Unknown') AS name", "explode(days) AS day"
     )
 
-    def value(c: str) -> Column:
+    def value(c: str) -> str:
         if c == "name":
-            return F.col("name")
-        field = F.col("day")[c]
-        return (comma_list(field) if c in ("preciptype", "stations") else field).alias(c)
-
-    return nan_to_null(days.select(
-        "series_id",
-        "fetched_at",
-        parse_date(F.col("day")["datetime"]).alias("date"),
-        *[value(c) for c in WEATHER_COLUMNS],
-    ))
+            return c
+        field = f"day.{c}"
+        return f"nullif(array_join({field}, ','), '') AS {c}" if c in WEATHER_LISTS else field
+
+    dated = parse_date(F.col("day.datetime")).alias("date")
+    rows = days.select("series_id", "fetched_at", "name", "day", dated)
+    return nan_to_null(
+        rows.selectExpr("series_id", "fetched_at", "date", *[value(c) for c in WEATHER_COLUMNS])
+    )
 
 
 def pollutant_rows(documents: DataFrame, as_of=None, time_zone: str = TIME_ZONE) -> DataFrame:
@@ -47,13 +44,13 @@ def pollutant_rows(documents: DataFrame, as_of=None, time_zone: str = TIME_ZONE)
     day = local_date(F.col("fetched_at"), time_zone)
     if as_of is not None:
         day = F.coalesce(day, F.lit(as_of).cast("date"))
-    return nan_to_null(documents.select(
+    return nan_to_null(documents.withColumn("date", day).selectExpr(
         "series_id",
         "fetched_at",
-        day.alias("date"),
-        *[F.col(f"data.iaqi.{p}.v").alias(p) for p in POLLUTANTS],
-        *[F.lit(None).cast("double").alias(c) for c in SUB_INDEXES],
-        F.col("data.aqi").alias("AQI"),
+        "date",
+        *[f"data.iaqi.{p}.v AS {p}" for p in POLLUTANTS],
+        *[f"CAST(NULL AS double) AS {c}" for c in SUB_INDEXES],
+        "data.aqi AS AQI",
     ))
 
 

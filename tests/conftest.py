@@ -12,6 +12,7 @@ from airgrain.session import local_session  # noqa: E402
 def spark():
     session = local_session(4, "tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 

@@ -80,12 +80,12 @@ def test_shown_text(spark, x, text):
 )
 def test_sub_index(spark, x, plain, scaled):
     x = None if x is None else float(x)
-    assert one(spark, x, "double", lambda c: sub_index(c, BANDS["pm25"])) == plain
-    assert one(spark, x, "double", lambda c: sub_index(c, BANDS["pm25"], scale=True)) == scaled
+    assert one(spark, x, "double", lambda c: sub_index("x", BANDS["pm25"])) == plain
+    assert one(spark, x, "double", lambda c: sub_index("x", BANDS["pm25"], scale=True)) == scaled
 
 
 def test_shared_bound_takes_the_first_band(spark):
-    assert one(spark, 748.0, "double", lambda c: sub_index(c, BANDS["o3"], scale=True)) == 400.0
+    assert one(spark, 748.0, "double", lambda c: sub_index("x", BANDS["o3"], scale=True)) == 400.0
     df = spark.createDataFrame([("s", "o3", 748.0), ("s", "o3", 208.5)], "series_id string, pollutant string, value double")
     got = column(band_join(df, band_table(spark), "value", ["series_id"]), "band_no", "value")
     assert got == [None, 5]
