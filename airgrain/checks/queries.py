@@ -454,6 +454,11 @@ def drop_null_columns(spark: Spark, d: str) -> DataFrame:
 
 # ---- sources, sinks, jobs -------------------------------------------------------------------
 
+def _store(spark: Spark, root: str) -> Store:
+    """A store by years: each run here writes the whole history at once."""
+    return Store(spark, root, "yyyy")
+
+
 JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
@@ -504,7 +509,7 @@ def csv_bootstrap(spark: Spark, d: str) -> DataFrame:
     root = scratch_path(spark, "csv")
     write_csv(V.weather_daily(spark, d).withColumnRenamed("temp", " temp "), f"{root}/weather")
     write_csv(V.pollutant_daily(spark, d), f"{root}/pollutant")
-    store = Store(spark, f"{root}/store")
+    store = _store(spark, f"{root}/store")
     targets = {
         "main": {"kind": "store", "store": store},
         "copy": {"kind": "parquet", "path": f"{root}/copy", "names": {"cleaned_data": "CleanedData"}},
@@ -531,7 +536,7 @@ def _fetch_runs(spark: Spark, d: str):
 
 def refresh_runs(spark: Spark, d: str) -> DataFrame:
     """Two refresh runs and a compaction; the resulting cleaned table."""
-    store = Store(spark, scratch_path(spark, "store"))
+    store = _store(spark, scratch_path(spark, "store"))
     for number, (weather, pollutant) in enumerate(_fetch_runs(spark, d), 1):
         refresh_daily(weather, pollutant, store, f"{number:04d}")
     compact(store, "cleaned_data", "0003")
@@ -541,7 +546,7 @@ def refresh_runs(spark: Spark, d: str) -> DataFrame:
 def stream_refresh(spark: Spark, d: str) -> DataFrame:
     """The same two runs, landed as documents one after the other and streamed into a store."""
     root = scratch_path(spark, "stream")
-    store = Store(spark, f"{root}/store")
+    store = _store(spark, f"{root}/store")
     for weather, pollutant in _fetch_runs(spark, d):
         _land(_weather_documents(weather), f"{root}/landing/weather")
         _land(_pollutant_documents(pollutant), f"{root}/landing/pollutant")
@@ -566,7 +571,7 @@ def stream_daily(spark: Spark, d: str) -> DataFrame:
 
 def store_current(spark: Spark, d: str) -> DataFrame:
     """Three runs of forecasts with a compaction between; a date range read back."""
-    store = Store(spark, scratch_path(spark, "forecasts"))
+    store = _store(spark, scratch_path(spark, "forecasts"))
     publish({"aqi_forecast": _forecasts(spark, d, False)}, store, "0001")
     compact(store, "aqi_forecast", "0002")
     publish({"aqi_forecast": _forecasts(spark, d, True)}, store, "0003")
@@ -575,7 +580,7 @@ def store_current(spark: Spark, d: str) -> DataFrame:
 
 def gbt_forecast(spark: Spark, d: str) -> DataFrame:
     """Train on all series, save and load the model, forecast seven days for each. Few trees."""
-    store = Store(spark, scratch_path(spark, "model"))
+    store = _store(spark, scratch_path(spark, "model"))
     publish({"cleaned_data": V.cleaned_daily(spark, d)}, store, "0001")
     model = M.load_or_train(spark, store, RUN_TS, maxIter=3)
     return M.check_horizon(M.forecast(current(store, "cleaned_data"), model, AS_OF))

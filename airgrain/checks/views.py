@@ -12,6 +12,7 @@ from airgrain.functions.sub_index import with_aqi
 from airgrain.operators.aggregates import daily_aggregate
 from airgrain.operators.columns import select_features
 from airgrain.operators.joins import build_raw
+from airgrain.schemas import WEATHER_COLUMNS, WEATHER_TEXT
 
 ARRIVAL = ("seq", "line", "part", "supp")
 MICROS_PER_DAY = 86_400_000_000
@@ -21,31 +22,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _unless(missing: Column, value: Column) -> Column:
-    return F.when(~missing, value)
-
-
 def pollutant_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as pollutant observations of the supplier's nation, dated by shipping."""
     joined = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
-        F.col("l_suppkey") == F.col("s_suppkey"),
+        F.expr("l_suppkey = s_suppkey"),
     )
-    silent = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 2 == 0)
-    return joined.select(
-        F.col("s_nationkey").cast("string").alias("series_id"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        F.col("l_orderkey").alias("seq"),
-        F.col("l_linenumber").alias("line"),
-        F.col("l_partkey").alias("part"),
-        F.col("l_suppkey").alias("supp"),
-        F.col("l_returnflag").alias("flag"),
-        _unless(silent, F.col("l_quantity") * 6).alias("pm25"),
-        _unless(silent, F.col("l_quantity") * 10).alias("pm10"),
-        _unless(silent, F.floor(F.col("l_extendedprice") / 25) / 4).cast("double").alias("o3"),
-        _unless(silent, F.round(F.col("l_discount") * 100) * 50).alias("no2"),
-        _unless(silent, F.round(F.col("l_tax") * 100) * 200).alias("so2"),
-        _unless(silent | (F.col("l_linenumber") == 5), F.col("l_quantity") * 0.75).alias("co"),
+    values = {
+        "pm25": "l_quantity * 6",
+        "pm10": "l_quantity * 10",
+        "o3": "CAST(floor(l_extendedprice / 25) / 4 AS double)",
+        "no2": "round(l_discount * 100) * 50",
+        "so2": "round(l_tax * 100) * 200",
+        "co": "CASE WHEN l_linenumber <> 5 THEN l_quantity * 0.75D END",
+    }
+    heard = "NOT (l_returnflag = 'R' AND l_linenumber % 2 = 0)"
+    return joined.selectExpr(
+        "CAST(s_nationkey AS string) AS series_id",
+        "CAST(l_shipdate AS date) AS date",
+        "l_orderkey AS seq",
+        "l_linenumber AS line",
+        "l_partkey AS part",
+        "l_suppkey AS supp",
+        "l_returnflag AS flag",
+        *[f"CASE WHEN {heard} THEN {value} END AS {name}" for name, value in values.items()],
     )
 
 
@@ -53,51 +53,37 @@ def weather_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as weather observations of the customer's nation, dated by ordering."""
     joined = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-        F.col("o_custkey") == F.col("c_custkey"),
+        F.expr("o_custkey = c_custkey"),
+    )
+    base = joined.selectExpr(
+        "CAST(c_nationkey AS string) AS series_id", "CAST(o_orderdate AS date) AS date",
+        "o_orderkey AS k", "CAST(floor(o_totalprice / 2500) / 4 AS double) AS t",
+        "o_orderstatus AS status", "o_orderpriority AS priority",
     )
-    k = F.col("o_orderkey")
-    temp = (F.floor(F.col("o_totalprice") / 2500) / 4).cast("double")
-
-    def number(value: Column, name: str) -> Column:
-        return value.cast("double").alias(name)
-
-    return joined.select(
-        F.col("c_nationkey").cast("string").alias("series_id"),
-        F.col("o_orderdate").cast("date").alias("date"),
-        k.alias("seq"),
-        F.col("o_orderstatus").alias("status"),
-        F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("name"),
-        number(temp + k % 7, "tempmax"),
-        number(temp - k % 5, "tempmin"),
-        number(temp, "temp"),
-        number(temp + k % 7 + 1, "feelslikemax"),
-        number(temp - k % 5 - 1, "feelslikemin"),
-        number(temp + k % 3, "feelslike"),
-        number(_unless(k % 3 == 0, k % 31), "dew"),
-        number(k % 100, "humidity"),
-        number(k % 13, "precip"),
-        number(k % 101, "precipprob"),
-        number(k % 51, "precipcover"),
-        F.when(k % 4 == 1, "rain").when(k % 4 == 2, "snow").when(k % 4 == 3, "rain,snow").alias("preciptype"),
-        number(k % 2, "snow"),
-        number(_unless(k % 2 == 0, k % 9), "snowdepth"),
-        number(_unless(k % 4 == 1, k % 80), "windgust"),
-        number(k % 40, "windspeed"),
-        number(k % 360, "winddir"),
-        number(k % 60 + 980, "sealevelpressure"),
-        number(k % 97, "cloudcover"),
-        number(k % 25, "visibility"),
-        number(k % 301, "solarradiation"),
-        number(k % 29, "solarenergy"),
-        number(k % 11, "uvindex"),
-        F.lit(None).cast("double").alias("severerisk"),
-        F.concat(F.lit("06:"), F.lpad((k % 60).cast("string"), 2, "0"), F.lit(":00")).alias("sunrise"),
-        F.concat(F.lit("18:"), F.lpad((k % 60).cast("string"), 2, "0"), F.lit(":00")).alias("sunset"),
-        number(k % 8, "moonphase"),
-        _unless(k % 5 == 0, F.col("o_orderstatus")).alias("conditions"),
-        F.col("o_orderpriority").alias("description"),
-        F.when(k % 2 == 0, "clear-day").otherwise("cloudy").alias("icon"),
-        F.concat(F.lit("S"), (k % 17).cast("string")).alias("stations"),
+    minute = "lpad(CAST(k % 60 AS string), 2, '0')"
+    values = {
+        "name": "concat('NATION_', series_id)",
+        "tempmax": "t + k % 7", "tempmin": "t - k % 5", "temp": "t",
+        "feelslikemax": "t + k % 7 + 1", "feelslikemin": "t - k % 5 - 1", "feelslike": "t + k % 3",
+        "dew": "CASE WHEN k % 3 <> 0 THEN k % 31 END", "humidity": "k % 100",
+        "precip": "k % 13", "precipprob": "k % 101", "precipcover": "k % 51",
+        "preciptype": "CASE k % 4 WHEN 1 THEN 'rain' WHEN 2 THEN 'snow' WHEN 3 THEN 'rain,snow' END",
+        "snow": "k % 2", "snowdepth": "CASE WHEN k % 2 <> 0 THEN k % 9 END",
+        "windgust": "CASE WHEN k % 4 <> 1 THEN k % 80 END", "windspeed": "k % 40",
+        "winddir": "k % 360", "sealevelpressure": "k % 60 + 980", "cloudcover": "k % 97",
+        "visibility": "k % 25", "solarradiation": "k % 301", "solarenergy": "k % 29",
+        "uvindex": "k % 11", "severerisk": "NULL",
+        "sunrise": f"concat('06:', {minute}, ':00')", "sunset": f"concat('18:', {minute}, ':00')",
+        "moonphase": "k % 8", "conditions": "CASE WHEN k % 5 <> 0 THEN status END",
+        "description": "priority", "icon": "CASE WHEN k % 2 = 0 THEN 'clear-day' ELSE 'cloudy' END",
+        "stations": "concat('S', CAST(k % 17 AS string))",
+    }
+    return base.selectExpr(
+        "series_id", "date", "k AS seq", "status",
+        *[
+            f"CAST({values[c]} AS {'string' if c in WEATHER_TEXT else 'double'}) AS {c}"
+            for c in WEATHER_COLUMNS
+        ],
     )
 
 
@@ -113,7 +99,7 @@ def hourly_from_events(events: DataFrame) -> DataFrame:
         F.col("ts").cast("date").alias("date"),
         F.col("ts").alias("obs_ts"),
         e.alias("seq"),
-        _unless(e % 4 == 0, F.floor(F.col("value") * 4) / 4).cast("double").alias("value"),
+        F.expr("CAST(CASE WHEN event_id % 4 <> 0 THEN floor(value * 4) / 4 END AS double) AS value"),
         F.when(e % 3 == 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("note"),
         "props",
     )
