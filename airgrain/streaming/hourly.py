@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,8 +86,10 @@ def run_refresh(
         lines = lines.option("maxFilesPerTrigger", files_per_batch)
     documents = lines.text(landing).withColumn("_path", F.col("_metadata.file_path"))
 
+    folder = urlparse(landing).path.rstrip("/")
+
     def parsed(batch: DataFrame, kind: str, schema) -> DataFrame:
-        mine = batch.where(F.col("_path").contains(f"/{kind}/"))
+        mine = batch.where(F.col("_path").contains(f"{folder}/{kind}/"))
         return mine.select(F.from_json("value", schema).alias("d")).select("d.*")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
