@@ -182,7 +182,7 @@ def train(
     cleaned: DataFrame, run_ts, keys: Sequence[str] = KEYS, ts: str = DAY, **settings
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on the train rows and score the test rows: the model and its score rows."""
-    frame = training_frame(cleaned, keys, ts).persist(StorageLevel.MEMORY_AND_DISK)
+    frame = training_frame(cleaned, keys, ts)
     model = fit_horizons(frame.where("split = 'train'"), keys=keys, ts=ts, **settings)
     scores = evaluate(predict(model, frame.where("split = 'test'")), run_ts, keys, ts)
     return model, scores

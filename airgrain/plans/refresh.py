@@ -79,11 +79,23 @@ def refresh_daily(
 ) -> bool:
     """Merge one batch of fetched rows into the four daily tables, all or none.
 
-    Only the store's months between the batch's first and last day are read. The two averaged
-    tables are persisted, since the joined tables are built from them.
+    Only the store's periods between the batch's first and last day are read. The batch and the
+    two averaged tables are persisted, since each is read several times.
     """
     if store.is_committed(run_id):
         return False
+    weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
+    pollutant = pollutant.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _merge_batch(weather, pollutant, store, run_id, batch)
+    finally:
+        weather.unpersist()
+        pollutant.unpersist()
+
+
+def _merge_batch(
+    weather: DataFrame, pollutant: DataFrame, store: Store, run_id: str, batch: str
+) -> bool:
     days = weather.select(DAY).union(pollutant.select(DAY))
     first, last = days.agg(F.min(DAY), F.max(DAY)).first()
     if first is None:
