@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from .common import ascii_lower, left_join, let, saved, table
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before A-Z are lower-cased
 WINDOW, GRAM = 13, 5
 BROADCAST_ROWS = 200_000
 

@@ -19,13 +19,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import crc_mod, table
 
 SAMPLE, SAMPLE_LINES, ROUNDS, THRESHOLD = 3000, 400, 150, 0.3
 CLASSES = ("newline", "space", "lower", "upper", "digit", "stop", "bang", "bar", "symbol", "other")
 FEATURES = 19
-SCORED = "row bigint, score double"
 
 
 KEPT: dict = {}
@@ -222,7 +222,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict
 def quality_scores(documents: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
     """``documents`` with ``score``."""
     columns = documents.columns
-    schema = documents.schema.add("score", "double")
+    schema = StructType([*documents.schema.fields, StructField("score", DoubleType())])
 
     def score(batches):
         for pdf in batches:
