@@ -90,7 +90,9 @@ def plan_mix(documents: DataFrame, weights=WEIGHTS, most: int = MOST, shards: in
     """One row per document: doc_id, source, size, source_size, target, passes (times taken), shards (of each pass), order."""
     if shards & (shards - 1):
         raise ValueError("the number of shards must be a power of two")
-    size = F.coalesce(F.regexp_count("text", F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")
+    # A word with the space after it becomes one character, and so does leading space, which is taken off again.
+    words = F.length(F.regexp_replace("text", f"^[{SPACE}]+|[^{SPACE}]+[{SPACE}]*", "x")) - F.col("text").rlike(f"^[{SPACE}]").cast("int")
+    size = F.coalesce(words, F.lit(0)).cast("long")
     sized = saved(documents.select(*(["_row"] if "_row" in documents.columns else []), "doc_id", "source", size.alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("order")), "mix-sizes")
     targets = saved(_targets(sized, weights, most), "mix-targets").withColumn(
         "full", F.least(F.lit(most), F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).cast("int")
