@@ -25,13 +25,12 @@ from pyspark.sql import Window as W
 from .common import ascii_lower, left_join, let, saved, table
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before A-Z are lower-cased
 WINDOW, GRAM = 13, 5
 BROADCAST_ROWS = 200_000
 
 
 def word_hashes(text: Column) -> Column:
-    words = F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD, -1), lambda w: w != "")
+    words = F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD, -1), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -55,8 +54,9 @@ def _sizes(length: int) -> tuple[int, int]:
     return k, length - k + 1
 
 
-def fingerprints(documents: DataFrame, keys: list[str], length: int, context: bool) -> DataFrame:
-    """Winnowed k-grams: keys, ``length``, ``h``, ``p`` and, on request, the words that any window over it can hold."""
+def fingerprints(documents: DataFrame, keys: list[str], length: int, context: bool, own: bool) -> DataFrame:
+    """Winnowed k-grams: keys, ``length``, ``h``, ``p`` and, on request, the words that any window over it can hold
+    and a row of the document itself: ``length`` and ``h`` 0, ``p`` its number of words."""
     k, run = _sizes(length)
 
     def chosen(hashes):
@@ -65,20 +65,33 @@ def fingerprints(documents: DataFrame, keys: list[str], length: int, context: bo
             least = lambda order: F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.array_min(F.slice(order, i, run))))
             def row(x):
                 p = _place(x).cast("int")
-                cells = [F.element_at(grams, p + 1).alias("h"), p.alias("p")]
+                cells = [F.lit(length).alias("length"), F.element_at(grams, p + 1).alias("h"), p.alias("p")]
                 if context:
                     first = F.greatest(p - (run - 1), F.lit(0))
                     cells += [(p - first).alias("off"), F.slice(hashes, first + 1, p + length - first).alias("around")]
                 return F.struct(*cells)
             return F.when(n >= 1, F.transform(let(_order(grams), least), row))
-        return let(_grams(hashes, k), picks)
+
+        found = let(_grams(hashes, k), picks)
+        if not own:
+            return found
+        itself_type = "array<struct<length:int,h:bigint,p:int,off:int,around:array<bigint>>>"
+        itself = F.array(F.struct(F.lit(0).alias("length"), F.lit(0).cast("long").alias("h"), F.size(hashes).alias("p"), F.lit(0).alias("off"), F.array().cast("array<bigint>").alias("around")))
+        return F.concat(itself, F.coalesce(found, F.array().cast(itself_type)))
 
     found = documents.select(*keys, F.explode(let(F.col("hashes"), chosen)).alias("f"))
-    return found.select(*keys, F.lit(length).alias("length"), "f.*")
+    return found.select(*keys, "f.*")
+
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more)
+    return out
 
-def index_of(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct windows (length, h, x: place of the k-gram in the window, words) and their items."""
+
+def index_of(benchmark: DataFrame) -> tuple[DataFrame | None, DataFrame, list[int]]:
+    """Distinct windows (length, h, x: place of the k-gram in the window, words), their items, and the lengths."""
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", word_hashes(F.col("text")).alias("hashes")).where(F.size("hashes") > 0)
     length = F.least(F.size("hashes"), F.lit(WINDOW))
     windows = items.select("item_id", F.explode(let(F.col("hashes"), lambda h: F.transform(
@@ -88,53 +101,47 @@ def index_of(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     windows = saved(windows, "bench-windows")
     members = windows.select("w1", "w2", "item_id").distinct()
     distinct = windows.groupBy("w1", "w2", "length").agg(F.first("words").alias("words"))
+    lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most 13
     parts = []
-    for n in sorted(r[0] for r in distinct.select("length").distinct().collect()):  # at most 13 lengths
+    for n in lengths:
         k, _ = _sizes(n)
         of_length = distinct.where(F.col("length") == n)
-        spot = F.col("words")
-        pick = let(_grams(spot, k), lambda g: let(_place(F.array_min(_order(g))).cast("int"), lambda x: F.struct(x.alias("x"), F.element_at(g, x + 1).alias("h"))))
+        pick = let(_grams(F.col("words"), k), lambda g: let(_place(F.array_min(_order(g))).cast("int"), lambda x: F.struct(x.alias("x"), F.element_at(g, x + 1).alias("h"))))
         parts.append(of_length.withColumn("s", pick).select("w1", "w2", "length", "words", "s.*"))
-    if not parts:
-        return None, members
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return saved(out, "bench-index"), members
-
-
-def window_hits(documents: DataFrame, keys: list[str], index: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Every occurrence of an indexed window: keys, start, length, w1, w2. ``documents`` has keys and ``hashes``."""
-    lengths = sorted(r[0] for r in index.select("length").distinct().collect())  # at most 13
-
-    def prints(docs, context):
-        out = None
-        for n in lengths:
-            one = fingerprints(docs, keys, n, context)
-            out = one if out is None else out.unionByName(one)
-        return out
-
-    if index.count() <= broadcast_rows:
-        index = F.broadcast(index)
+    return (saved(_union(parts), "bench-index") if parts else None), members, lengths
+
+
+def window_hits(documents: DataFrame, keys: list[str], index: DataFrame, lengths: list[int], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Every occurrence of an indexed window: keys, start, length, w1, w2; and a row per document of ``length`` 0, its ``start`` the number of words.
+
+    ``documents`` has keys and ``hashes``. With a broadcast index both come from one pass over the texts: the
+    document's own row meets a row of length 0 that is added to the index.
+    """
+    own_row = documents.select(*keys, F.size("hashes").alias("start"), F.lit(0).alias("length"), F.lit(None).cast("long").alias("w1"), F.lit(None).cast("long").alias("w2"))
+    if not lengths:
+        return own_row
+    small = index.count() <= broadcast_rows
+    if small:
+        nothing = index.sparkSession.range(1).select(*[F.lit(v).cast(index.schema[c].dataType).alias(c) for c, v in {"w1": None, "w2": None, "length": 0, "words": [], "x": 0, "h": 0}.items()])
+        index = F.broadcast(index.unionByName(nothing))
     else:
-        met = prints(documents, False).join(index.select("length", "h").distinct(), ["length", "h"], "left_semi").select(*keys).distinct()
+        met = _union([fingerprints(documents, keys, n, False, False) for n in lengths]).join(index.select("length", "h").distinct(), ["length", "h"], "left_semi").select(*keys).distinct()
         documents = left_join(documents, met, keys, "left_semi")
-    pairs = prints(documents, True).join(index, ["length", "h"])
+    pairs = _union([fingerprints(documents, keys, n, True, small and n == lengths[0]) for n in lengths]).join(index, ["length", "h"])
     start = F.col("off") - F.col("x")
     whole = (start >= 0) & (F.slice("around", F.greatest(start, F.lit(0)) + 1, F.col("length")) == F.col("words"))
-    return pairs.where(whole).select(*keys, (F.col("p") - F.col("x")).alias("start"), "length", "w1", "w2")
+    hits = pairs.where((F.col("length") == 0) | whole).select(*keys, (F.col("p") - F.col("x")).alias("start"), "length", "w1", "w2")
+    return hits if small else hits.unionByName(own_row)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, text_hash, n_words, n_hit, items (sorted ids as strings) of every document."""
-    index, members = index_of(benchmark)
-    docs = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    index, members, lengths = index_of(benchmark)
     keys = ["doc_id", "text_hash"]
-    n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    base = docs.select(*keys, n_words.alias("n_words")).distinct()
-    if index is None:
-        return base.withColumns({"n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>")})
-    hits = saved(window_hits(docs.select(*keys, word_hashes(F.col("text")).alias("hashes")), keys, index, broadcast_rows).distinct(), "bench-hits")
+    docs = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("hashes"))
+    found = saved(window_hits(docs, keys, index, lengths, broadcast_rows).distinct(), "bench-hits")
+    base = found.where("length = 0").select(*keys, F.col("start").cast("long").alias("n_words"))
+    hits = found.where("length > 0")
     # Union of the intervals: what each adds beyond the furthest end before it.
     end = F.col("start") + F.col("length")
     before = F.max(end).over(W.partitionBy(*keys).orderBy("start", "length").rowsBetween(W.unboundedPreceding, -1))
@@ -147,8 +154,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_rows: in
         hits.select(*keys, "w1", "w2").distinct().join(members, ["w1", "w2"])
         .groupBy(*keys).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     )
-    found = left_join(left_join(base, covered, keys), items, keys)
-    return found.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), "items": F.coalesce("items", F.array().cast("array<string>"))})
+    out = left_join(left_join(base, covered, keys), items, keys)
+    return out.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), "items": F.coalesce("items", F.array().cast("array<string>"))})
 
 
 def is_contaminated() -> Column:
