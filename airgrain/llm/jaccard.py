@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import left_join, saved, table
 from .linking import linked_components
 
-WORDS, PERCENT, SHARE = 3, 90, 0.2
+WORDS, PERCENT, SHARE, FILTER = 3, 90, 0.2, 1 << 20
 CHUNK = 1 << 20  # characters that are hashed together
 U = np.uint64
 GOLD, M1, M2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -228,7 +228,11 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     buckets = saved(prefix.select(F.col("g.gram").alias("key"), F.col("rep").alias("id"), "n"), "jaccard-prefixes")
 
     def texts(parts):
-        return docs.join(parts, docs["doc_id"] == parts["id"]).select("block", "part", "id", "probe", "text")
+        # At most FILTER hashes say which texts need not move; the join itself decides.
+        bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER))
+        wanted = F.broadcast(parts.select(bucket("id").alias("_bucket")).distinct())
+        some = docs.join(wanted, bucket("doc_id") == F.col("_bucket"), "left_semi")
+        return some.join(parts, some["doc_id"] == parts["id"]).select("block", "part", "id", "probe", "text")
 
     def compare(ids, texts, probe):
         return tree_links(ids, shingle_sets(texts), probe, percent)
