@@ -234,10 +234,10 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
         some = docs.join(wanted, bucket("doc_id") == F.col("_bucket"), "left_semi")
         return some.join(parts, some["doc_id"] == parts["id"]).select("block", "part", "id", "probe", "text")
 
-    def compare(ids, texts, probe):
-        return tree_links(ids, shingle_sets(texts), probe, percent)
+    def compare(ids, sets, probe):
+        return tree_links(ids, sets, probe, percent)
 
-    found = linked_components(buckets, texts, compare, percent / 100)
+    found = linked_components(buckets, texts, shingle_sets, compare, percent / 100)
     named = left_join(keys.distinct(), names, identity)
     of_rep = named.join(found, named["rep"] == found["id"], "left")
     # A doc_id with several texts joins their components.

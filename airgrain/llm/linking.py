@@ -44,22 +44,49 @@ def components(links: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots.select("id", F.col("id").alias("component")))
 
 
-def _compared(parts: DataFrame, texts: Callable[[DataFrame], DataFrame], compare) -> DataFrame:
-    """``parts``: block, part, id, probe. Links of each part."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["probe", "id"], ascending=[True, True]).drop_duplicates("id", keep="first")
-        pairs = compare(pdf["id"].to_numpy(), pdf["text"].fillna("").tolist(), pdf["probe"].to_numpy())
-        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+def _compared(parts: DataFrame, texts: Callable[[DataFrame], DataFrame], prepare, compare) -> DataFrame:
+    """``parts``: block, part, id, probe. Links of each part.
 
-    return texts(parts).groupBy("block", "part").applyInPandas(run, LINKS)
+    Parts are small and many, so a task takes them from its sorted rows batch by batch: ``prepare`` turns all texts of
+    a batch into items at once, ``compare`` gets the items of one part.
+    """
+    def run(batches):
+        held = ([], [], [], [])  # keys, ids, probes, items of the part that may go on in the next batch
+
+        def close(low, high, keys, ids, probes, items):
+            own = {}
+            for i in range(low, high):
+                own.setdefault(ids[i], i)
+            chosen = list(own.values())
+            return compare([ids[i] for i in chosen], [items[i] for i in chosen], [probes[i] for i in chosen]) if len(chosen) > 1 else []
+
+        for pdf in batches:
+            keys = held[0] + list(zip(pdf["block"].tolist(), pdf["part"].tolist(), strict=True))
+            ids, probes = held[1] + pdf["id"].tolist(), held[2] + pdf["probe"].tolist()
+            items = held[3] + list(prepare(pdf["text"].fillna("").tolist()))
+            pairs, low = [], 0
+            for i in range(1, len(keys)):
+                if keys[i] != keys[low]:
+                    pairs += close(low, i, keys, ids, probes, items)
+                    low = i
+            held = (keys[low:], ids[low:], probes[low:], items[low:])
+            if pairs:
+                yield pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+        if held[0]:
+            pairs = close(0, len(held[0]), *held)
+            if pairs:
+                yield pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+
+    arranged = texts(parts).select("block", "part", "id", "probe", "text").repartition("block", "part")
+    return arranged.sortWithinPartitions("block", "part", "probe", "id").mapInPandas(run, LINKS)
 
 
-def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame], compare, ratio: float, size: int = PART) -> DataFrame:
+def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame], prepare, compare, ratio: float, size: int = PART) -> DataFrame:
     """id, component of all items that link to another.
 
     ``buckets``: key, id, n, rows may repeat (sizes of linked items differ by the factor ``ratio`` at most). ``texts`` adds ``text``
-    to rows with ``id``. ``compare(ids, texts, probe)`` returns linked pairs; if any item is a probe only pairs
-    with a probe are asked for.
+    to rows with ``id``. ``prepare(texts)`` gives items; ``compare(ids, items, probe)`` returns linked pairs; if any
+    item is a probe only pairs with a probe are asked for.
     """
     pivots = buckets.groupBy("key").agg(F.min("id").alias("block"), F.max("id").alias("_most")).where("block < _most").drop("_most")
     met = saved(buckets.join(pivots, "key").select("block", "id", "n").distinct(), "link-members")
@@ -74,7 +101,7 @@ def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame
     small = small.select("block", F.explode(F.expr(fits)).alias("x")).select("block", F.lit(0).alias("part"), F.col("x.id").alias("id"), F.lit(False).alias("probe"))
     pivot_rows = hot.select("block", "parts").distinct().select("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("block").alias("id"), F.lit(False).alias("probe"))
     first = saved(small.unionByName(hot.select("block", "part", "id", F.lit(False).alias("probe"))).unionByName(pivot_rows), "link-parts")
-    links = saved(_compared(first, texts, compare), "links")
+    links = saved(_compared(first, texts, prepare, compare), "links")
     found = saved(components(links), "link-components")
     if hot.isEmpty():
         return found
@@ -89,5 +116,5 @@ def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame
     probes = chunk.select("block", "id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), "chunk", "chunks", F.lit(True).alias("probe"))
     base = hot.join(chunks, "block").select("block", "id", F.col("part").alias("p"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "chunks", F.lit(False).alias("probe"))
     second = probes.unionByName(base).select("block", (F.col("p") * F.col("chunks") + F.col("chunk")).alias("part"), "id", "probe")
-    more = saved(_compared(saved(second, "link-parts"), texts, compare), "links")
+    more = saved(_compared(saved(second, "link-parts"), texts, prepare, compare), "links")
     return saved(components(links.unionByName(more)), "link-components")
