@@ -12,7 +12,7 @@ averaged in a tree, and the next round starts from the average. Output biases st
 Scoring reads each text whole: documents step together in lanes, the state carried across windows from the first word to the
 end mark. Counts of the ``HEAD`` most frequent words travel to the executors; rarer words meet their counts in a shuffled join.
 
-Null and empty texts are the end mark alone. A document is (doc_id, text): repeated rows give one row. With no training
+Null and empty texts are the end mark alone. Repeated rows give repeated rows. With no training
 document every count is 0. Extra columns are ignored.
 """
 
@@ -25,9 +25,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, left_join, saved, table
+from .common import crc_mod, saved, table
 
-HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES = 50_000, 1024, 32, 32, 16, 16, 256
+HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES = 50_000, 1024, 32, 32, 16, 16, 256, 1024
 SHARE, SHARD, ROUNDS, RATE, FAN = 8, 4096, 2, 0.01, 32
 END = b"\n"  # no word holds whitespace
 PER = MODELLED // CLASSES
@@ -152,11 +152,11 @@ class Network:
         return grad, states[-1]
 
 
-def _lanes(symbols: list[np.ndarray]):
+def _lanes(symbols: list[np.ndarray], lanes: int):
     """Documents of similar length side by side: (indices, T x B symbols, lengths), longest first."""
     order = sorted(range(len(symbols)), key=lambda i: -len(symbols[i]))
-    for at in range(0, len(order), LANES):
-        some = order[at:at + LANES]
+    for at in range(0, len(order), lanes):
+        some = order[at:at + lanes]
         size = np.array([len(symbols[i]) for i in some])
         yield some, size
 
@@ -175,9 +175,9 @@ def _window(symbols, some, size, at, width):
 def score_symbols(net: Network, symbols: list[np.ndarray], end: int) -> np.ndarray:
     """log10 probability of each document's classes and modelled words."""
     out = np.zeros(len(symbols))
-    for some, size in _lanes(symbols):
+    for some, size in _lanes(symbols, SCORE_LANES):
         h, last = np.zeros((len(some), HIDDEN), np.float32), np.full(len(some), end)
-        width = 64
+        width = 32
         for at in range(0, int(size[0]), width):
             live, cells, alive = _window(symbols, some, size, at, width)
             inputs = np.concatenate([last[None, :live], cells[:-1]])
@@ -193,7 +193,7 @@ def train_shard(flat: np.ndarray, symbols: list[np.ndarray], end: int) -> np.nda
     """One pass of Adam over windows of a shard's documents."""
     net = Network(flat.copy())
     m, v, step = np.zeros_like(net.flat), np.zeros_like(net.flat), 0
-    batches = list(_lanes(symbols))
+    batches = list(_lanes(symbols, LANES))
     for b in np.random.default_rng(len(symbols)).permutation(len(batches)):
         some, size = batches[b]
         h, last = np.zeros((len(some), HIDDEN), np.float32), np.full(len(some), end)
@@ -298,54 +298,53 @@ def score_documents(documents: DataFrame) -> DataFrame:
     head_counts = np.array([head[w] for w in modelled] + [0] * (MODELLED - len(modelled)), np.float64)
     totals = _tail_totals(counts, known)
     flat = _train(docs, Network.start(head_counts, totals), known)
-    # word -> symbol and log10(c + 0.5), for the words whose counts travel.
-    lookup = {w: (known[w] if w in known else MODELLED + tail_class(w)) for w in head}
-    logs = {w: float(np.log10(c + 0.5)) for w, c in head.items()}
-    sent = spark.sparkContext.broadcast((flat, lookup, logs, {w for w in head if head[w] > 0}, known, np.log10(totals + 0.5)))
-    schema = "doc_id bigint, text_hash bigint, n_tokens bigint, n_known bigint, logs double, score double, tail double, word binary, times int"
+    # Of the words whose counts travel: place -> symbol, log10(c + 0.5), whether seen, whether outside the network.
+    words = list(head)
+    symbol = np.array([known[w] if w in known else MODELLED + tail_class(w) for w in words], np.int64)
+    logs = np.log10(np.array([head[w] for w in words], np.float64) + 0.5)
+    seen, outside = np.array([head[w] > 0 for w in words]), symbol >= MODELLED
+    sent = spark.sparkContext.broadcast((flat, {w: i for i, w in enumerate(words)}, symbol, logs, seen, outside, known[END], np.log10(totals + 0.5)))
+    schema = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, logs double, score double, tail double, word binary, times int"
 
     def run(batches):
-        flat, lookup, logs, seen, known, tail_logs = sent.value
-        net = Network(flat.copy())
+        flat, places, symbol, logs, seen, outside, end, tail_logs = sent.value
+        net, place = Network(flat.copy()), places.get
         for pdf in batches:
             for at in range(0, len(pdf), 2000):
                 part = pdf.iloc[at:at + 2000]
-                symbols, rows, rare = [], [], []
-                for doc_id, text_hash, text in zip(part["doc_id"], part["text_hash"], part["text"].fillna(""), strict=True):
+                symbols, n_known, sums, tails, rare_row, rare_word, rare_times = [], [], [], [], [], [], []
+                for row, text in zip(part["row"].tolist(), part["text"].fillna("").tolist(), strict=True):
                     words = words_of(text)
-                    ids = [lookup.get(w, -1) for w in words]
-                    away = Counter(w for w, i in zip(words, ids, strict=True) if i < 0) if -1 in ids else {}
-                    total, known_here = 0.0, 0
-                    for i, w in enumerate(words):
-                        if ids[i] < 0:
-                            ids[i] = MODELLED + tail_class(w)
-                        else:
-                            total += logs[w]
-                            known_here += 1
-                    ids = np.array(ids, np.int64)
-                    kinds = ids[ids >= MODELLED] - MODELLED
-                    # Travelling words of the tail: their count over the class total.
-                    inside = sum(logs[w] for w in words if w in logs and w not in known)
+                    at_head = np.array([place(w, -1) for w in words], np.int64)
+                    away = np.flatnonzero(at_head < 0)
+                    ids = symbol[at_head]
+                    if len(away):
+                        far = [words[i] for i in away.tolist()]
+                        ids[away] = [MODELLED + tail_class(w) for w in far]
+                        counted = Counter(far)
+                        rare_row += [row] * len(counted)
+                        rare_word += counted.keys()
+                        rare_times += counted.values()
+                        at_head = at_head[at_head >= 0]
+                    near = logs[at_head]
                     symbols.append(ids)
-                    rows.append((doc_id, text_hash, len(words), known_here - sum(1 for w in words if w in logs and w not in seen), total, inside - float(tail_logs[kinds].sum())))
-                    rare += [(doc_id, text_hash, w, k) for w, k in away.items()]
-                score = score_symbols(net, symbols, known[END])
+                    n_known.append(int(seen[at_head].sum()))
+                    sums.append(float(near.sum()))
+                    # In the tail a word's probability is its count over its class's total.
+                    tails.append(float(near[outside[at_head]].sum() - tail_logs[ids[ids >= MODELLED] - MODELLED].sum()))
                 yield pd.DataFrame({
-                    "doc_id": [r[0] for r in rows], "text_hash": [r[1] for r in rows], "n_tokens": [r[2] for r in rows], "n_known": [r[3] for r in rows],
-                    "logs": [r[4] for r in rows], "score": score, "tail": [r[5] for r in rows], "word": None, "times": None})
-                if rare:
+                    "row": part["row"], "doc_id": part["doc_id"], "n_tokens": [len(x) for x in symbols], "n_known": n_known, "logs": sums,
+                    "score": score_symbols(net, symbols, end), "tail": tails, "word": None, "times": None})
+                if rare_row:
                     yield pd.DataFrame({
-                        "doc_id": [r[0] for r in rare], "text_hash": [r[1] for r in rare], "n_tokens": None, "n_known": None, "logs": None, "score": None, "tail": None,
-                        "word": [r[2] for r in rare], "times": [r[3] for r in rare]})
+                        "row": rare_row, "doc_id": None, "n_tokens": None, "n_known": None, "logs": None, "score": None, "tail": None, "word": rare_word, "times": rare_times})
 
-    read = saved(docs.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text").mapInPandas(run, schema), "lm-scored")
-    key = ["doc_id", "text_hash"]
-    base = read.where("word is null").drop("word", "times").dropDuplicates(key)
-    rare = read.where("word is not null").select(*key, "word", "times").distinct()
+    read = saved(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInPandas(run, schema), "lm-scored")
+    base = read.where("word is null").drop("word", "times")
     c = F.coalesce("c", F.lit(0))
-    rare = rare.join(counts, "word", "left").groupBy(*key).agg(
+    rare = read.where("word is not null").select("row", "word", "times").join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(c + 0.5)).alias("rare_logs"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    found = left_join(base, rare, key)
+    found = base.join(rare, "row", "left")
     rare_logs = F.coalesce("rare_logs", F.lit(0.0))
     return found.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
