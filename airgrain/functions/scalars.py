@@ -68,8 +68,10 @@ def utc_date(col: Column, time_zone: str = "UTC") -> Column:
 
 
 def local_date(col: Column, time_zone: str) -> Column:
-    """Calendar date in a time zone of a UTC timestamp."""
-    return F.to_date(F.from_utc_timestamp(col, time_zone))
+    """Calendar date in a time zone of an instant, whatever the session's zone."""
+    seconds = F.unix_micros(col).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    utc = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(time_zone), utc))
 
 
 def is_summer(month: Column) -> Column:

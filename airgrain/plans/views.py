@@ -100,7 +100,7 @@ def current_conditions(
     weather: DataFrame, pollutant: DataFrame, from_date=None, as_of=None, keys=KEYS, ts: str = DAY
 ) -> DataFrame:
     """The newest weather row of each series with the newest pollutant row beside it."""
-    if as_of is not None:
+    if from_date is not None or as_of is not None:
         weather, pollutant = (in_window(d, from_date, as_of, ts) for d in (weather, pollutant))
     now = last_row(weather.select(*keys, *WEATHER_CARD), keys, ts)
     air = last_row(pollutant.select(*keys, ts, *POLLUTANT_CARD), keys, ts).drop(ts)

@@ -113,9 +113,7 @@ def current(store: Store, table: str, start=None, end=None) -> DataFrame:
     recent = [r for r, kind in runs if kind != "base"]
     changed = _scan(store, table, recent, start, end) if recent else None
     if changed is not None:
-        if len(recent) > 1:
-            changed = last_write_wins(changed, keys, "run_id")
-        changed = changed.drop("run_id")
+        changed = last_write_wins(changed, keys, "run_id").drop("run_id")
     if not base:
         return changed
     rows = _scan(store, table, base, start, end).drop("run_id")

@@ -97,3 +97,21 @@ def test_index_overwrites_the_reported_one(spark):
         ", ".join(f"{p} double" for p in POLLUTANTS) + ", AQI double",
     )
     assert [r["AQI"] for r in with_aqi(df).collect()] == [40.0, None]
+
+
+def test_local_date_in_any_session_zone(spark):
+    import datetime
+
+    from pyspark.sql import functions as F
+
+    from airgrain.functions.scalars import local_date
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = spark.sql("SELECT timestamp_seconds(s) AS t FROM VALUES (1735758000), (null) v(s)")  # 19:00 UTC
+            got = [r[0] for r in rows.select(local_date(F.col("t"), "Asia/Kolkata")).collect()]
+            assert got == [datetime.date(2025, 1, 2), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
