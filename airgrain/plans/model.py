@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
@@ -29,7 +30,7 @@ from airgrain.schemas import (
     TARGETS,
 )
 from airgrain.session import use_checkpoints
-from airgrain.sources.store import Store, load_table, path_exists
+from airgrain.sources.store import Store, load_table, path_exists, publish
 
 PREDICTIONS = tuple(f"predicted_{i}" for i in range(1, HORIZON + 1))
 
@@ -58,14 +59,15 @@ def fit_horizons(
 ) -> PipelineModel:
     """One regressor per horizon on rows of all series; the result predicts all horizons at once.
 
-    Rows are range-partitioned and sorted first, so that the row sampling can be repeated.
+    Rows are dealt by a hash of their keys and sorted first, so that the row sampling can be repeated
+    with the same number of partitions.
     """
     spark = train.sparkSession
     use_checkpoints(spark)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        assembler.transform(train.repartitionByRange(count, *keys, ts).sortWithinPartitions(*keys, ts))
+        assembler.transform(train.repartition(count, *keys, ts).sortWithinPartitions(*keys, ts))
         .select("features", *targets)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -147,9 +149,17 @@ def forecast_rows(
 
 
 def check_horizon(
-    forecast: DataFrame, expected: int = HORIZON, keys: Sequence[str] = (*KEYS, "forecast_date")
+    forecast: DataFrame,
+    expected: int = HORIZON,
+    keys: Sequence[str] = (*KEYS, "forecast_date"),
+    series: DataFrame | None = None,
 ) -> DataFrame:
-    """The forecast, if every series has exactly the expected number of predictions."""
+    """The forecast, if every series has exactly the expected number of predictions. ``series`` lists
+    those that must be there at all."""
+    if series is not None:
+        absent = series.join(forecast.select(*series.columns), series.columns, "left_anti").first()
+        if absent is not None:
+            raise ValueError(f"no forecast for {absent.asDict()}")
     known = F.count(F.when(F.col("predicted_aqi").isNotNull(), 1))
     wrong = forecast.groupBy(*keys).agg(known.alias("n")).where(F.col("n") != expected).first()
     if wrong is not None:
@@ -162,7 +172,13 @@ def recent(df: DataFrame, as_of, lookback_days: int | None, ts: str = DAY) -> Da
     and the incomplete rows between them; by default the whole history is used."""
     if lookback_days is None:
         return df
-    return df.where(F.col(ts) > F.date_sub(F.lit(as_of).cast("date"), lookback_days))
+    return df.where(F.col(ts) >= F.lit(first_day(as_of, lookback_days)).cast("date"))
+
+
+def first_day(as_of, lookback_days: int) -> date:
+    """The first of the last ``lookback_days`` days up to ``as_of``."""
+    day = as_of if isinstance(as_of, date) else date.fromisoformat(str(as_of)[:10])
+    return day - timedelta(days=lookback_days - 1)
 
 
 def forecast(
@@ -181,28 +197,53 @@ def forecast(
 def train(
     cleaned: DataFrame, run_ts, keys: Sequence[str] = KEYS, ts: str = DAY, **settings
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the train rows and score the test rows: the model and its score rows."""
-    frame = training_frame(cleaned, keys, ts)
-    model = fit_horizons(frame.where("split = 'train'"), keys=keys, ts=ts, **settings)
-    scores = evaluate(predict(model, frame.where("split = 'test'")), run_ts, keys, ts)
+    """Fit on the train rows and score the test rows: the model and its score rows, one per series,
+    which are computed here and kept."""
+    frame = training_frame(cleaned, keys, ts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = fit_horizons(frame.where("split = 'train'"), keys=keys, ts=ts, **settings)
+        scores = evaluate(predict(model, frame.where("split = 'test'")), run_ts, keys, ts)
+        scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
+        scores.count()
+    finally:
+        frame.unpersist()
     return model, scores
 
 
+VERSIONS = "_versions"
+
+
+def model_version(spark: SparkSession, path: str) -> int:
+    """The newest complete version of the model at ``path``; 0 if there is none."""
+    if not path_exists(spark, f"{path}/{VERSIONS}"):
+        return 0
+    return spark.read.schema("version long").json(f"{path}/{VERSIONS}").agg(F.max("version")).first()[0] or 0
+
+
 def save_model(model: PipelineModel, path: str) -> None:
-    """Replaces an earlier model; missing folders are created."""
-    model.write().overwrite().save(path)
+    """Becomes the model at ``path`` once all of it is written; until then the earlier one stays."""
+    spark = SparkSession.active()
+    version = model_version(spark, path) + 1
+    model.write().overwrite().save(f"{path}/version={version}")
+    line = spark.createDataFrame([(version,)], "version long")
+    line.coalesce(1).write.mode("append").json(f"{path}/{VERSIONS}")
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    version = model_version(SparkSession.active(), path)
+    if not version:
+        raise ValueError(f"no model at {path}")
+    return PipelineModel.load(f"{path}/version={version}")
 
 
 def load_or_train(
     spark: SparkSession, store: Store, run_ts, path: str | None = None, **settings
 ) -> PipelineModel:
-    """The stored model; if there is none, one is trained on ``cleaned_data`` and saved."""
+    """The stored model; if there is none, one is trained on ``cleaned_data`` and saved, and its
+    scores are upserted."""
     path = path or store.path("model")
-    if not path_exists(spark, path):
-        model, _ = train(load_table(spark, store, "cleaned_data"), run_ts, **settings)
+    if not model_version(spark, path):
+        model, scores = train(load_table(spark, store, "cleaned_data"), run_ts, **settings)
+        publish({"model_evaluation": scores}, store, f"train-{re.sub(r'[^0-9A-Za-z]+', '-', str(run_ts))}")
         save_model(model, path)
     return load_model(path)

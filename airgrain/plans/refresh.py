@@ -14,19 +14,20 @@ from airgrain.operators.columns import select_features
 from airgrain.operators.joins import build_raw
 from airgrain.operators.series import time_segment
 from airgrain.plans.cleaning import clean_weather
-from airgrain.plans.model import check_horizon, forecast, load_or_train, save_model, train
+from airgrain.plans.model import check_horizon, first_day, forecast, load_or_train, save_model, train
 from airgrain.schemas import (
     DAY,
     KEYS,
     POLLUTANT,
     POLLUTANTS,
     SUB_INDEXES,
+    TABLES,
     WEATHER,
     WEATHER_NUMERIC,
     WEATHER_TEXT,
 )
 from airgrain.sources.files import read_csv_table
-from airgrain.sources.store import Store, current, publish, write_targets
+from airgrain.sources.store import Store, compact, current, publish, write_targets
 
 DAILY = (*KEYS, DAY)
 FETCH = "fetched_at"
@@ -79,8 +80,8 @@ def refresh_daily(
 ) -> bool:
     """Merge one batch of fetched rows into the four daily tables, all or none.
 
-    Only the store's periods between the batch's first and last day are read. The batch and the
-    two averaged tables are persisted, since each is read several times.
+    Only the store's periods that the batch has days in are read. The batch and the two averaged
+    tables are persisted, since each is read several times.
     """
     if store.is_committed(run_id):
         return False
@@ -96,15 +97,17 @@ def refresh_daily(
 def _merge_batch(
     weather: DataFrame, pollutant: DataFrame, store: Store, run_id: str, batch: str
 ) -> bool:
-    days = weather.select(DAY).union(pollutant.select(DAY))
-    first, last = days.agg(F.min(DAY), F.max(DAY)).first()
-    if first is None:
+    days = weather.select(DAY).union(pollutant.select(DAY)).where(F.col(DAY).isNotNull())
+    # at most one line per calendar month (or year) comes to the driver
+    found = days.select(F.date_format(DAY, store.period).alias("period")).distinct().collect()
+    if not found:
         return False
+    periods = sorted(r["period"] for r in found)
     tables = refreshed_tables(
         weather,
         pollutant,
-        current(store, "weather_data", first, last),
-        current(store, "pollutant_data", first, last),
+        current(store, "weather_data", periods=periods),
+        current(store, "pollutant_data", periods=periods),
         batch,
     )
     daily_weather = tables["weather_data"].persist(StorageLevel.MEMORY_AND_DISK)
@@ -127,30 +130,48 @@ def _merge_batch(
 
 
 def publish_forecast(store: Store, model, as_of, run_id: str, lookback_days=None) -> DataFrame:
-    """Forecast all series from the cleaned table and upsert the rows."""
-    rows = forecast(current(store, "cleaned_data"), model, as_of, lookback_days=lookback_days)
+    """Forecast all series from the cleaned table and upsert the rows.
+
+    A series with no complete row to forecast from, in the lookback if there is one, is an error.
+    The lookback reaches the scan of the features; only the series' names are read of all periods.
+    """
+    start = None if lookback_days is None else first_day(as_of, lookback_days)
+    rows = forecast(current(store, "cleaned_data", start), model, as_of, lookback_days=lookback_days)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    series = current(store, "cleaned_data").select(*KEYS).distinct()
     try:
-        publish({"aqi_forecast": check_horizon(rows)}, store, run_id)
+        publish({"aqi_forecast": check_horizon(rows, series=series)}, store, run_id)
     finally:
         rows.unpersist()
     return current(store, "aqi_forecast")
 
 
 def hourly_job(
-    spark: SparkSession, weather, pollutant, store: Store, as_of, run_id: str, run_ts, **settings
+    spark: SparkSession, weather, pollutant, store: Store, as_of, run_id: str, run_ts,
+    lookback_days: int | None = None, **settings
 ) -> DataFrame:
-    """Refresh the tables, then forecast. An error stops the job."""
+    """Refresh the tables, then forecast. Without a model one is trained and its scores are upserted.
+    An error stops the job."""
     refresh_daily(weather, pollutant, store, run_id)
     model = load_or_train(spark, store, run_ts, **settings)
-    return publish_forecast(store, model, as_of, f"{run_id}-forecast")
+    return publish_forecast(store, model, as_of, f"{run_id}-forecast", lookback_days)
 
 
-def daily_job(store: Store, run_ts, run_id: str, path: str | None = None, **settings) -> DataFrame:
-    """Retrain, save the model and upsert its scores."""
-    model, scores = train(current(store, "cleaned_data"), run_ts, **settings)
-    publish({"model_evaluation": scores}, store, run_id)
-    save_model(model, path or store.path("model"))
+def daily_job(
+    store: Store, run_ts, run_id: str, path: str | None = None, compact_after: int = 24, **settings
+) -> DataFrame:
+    """Retrain, save the model and upsert its scores; then compact tables of over ``compact_after`` runs.
+
+    The scores are committed after the model is saved, and a committed run is not trained again, so
+    scores and model always belong together.
+    """
+    if not store.is_committed(run_id):
+        model, scores = train(current(store, "cleaned_data"), run_ts, **settings)
+        save_model(model, path or store.path("model"))
+        publish({"model_evaluation": scores}, store, run_id)
+    for table in TABLES:
+        if len(store.runs(table)) > compact_after:
+            compact(store, table, f"{run_id}-base")
     return current(store, "model_evaluation")
 
 

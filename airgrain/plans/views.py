@@ -20,7 +20,7 @@ from airgrain.operators.columns import (
 )
 from airgrain.operators.joins import latest_by
 from airgrain.operators.series import last_row
-from airgrain.schemas import DAY, KEYS, PARTITION_COLUMN, TABLES
+from airgrain.schemas import DAY, KEYS, PARTITION_COLUMN
 from airgrain.sources.store import Store, current
 
 # The fields of the current-conditions view, by group.
@@ -105,8 +105,3 @@ def current_conditions(
     now = last_row(weather.select(*keys, *WEATHER_CARD), keys, ts)
     air = last_row(pollutant.select(*keys, ts, *POLLUTANT_CARD), keys, ts).drop(ts)
     return nan_to_null(now.join(air, list(keys), "left"))
-
-
-def view_names() -> list[str]:
-    """Tables that may be read."""
-    return sorted(TABLES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from airgrain.functions.scalars import local_date, nan_to_null, parse_date
 from airgrain.schemas import (
@@ -17,6 +18,32 @@ from airgrain.schemas import (
 )
 
 
+CORRUPT = "_corrupt"
+JSON_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT}
+
+
+def with_corrupt(schema: StructType) -> StructType:
+    """The document schema with a place for text that is no such document."""
+    return StructType(list(schema.fields)).add(CORRUPT, StringType())
+
+
+def readable(documents: DataFrame) -> DataFrame:
+    """The documents without their corrupt text; a text of which no field could be read raises.
+
+    A field of the wrong type alone becomes null, as a missing one does. ``series_id`` does not
+    count as read, since a folder name may have filled it. The check is part of every other field,
+    as a filter would run after those that Spark derives from the later plan.
+    """
+    fields = [c for c in documents.columns if c not in (CORRUPT, "series_id")]
+    lost = F.col(CORRUPT).isNotNull()
+    for name in fields:
+        lost = lost & F.col(name).isNull()
+    failure = F.raise_error(F.concat(F.lit("unreadable document: "), F.substring(CORRUPT, 1, 200)))
+    return documents.withColumns(
+        {name: F.when(lost, failure).otherwise(F.col(name)) for name in fields}
+    ).drop(CORRUPT)
+
+
 def weather_rows(documents: DataFrame) -> DataFrame:
     """One row per element of ``days``; no ``days`` gives no row. The address repeats on each."""
     days = documents.selectExpr(
@@ -56,29 +83,15 @@ def pollutant_rows(documents: DataFrame, as_of=None, time_zone: str = TIME_ZONE)
 
 def read_weather(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Weather documents, one per line (or one per file with ``multi_line``)."""
-    reader = spark.read.schema(WEATHER_DOCUMENT).option("multiLine", multi_line)
-    return weather_rows(reader.json(path))
+    return weather_rows(_read(spark, WEATHER_DOCUMENT, path, multi_line))
 
 
 def read_pollutant(
     spark: SparkSession, path: str, as_of=None, time_zone: str = TIME_ZONE, multi_line: bool = False
 ) -> DataFrame:
-    reader = spark.read.schema(POLLUTANT_DOCUMENT).option("multiLine", multi_line)
-    return pollutant_rows(reader.json(path), as_of, time_zone)
-
-
-def stream_weather(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    return weather_rows(_stream(spark, WEATHER_DOCUMENT, path, files_per_batch))
-
-
-def stream_pollutant(
-    spark: SparkSession, path: str, files_per_batch: int | None = None, time_zone: str = TIME_ZONE
-) -> DataFrame:
-    return pollutant_rows(_stream(spark, POLLUTANT_DOCUMENT, path, files_per_batch), None, time_zone)
+    return pollutant_rows(_read(spark, POLLUTANT_DOCUMENT, path, multi_line), as_of, time_zone)
 
 
-def _stream(spark, schema, path, files_per_batch):
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+def _read(spark: SparkSession, schema: StructType, path: str, multi_line: bool) -> DataFrame:
+    reader = spark.read.schema(with_corrupt(schema)).options(**JSON_OPTIONS)
+    return readable(reader.option("multiLine", multi_line).json(path))

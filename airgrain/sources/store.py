@@ -6,8 +6,8 @@ Layout::
     <root>/_commits/part-*.json            one line per (run, table)
 
 A run writes its rows to every table first and its commit lines, in one file, last. Readers take
-committed runs only, so a failed run stays invisible. Rows of a later run replace rows with the
-same key. One writer at a time; run ids increase.
+committed runs only, so a failed run stays invisible. Commits are numbered; rows of a later commit
+replace rows with the same key, whatever the run ids look like. One writer at a time.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from airgrain.operators.merge import last_write_wins
 from airgrain.schemas import PARTITION_COLUMN, TABLE_KEYS, TABLES
 from airgrain.sources.files import read_jdbc, write_csv, write_jdbc
 
-COMMIT = "run_id string, table string, kind string"
+COMMIT = "seq long, run_id string, table string, kind string"
 PERIOD = "_period"
 
 
@@ -46,24 +46,36 @@ class Store:
         return path_exists(self.spark, self.path(*parts))
 
     def runs(self, table: str) -> list[tuple[str, str]]:
-        """Committed ``(run_id, kind)`` from the newest base on; ``compact`` keeps the list short.
+        """Committed ``(run_id, kind)`` in commit order, from the newest base on; ``compact`` keeps
+        the list short.
 
         Only commit lines come to the driver, as file listings do; no table rows.
         """
-        if not self.exists("_commits"):
-            return []
-        commits = self.spark.read.schema(COMMIT).json(self.path("_commits"))
-        mine = commits.where(F.col("table") == table)
-        base = mine.where(F.col("kind") == "base").agg(F.max("run_id")).first()[0]
+        mine = self.commits().where(F.col("table") == table)
+        base = mine.where(F.col("kind") == "base").agg(F.max("seq")).first()[0]
         if base is not None:
-            mine = mine.where(F.col("run_id") >= base)
-        return sorted((r["run_id"], r["kind"]) for r in mine.select("run_id", "kind").collect())
+            mine = mine.where(F.col("seq") >= base)
+        found = mine.select("seq", "run_id", "kind").collect()
+        return [(r["run_id"], r["kind"]) for r in sorted(found, key=lambda r: r["seq"])]
 
-    def is_committed(self, run_id: str) -> bool:
+    def commits(self) -> DataFrame:
         if not self.exists("_commits"):
-            return False
-        commits = self.spark.read.schema(COMMIT).json(self.path("_commits"))
-        return not commits.where(F.col("run_id") == run_id).isEmpty()
+            return self.spark.createDataFrame([], COMMIT)
+        return self.spark.read.schema(COMMIT).json(self.path("_commits"))
+
+    def committed_tables(self, run_id: str) -> set[str]:
+        """Tables the run has written; at most one line per table."""
+        mine = self.commits().where(F.col("run_id") == run_id)
+        return {r["table"] for r in mine.select("table").distinct().collect()}
+
+    def is_committed(self, run_id: str) -> bool:
+        return bool(self.committed_tables(run_id))
+
+    def refuse_reuse(self, run_id: str, tables: Sequence[str]) -> None:
+        """A committed folder is never written again: readers and compactions may be reading it."""
+        used = sorted(self.committed_tables(run_id) & set(tables))
+        if used:
+            raise ValueError(f"run {run_id!r} is committed already for {', '.join(used)}")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -72,9 +84,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
+
+
 def append_rows(df: DataFrame, store: Store, table: str, run_id: str) -> None:
-    """Write one run's rows of one table; invisible until committed. A repeated run overwrites
-    its own folder. Keys must be unique in a run."""
+    """Write one run's rows of one table; invisible until committed. A run repeated before its
+    commit overwrites its own folder."""
     rows = nan_to_null(conform(df, TABLES[table]))
     day = PARTITION_COLUMN[table]
     rows = rows.withColumn(PERIOD, F.date_format(F.col(day), store.period))
@@ -84,25 +101,34 @@ def append_rows(df: DataFrame, store: Store, table: str, run_id: str) -> None:
 
 
 def commit(store: Store, run_id: str, tables: Sequence[str], kind: str = "append") -> None:
-    lines = store.spark.createDataFrame([(run_id, t, kind) for t in tables], COMMIT)
+    seq = (store.commits().agg(F.max("seq")).first()[0] or 0) + 1
+    lines = store.spark.createDataFrame([(seq, run_id, t, kind) for t in tables], COMMIT)
     lines.coalesce(1).write.mode("append").json(store.path("_commits"))
 
 
 def publish(tables: Mapping[str, DataFrame], store: Store, run_id: str) -> bool:
-    """All tables of a run or none. A run that is committed already is left alone (False)."""
-    if store.is_committed(run_id):
+    """All tables of a run or none. A run that is committed already is left alone (False); an id
+    that was committed with other tables is refused, since these rows would be lost."""
+    done = store.committed_tables(run_id)
+    if done >= set(tables) and done:
         return False
+    if done:
+        raise ValueError(f"run {run_id!r} is committed already, without {sorted(set(tables) - done)}")
     for table, df in tables.items():
         append_rows(df, store, table, run_id)
     commit(store, run_id, list(tables))
     return True
 
 
-def current(store: Store, table: str, start=None, end=None) -> DataFrame:
+def current(
+    store: Store, table: str, start=None, end=None, periods: Sequence[str] | None = None
+) -> DataFrame:
     """The table as of the last commit: the newest row per key.
 
-    The base is read as it is and loses only the keys written since, by an anti-join against the
-    recent runs; those alone are ranked. A date range reaches the scan, also as partition pruning.
+    The base is read as it is, duplicate keys of a loaded file included, and loses only the keys
+    written since, by an anti-join against the recent runs; those alone are ranked. Of rows with
+    the same key in one run one counts, chosen by its content. A date range reaches the scan, also
+    as partition pruning; ``periods`` names single partitions.
     """
     schema = TABLES[table]
     runs = store.runs(table)
@@ -111,22 +137,28 @@ def current(store: Store, table: str, start=None, end=None) -> DataFrame:
     keys = list(TABLE_KEYS[table])
     base = [r for r, kind in runs if kind == "base"]
     recent = [r for r, kind in runs if kind != "base"]
-    changed = _scan(store, table, recent, start, end) if recent else None
+    changed = _scan(store, table, recent, start, end, periods) if recent else None
     if changed is not None:
-        changed = last_write_wins(changed, keys, "run_id").drop("run_id")
+        numbered = changed.withColumns({
+            "_commit": F.array_position(F.lit(recent), F.col("run_id")),
+            "_content": F.xxhash64(*schema.names),
+        })
+        changed = last_write_wins(numbered, keys, ["_commit", "_content"]).drop("_commit", "_content", "run_id")
     if not base:
         return changed
-    rows = _scan(store, table, base, start, end).drop("run_id")
+    rows = _scan(store, table, base, start, end, periods).drop("run_id")
     if changed is None:
         return rows
     return rows.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
 
 
-def _scan(store: Store, table: str, runs: Sequence[str], start, end) -> DataFrame:
+def _scan(store: Store, table: str, runs: Sequence[str], start, end, periods) -> DataFrame:
     paths = [store.path(table, f"run_id={r}") for r in runs]
     reader = store.spark.read.schema(f"{_ddl(TABLES[table])}, run_id string, {PERIOD} string")
     df = reader.option("basePath", store.path(table)).parquet(*paths)
     col = PARTITION_COLUMN[table]
+    if periods is not None:
+        df = df.where(F.col(PERIOD).isin(list(periods)))
     if start is not None:
         df = df.where(F.col(PERIOD) >= F.date_format(F.lit(start).cast("date"), store.period))
     if end is not None:
@@ -140,12 +172,14 @@ def _ddl(schema) -> str:
 
 def compact(store: Store, table: str, run_id: str) -> None:
     """Write ``current`` as a new base; older runs are no longer read."""
+    store.refuse_reuse(run_id, [table])
     append_rows(current(store, table), store, table, run_id)
     commit(store, run_id, [table], "base")
 
 
 def replace_table(df: DataFrame, store: Store, table: str, run_id: str) -> None:
     """The rows become the whole table."""
+    store.refuse_reuse(run_id, [table])
     append_rows(df, store, table, run_id)
     commit(store, run_id, [table], "base")
 
@@ -167,6 +201,9 @@ def write_targets(
     are persisted while they are written more than once.
     """
     active = [t for t in targets.values() if t.get("enabled", True)]
+    for target in active:
+        if target["kind"] == "store":
+            target["store"].refuse_reuse(run_id, list(tables))
     frames = {n: df.persist() for n, df in tables.items()} if len(active) > 1 else dict(tables)
     try:
         for target in active:

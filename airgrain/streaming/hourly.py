@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import urlparse
+from zlib import crc32
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from airgrain.plans.refresh import refresh_daily
 from airgrain.schemas import (
@@ -17,8 +18,8 @@ from airgrain.schemas import (
     TIME_ZONE,
     WEATHER_DOCUMENT,
 )
-from airgrain.sources.documents import pollutant_rows, weather_rows
-from airgrain.sources.store import Store
+from airgrain.sources.documents import JSON_OPTIONS, pollutant_rows, readable, weather_rows, with_corrupt
+from airgrain.sources.store import Store, make_folder
 
 
 def drop_repeats(
@@ -67,6 +68,14 @@ def run_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def folder_series(path: Column) -> Column:
+    """The ``series_id=...`` folder of a file path as Spark reports it: URI-encoded, and escaped by the writer."""
+    found = F.nullif(F.regexp_extract(path, "/series_id=([^/]*)/", 1), F.lit(""))
+    for _ in range(2):
+        found = F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
+    return F.nullif(found, F.lit("__HIVE_DEFAULT_PARTITION__"))
+
+
 def run_refresh(
     spark: SparkSession,
     landing: str,
@@ -75,33 +84,45 @@ def run_refresh(
     files_per_batch: int | None = None,
     time_zone: str = TIME_ZONE,
     run_prefix: str = "stream",
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """The refresh job on documents as they land in ``<landing>/weather`` and ``/pollutant``.
 
-    Both kinds are read as text lines in one stream, so that one micro-batch sees one set of files.
-    The run id comes from the batch id and a committed run is skipped, so a replay changes nothing.
+    A document is a line, or with ``multi_line`` a file. Each kind has its own source, both in one
+    stream, so that one micro-batch sees one set of files of each (``files_per_batch`` counts per
+    kind). A document without ``series_id`` takes that of its ``series_id=...`` folder. Text that is
+    no document stops the stream with an error. The run id comes from the checkpoint's path and the
+    batch id; a committed run is skipped, so a replay changes nothing.
     """
-    lines = spark.readStream.schema("value string").option("recursiveFileLookup", True)
-    if files_per_batch:
-        lines = lines.option("maxFilesPerTrigger", files_per_batch)
-    documents = lines.text(landing).withColumn("_path", F.col("_metadata.file_path"))
 
-    folder = urlparse(landing).path.rstrip("/")
+    def landed(kind: str) -> DataFrame:
+        make_folder(spark, f"{landing}/{kind}")
+        reader = spark.readStream.option("recursiveFileLookup", True)
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        folder = folder_series(F.col("_metadata.file_path")).alias("_series")
+        texts = reader.text(f"{landing}/{kind}", wholetext=multi_line)
+        return texts.select(F.lit(kind).alias("_kind"), "value", folder)
+
+    def parsed(batch: DataFrame, kind: str, schema: StructType) -> DataFrame:
+        mine = batch.where((F.col("_kind") == kind) & (F.trim("value") != ""))
+        document = F.from_json("value", with_corrupt(schema), JSON_OPTIONS).alias("d")
+        rows = mine.select(document, "_series")
+        names = [F.col(f"d.{c}") for c in with_corrupt(schema).names if c != "series_id"]
+        return readable(rows.select(F.coalesce("d.series_id", "_series").alias("series_id"), *names))
 
-    def parsed(batch: DataFrame, kind: str, schema) -> DataFrame:
-        mine = batch.where(F.col("_path").contains(f"{folder}/{kind}/"))
-        return mine.select(F.from_json("value", schema).alias("d")).select("d.*")
+    stream = f"{run_prefix}-{crc32(checkpoint.rstrip('/').encode()):08x}"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         refresh_daily(
             weather_rows(parsed(batch, "weather", WEATHER_DOCUMENT)),
             pollutant_rows(parsed(batch, "pollutant", POLLUTANT_DOCUMENT), None, time_zone),
             store,
-            f"{run_prefix}-{batch_id:012d}",
+            f"{stream}-{batch_id:012d}",
         )
 
     return (
-        documents.writeStream.trigger(availableNow=True)
+        landed("weather").unionByName(landed("pollutant")).writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(merge)
         .start()

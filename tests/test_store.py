@@ -1,15 +1,17 @@
-from datetime import date, datetime
+import json
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import column
 
 from airgrain.operators.columns import conform
 from airgrain.plans import views as Q
-from airgrain.plans.refresh import bootstrap, refresh_daily
-from airgrain.schemas import CLEANED, EVALUATION, FORECAST, POLLUTANT_DOCUMENT, RAW, WEATHER, WEATHER_DOCUMENT
+from airgrain.plans.model import load_or_train, model_version
+from airgrain.plans.refresh import bootstrap, daily_job, hourly_job, publish_forecast, refresh_daily
+from airgrain.schemas import CLEANED, EVALUATION, FORECAST, POLLUTANT_DOCUMENT, RAW, TABLES, WEATHER, WEATHER_DOCUMENT
 from airgrain.sources.documents import pollutant_rows, read_pollutant, read_weather, weather_rows
 from airgrain.sources.files import jdbc_options, read_csv_table, to_records, write_records
-from airgrain.sources.store import Store, append_rows, compact, current, load_table, publish, replace_table
+from airgrain.sources.store import Store, append_rows, compact, current, load_table, publish, replace_table, write_targets
 from airgrain.streaming.hourly import run_refresh
 
 D1, D2 = date(2025, 1, 1), date(2025, 1, 2)
@@ -64,6 +66,44 @@ def test_a_committed_run_is_skipped(spark, store):
     assert not publish({"aqi_forecast": rows}, store, "0001")
 
 
+def test_commit_order_counts_not_the_run_ids(spark, store):
+    for value, run in enumerate(("stream-000000000000", "2026-01-01T06", "0001")):
+        publish({"aqi_forecast": forecasts(spark, ("s", D1, D2, float(value)))}, store, run)
+    assert column(current(store, "aqi_forecast"), "predicted_aqi", "predicted_aqi") == [2]
+    compact(store, "aqi_forecast", "0000-base")
+    assert store.runs("aqi_forecast") == [("0000-base", "base")]
+    publish({"aqi_forecast": forecasts(spark, ("s", D1, D2, 9.0))}, store, "000")
+    assert column(current(store, "aqi_forecast"), "predicted_aqi", "predicted_aqi") == [9]
+
+
+def test_repeated_keys_in_a_run_do_not_depend_on_other_runs(spark, store):
+    twice = forecasts(spark, ("s", D1, D2, 1.0), ("s", D1, D2, 3.0), ("s", D1, D2, 2.0))
+    publish({"aqi_forecast": twice}, store, "0001")
+    (kept,) = column(current(store, "aqi_forecast"), "predicted_aqi", "predicted_aqi")
+    publish({"aqi_forecast": forecasts(spark, ("t", D1, D2, 0.0))}, store, "0002")
+    assert column(current(store, "aqi_forecast"), "predicted_aqi", "predicted_aqi") == [0, kept]
+
+
+def test_a_committed_id_is_not_written_again(spark, store):
+    rows = forecasts(spark, ("s", D1, D2, 1.0))
+    publish({"aqi_forecast": rows}, store, "0001")
+    for again in (
+        lambda: compact(store, "aqi_forecast", "0001"),
+        lambda: replace_table(rows, store, "aqi_forecast", "0001"),
+        lambda: write_targets({"aqi_forecast": rows}, {"a": {"kind": "store", "store": store}}, "0001"),
+        lambda: publish({"model_evaluation": rows}, store, "0001"),
+    ):
+        with pytest.raises(ValueError, match="committed already"):
+            again()
+    assert current(store, "aqi_forecast").count() == 1
+
+
+def test_single_periods_are_read(spark, store):
+    later = date(2025, 3, 1)
+    publish({"aqi_forecast": forecasts(spark, ("s", D1, D2, 1.0), ("s", later, later, 2.0))}, store, "0001")
+    assert column(current(store, "aqi_forecast", periods=["2025-03"]), "predicted_aqi", "predicted_aqi") == [2]
+
+
 def test_unknown_table(store):
     with pytest.raises(ValueError, match="may not be read"):
         Q.browse(store, "passwords")
@@ -151,6 +191,86 @@ def test_streamed_refresh_equals_the_runs(spark, store, tmp_path):
     assert len(store.runs("cleaned_data")) == 2
 
 
+AIR = {"fetched_at": "2025-01-01T01:00:00Z", "data": {"aqi": 1.0, "iaqi": {"pm25": {"v": 20.0}}}}
+SKY = {"fetched_at": "2025-01-01T01:00:00Z", "days": [{"datetime": "2025-01-01", "temp": 10.0}]}
+
+
+def land(landing, folder, document, indent=None):
+    (landing / folder).mkdir(parents=True, exist_ok=True)
+    (landing / folder / "a.json").write_text(json.dumps(document, indent=indent) + "\n\n")
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("name", ["landing", "landing zone + é%20"])
+def test_streamed_documents_in_series_folders(spark, store, tmp_path, name, indent):
+    landing = tmp_path / name
+    land(landing, "weather/series_id=a b", SKY, indent)
+    land(landing, "pollutant/series_id=a b", AIR, indent)
+    land(landing, "pollutant/series_id=x", {**AIR, "series_id": "own"}, indent)
+    run_refresh(spark, str(landing), store, str(tmp_path / "cp"), time_zone="UTC", multi_line=indent is not None).awaitTermination()
+    (clean,) = current(store, "cleaned_data").collect()
+    assert (clean["series_id"], clean["temp"], clean["pm25"]) == ("a b", 10.0, 20.0)
+    assert column(current(store, "pollutant_data"), "series_id", "series_id") == ["a b", "own"]
+
+
+def test_streams_of_other_checkpoints_do_not_share_run_ids(spark, store, tmp_path):
+    for n, name in enumerate(("one", "two")):
+        land(tmp_path / name, "weather", {**SKY, "series_id": name})
+        land(tmp_path / name, "pollutant", {**AIR, "series_id": name})
+        run_refresh(spark, str(tmp_path / name), store, str(tmp_path / f"cp-{name}"), time_zone="UTC").awaitTermination()
+    assert column(current(store, "cleaned_data"), "series_id", "series_id") == ["one", "two"]
+
+
+def test_unreadable_documents_raise(spark, store, tmp_path):
+    land(tmp_path / "l", "weather/series_id=s", SKY, 2)  # several lines read one by one
+    with pytest.raises(Exception, match="unreadable document"):
+        run_refresh(spark, str(tmp_path / "l"), store, str(tmp_path / "cp")).awaitTermination()
+    assert not store.exists("_commits")
+    with pytest.raises(Exception, match="unreadable document"):
+        read_weather(spark, str(tmp_path / "l" / "weather")).collect()
+    (row,) = read_weather(spark, str(tmp_path / "l" / "weather"), multi_line=True).collect()
+    assert (row["series_id"], row["temp"]) == ("s", 10.0)
+
+
+def test_a_field_of_the_wrong_type_is_null(spark, tmp_path):
+    land(tmp_path, "p", {**AIR, "series_id": "s", "data": {"aqi": "-", "iaqi": {"pm25": {"v": 20.0}}}})
+    (row,) = read_pollutant(spark, str(tmp_path / "p"), time_zone="UTC").collect()
+    assert (row["series_id"], row["date"], row["AQI"]) == ("s", D1, None)
+
+
+FEW = {"maxIter": 1, "maxDepth": 1, "partitions": 1}
+
+
+def history(spark, days=40, series=("s",)):
+    rows = [
+        {"series_id": s, "date": D1 + timedelta(days=i), **{c: float(i % 7 + 1) for c in CLEANED if c not in ("series_id", "date")}}
+        for s in series for i in range(days)
+    ]
+    return conform(spark.createDataFrame(rows), TABLES["cleaned_data"])
+
+
+def test_hourly_job_trains_scores_and_forecasts(spark, store):
+    publish({"cleaned_data": history(spark)}, store, "0001")
+    weather, air = fetch(spark, 1, 5.0, 20.0, "2025-02-10")
+    args = (weather_rows(weather), pollutant_rows(air, None, "UTC"), store, date(2025, 2, 10))
+    rows = hourly_job(spark, *args, "2025-02-10T01", "2025-02-10T01:00:00", lookback_days=30, **FEW)
+    assert rows.count() == 7
+    assert current(store, "model_evaluation").count() == 1
+    # a repeated daily run neither trains again nor replaces the model
+    for _ in range(2):
+        daily_job(store, "2025-02-11T00:00:00", "2025-02-11", compact_after=1, **FEW)
+        assert model_version(spark, store.path("model")) == 2
+    assert [kind for _, kind in store.runs("cleaned_data")] == ["base"]
+    assert current(store, "model_evaluation").count() == 2
+
+
+def test_a_series_without_forecast_is_an_error(spark, store):
+    publish({"cleaned_data": history(spark).unionByName(history(spark, 3, ("short",)))}, store, "0001")
+    model = load_or_train(spark, store, "2025-02-10T01:00:00", **FEW)
+    with pytest.raises(ValueError, match="no forecast for .*short"):
+        publish_forecast(store, model, date(2025, 2, 10), "0002")
+
+
 def test_csv(spark, tmp_path):
     (tmp_path / "w.csv").write_text('series_id,date, temp ,humidity,name\ns,2025-01-01,1.5,x,A\ns,bad,2,3,B\ns,2025-01-01,4,5,\n')
     rows = read_csv_table(spark, str(tmp_path / "w.csv"), WEATHER).collect()
