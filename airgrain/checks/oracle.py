@@ -9,6 +9,7 @@ from airgrain.schemas import (
     DISPLAY_NAMES,
     ENGINEERED_FEATURES,
     INDEX_RANGES,
+    MODEL_NAME,
     POLLUTANTS,
     SUB_INDEXES,
     WEATHER_COLUMNS,
@@ -146,11 +147,7 @@ f1 AS (
 FEATURE_COLUMNS = [*BASE_FEATURES, *ENGINEERED_FEATURES, *LAGS]
 INTEGER_FEATURES = ("month", "is_summer", "is_winter")
 
-NEXT_ROWS = f"""{P_DAILY},
-known AS (SELECT series_id, date, AQI FROM p_daily WHERE AQI IS NOT NULL),
-ahead AS (SELECT *, {_shifts("AQI", 7, "lead", "AQI_day_{}", "w")} FROM known {W_SERIES}),
-long AS ({" UNION ALL ".join(f"SELECT series_id, {i} AS horizon, AQI_day_{i} AS y, AQI AS p FROM ahead WHERE AQI_day_7 IS NOT NULL" for i in range(1, 8))}),
-per AS (
+SCORES = """per AS (
   SELECT series_id, horizon, avg(abs(y - p)) AS mae, avg((y - p) * (y - p)) AS mse, var_pop(y) AS v,
          avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)) AS mape
   FROM long GROUP BY series_id, horizon),
@@ -161,6 +158,14 @@ scores AS (
   FROM per GROUP BY series_id)"""
 
 
+NEXT_ROWS = f"""{P_DAILY},
+known AS (SELECT series_id, date, AQI FROM p_daily WHERE AQI IS NOT NULL),
+ahead AS (SELECT *, {_shifts("AQI", 7, "lead", "AQI_day_{}", "w")} FROM known {W_SERIES}),
+long AS ({" UNION ALL ".join(f"SELECT series_id, {i} AS horizon, AQI_day_{i} AS y, AQI AS p FROM ahead WHERE AQI_day_7 IS NOT NULL" for i in range(1, 8))}),
+{SCORES}"""
+
+
+
 def _fold(source: str, keys: str, order: str, cols, text=()) -> str:
     """Refresh average of each column over its known values in order."""
     ranked = _list(
@@ -229,6 +234,22 @@ w_fold AS ({_fold("w_runs", "series_id, date", "run, seq", [c for c in CLEANED i
 SELECT series_id, date, {_r([c for c in CLEANED if c != "date"])}
 FROM w_fold JOIN p_fold USING (series_id, date)"""
 
+
+W_COLUMNS = ["series_id", "date", *WEATHER_COLUMNS]
+W_SHOWN = f"""shown AS (SELECT series_id, strftime(date, '%Y-%m-%d') AS date, {_list(
+    f"round({c}, 3) AS {c}" if c in WEATHER_NUMERIC else c for c in WEATHER_COLUMNS)} FROM w_daily)"""
+W_TEXT = f"""concat_ws('|', {_list(_shown(c) if c in WEATHER_NUMERIC else c for c in W_COLUMNS)})"""
+
+GROUP_MEANS = f"""{FEATURE_ROWS},
+f2 AS (SELECT * FROM f1 WHERE {" AND ".join(f"{c} IS NOT NULL" for c in ["AQI", *FEATURE_COLUMNS])}),
+f3 AS (SELECT *, {_shifts("AQI", 7, "lead", "AQI_day_{}", "w")} FROM f2 {W_SERIES}),
+f4 AS (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM f3 WHERE AQI_day_7 IS NOT NULL),
+f5 AS (SELECT *, CASE WHEN row_number() OVER w > n - (n + 4) // 5 THEN 'test' ELSE 'train' END AS split
+       FROM f4 {W_SERIES}),
+days AS ({" UNION ALL ".join(f"SELECT series_id, is_summer, split, {i} AS horizon, AQI_day_{i} AS y FROM f5" for i in range(1, 8))}),
+means AS (SELECT is_summer, horizon, avg(y) AS p FROM days WHERE split = 'train' GROUP BY is_summer, horizon)"""
+
+
 ORACLE = {
     "aqi_daily": f"""WITH {P_DAILY}
 SELECT series_id, date, round(AQI, 4) AS AQI,
@@ -359,9 +380,9 @@ SELECT series_id, seq, round(value, 4) AS value,
 
     "rolling_segmented": f"""WITH {HOURLY_OBS}
 SELECT series_id, seq, round(value, 4) AS value,
-       round(CASE WHEN count(value) OVER w = 3 THEN sum(value) OVER w END, 4) AS value_sum_3
+       round(CASE WHEN count(value) OVER w = 7 THEN sum(value) OVER w END, 4) AS value_sum_7
 FROM h_obs
-WINDOW w AS (PARTITION BY series_id ORDER BY obs_ts, seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+WINDOW w AS (PARTITION BY series_id ORDER BY obs_ts, seq ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 
     "interpolate_segmented": f"""WITH {HOURLY_OBS}
 SELECT series_id, seq, round(value, 4) AS value FROM ({_interpolated("h_obs", ["value"], "obs_ts, seq")})""",
@@ -400,6 +421,18 @@ WINDOW w AS (PARTITION BY series_id ORDER BY date ROWS BETWEEN CURRENT ROW AND U
 SELECT series_id, date, {_list(
     c if c in INTEGER_FEATURES else f"round({c}, 4) AS {c}" for c in ENGINEERED_FEATURES)} FROM f1""",
 
+    "model_group_forecast": f"""WITH {GROUP_MEANS},
+latest AS (SELECT series_id, is_summer FROM f2 QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY date DESC) = 1)
+SELECT series_id, DATE '2002-01-01' AS forecast_date, DATE '2002-01-01' + horizon AS predicted_date,
+       round(p, 2) AS predicted_aqi, '{MODEL_NAME}' AS model_name, series_id AS location
+FROM latest JOIN means USING (is_summer)""",
+
+    "model_group_scores": f"""WITH {GROUP_MEANS},
+long AS (SELECT series_id, horizon, y, p FROM days JOIN means USING (is_summer, horizon) WHERE split = 'test'),
+{SCORES}
+SELECT series_id, '2002-01-01T06:30:00' AS "timestamp", DATE '2002-01-01' AS eval_date,
+       {_r(["mae", "r2", "rmse", "mape"])} FROM scores""",
+
     "training_rows": f"""WITH {FEATURE_ROWS},
 f2 AS (SELECT * FROM f1 WHERE {" AND ".join(f"{c} IS NOT NULL" for c in ["AQI", *FEATURE_COLUMNS])}),
 f3 AS (SELECT *, {_shifts("AQI", 7, "lead", "AQI_day_{}", "w")} FROM f2 {W_SERIES}),
@@ -479,22 +512,20 @@ SELECT series_id, substr("timestamp", 1, 10) AS date, {_r(["mae", "rmse", "mape"
 FROM evaluations WHERE eval_date <= DATE '1999-06-30'""",
 
     "browse_search_all": f"""WITH {W_DAILY},
-shown AS (SELECT series_id, strftime(date, '%Y-%m-%d') AS date, name, round(temp, 3) AS temp, conditions, description, icon FROM w_daily)
-SELECT * FROM shown
-WHERE contains(lower(concat_ws('|', series_id, date, name, {_shown("temp")}, conditions, description, icon)), '1-u')""",
+{W_SHOWN}
+SELECT * FROM shown WHERE contains(lower({W_TEXT}), '1-u')""",
 
-    "browse_search_column": f"""WITH {W_DAILY}
-SELECT series_id, strftime(date, '%Y-%m-%d') AS date, name, round(temp, 3) AS temp, conditions, description
-FROM w_daily WHERE conditions IS NOT NULL""",
+    "browse_search_column": f"""WITH {W_DAILY},
+{W_SHOWN}
+SELECT * FROM shown WHERE conditions IS NOT NULL""",
 
     "browse_search_number": f"""WITH {W_DAILY},
-shown AS (SELECT series_id, strftime(date, '%Y-%m-%d') AS date, round(humidity, 3) AS humidity, round(windspeed, 3) AS windspeed FROM w_daily)
-SELECT * FROM shown
-WHERE contains(concat_ws('|', series_id, date, {_shown("humidity")}, {_shown("windspeed")}), '12.5')""",
+{W_SHOWN}
+SELECT * FROM shown WHERE contains(lower({W_TEXT}), '12.5')""",
 
     "browse_named": f"""WITH {P_DAILY}
-SELECT series_id, strftime(date, '%Y-%m-%d') AS "{DISPLAY_NAMES['date']}", round(pm25, 3) AS "{DISPLAY_NAMES['pm25']}",
-       round(co, 3) AS "{DISPLAY_NAMES['co']}", round(AQI, 3) AS "{DISPLAY_NAMES['aqi']}"
+SELECT series_id, strftime(date, '%Y-%m-%d') AS "{DISPLAY_NAMES['date']}",
+       {_list(f'round({c}, 3) AS "{DISPLAY_NAMES.get(c.lower(), c.lower())}"' for c in [*POLLUTANTS, *SUB_INDEXES, "AQI"])}
 FROM p_daily WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'""",
 
     "current_conditions": f"""WITH {P_DAILY},
@@ -513,7 +544,9 @@ SELECT series_id, date, name, conditions, sunrise, sunset, {_r([
 FROM now LEFT JOIN air USING (series_id)""",
 
     "drop_null_columns": f"""WITH {W_DAILY}
-SELECT series_id, date, round(snowdepth, 4) AS snowdepth, round(windgust, 4) AS windgust FROM w_daily""",
+SELECT series_id, date, {_list(
+    f"round({c}, 4) AS {c}" if c in WEATHER_NUMERIC else c for c in WEATHER_COLUMNS if c != "severerisk")}
+FROM w_daily""",
 
     "json_weather": f"""WITH {WEATHER_OBS}
 SELECT series_id, date, {_list(

@@ -38,7 +38,7 @@ from airgrain.plans import model as M
 from airgrain.plans import views as Q
 from airgrain.plans.cleaning import clean_pollutant, clean_weather
 from airgrain.plans.features import engineer_features, training_frame
-from airgrain.plans.refresh import bootstrap, refresh_daily
+from airgrain.plans.refresh import bootstrap, publish_forecast, refresh_daily
 from airgrain.schemas import (
     CLEANED,
     ENGINEERED_FEATURES,
@@ -250,7 +250,7 @@ def targets_segmented(spark: Spark, d: str) -> DataFrame:
 
 
 def rolling_segmented(spark: Spark, d: str) -> DataFrame:
-    return _segmented(_timed(spark, d), S.rolling_sum, "value", 3)
+    return _segmented(_timed(spark, d), S.rolling_sum, "value", 7)
 
 
 def interpolate_segmented(spark: Spark, d: str) -> DataFrame:
@@ -422,22 +422,19 @@ def browse_evaluation(spark: Spark, d: str) -> DataFrame:
 
 
 def browse_search_all(spark: Spark, d: str) -> DataFrame:
-    rows = V.weather_daily(spark, d).select(*ID, "name", "temp", "conditions", "description", "icon")
-    return Q.browse_rows(rows, "weather_data", query="1-U")
+    return Q.browse_rows(V.weather_daily(spark, d), "weather_data", query="1-U")
 
 
 def browse_search_column(spark: Spark, d: str) -> DataFrame:
-    rows = V.weather_daily(spark, d).select(*ID, "name", "temp", "conditions", "description")
-    return Q.browse_rows(rows, "weather_data", query="", column="conditions")
+    return Q.browse_rows(V.weather_daily(spark, d), "weather_data", query="", column="conditions")
 
 
 def browse_search_number(spark: Spark, d: str) -> DataFrame:
-    rows = V.weather_daily(spark, d).select(*ID, "humidity", "windspeed")
-    return Q.browse_rows(rows, "weather_data", query="12.5")
+    return Q.browse_rows(V.weather_daily(spark, d), "weather_data", query="12.5")
 
 
 def browse_named(spark: Spark, d: str) -> DataFrame:
-    rows = V.pollutant_daily(spark, d).select(*ID, "pm25", "co", "AQI")
+    rows = V.pollutant_daily(spark, d)
     return Q.browse_rows(rows, "pollutant_data", "1998-01-01", "1998-12-31", named=True)
 
 
@@ -448,8 +445,7 @@ def current_conditions(spark: Spark, d: str) -> DataFrame:
 
 
 def drop_null_columns(spark: Spark, d: str) -> DataFrame:
-    rows = V.weather_daily(spark, d).select(*ID, "snowdepth", "severerisk", "windgust")
-    return _out(drop_all_null_columns(rows))
+    return _out(drop_all_null_columns(V.weather_daily(spark, d)))
 
 
 # ---- sources, sinks, jobs -------------------------------------------------------------------
@@ -586,6 +582,30 @@ def gbt_forecast(spark: Spark, d: str) -> DataFrame:
     return M.check_horizon(M.forecast(current(store, "cleaned_data"), model, AS_OF))
 
 
+# One stump on one flag predicts the training mean of the flag's group, which SQL can state.
+GROUP_MEANS = {
+    "features": ["is_summer"], "maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all",
+}
+
+
+def _group_mean_store(spark: Spark, d: str) -> tuple[Store, M.PipelineModel]:
+    store = _store(spark, scratch_path(spark, "model"))
+    publish({"cleaned_data": V.cleaned_daily(spark, d)}, store, "0001")
+    return store, M.load_or_train(spark, store, RUN_TS, **GROUP_MEANS)
+
+
+def model_group_forecast(spark: Spark, d: str) -> DataFrame:
+    """Automatic training, the model saved and loaded, and the published forecast."""
+    store, model = _group_mean_store(spark, d)
+    return publish_forecast(store, model, AS_OF, "0002")
+
+
+def model_group_scores(spark: Spark, d: str) -> DataFrame:
+    """The scores that automatic training leaves in the store."""
+    store, _ = _group_mean_store(spark, d)
+    return _out(current(store, "model_evaluation"))
+
+
 def gbt_scores(spark: Spark, d: str) -> DataFrame:
     """Scores of a freshly trained model on the last fifth of each series. Few trees."""
     _, scores = M.train(V.cleaned_daily(spark, d), RUN_TS, maxIter=3)
@@ -608,6 +628,6 @@ QUERIES = {
         browse_evaluation, browse_search_all, browse_search_column, browse_search_number,
         browse_named, current_conditions, drop_null_columns, json_weather, json_pollutant,
         csv_bootstrap, records_json, refresh_runs, stream_refresh, stream_daily, store_current,
-        gbt_forecast, gbt_scores,
+        gbt_forecast, gbt_scores, model_group_forecast, model_group_scores,
     )
 }
