@@ -33,10 +33,10 @@ def band_join(
 ) -> DataFrame:
     """Long rows ``(…, name, value)`` with the first band holding the value, or nulls.
 
-    ``bands`` is the fixed table of 36 rows, hence the broadcast. A value on a bound shared by two
-    bands matches both; the aggregate keeps the lower band.
+    Spark broadcasts ``bands`` if it is as small as the fixed table of 36 rows. A value on a bound
+    shared by two bands matches both; the aggregate keeps the lower band.
     """
-    b = F.broadcast(bands.withColumnsRenamed({name: "_band_name"}))
+    b = bands.withColumnsRenamed({name: "_band_name"})
     inside = (F.col(name) == F.col("_band_name")) & F.col(value).between(F.col("lo"), F.col("hi"))
     band = F.struct("band_no", "lo", "hi", "index_lo", "index_hi")
     first = F.min(F.when(F.col("band_no").isNotNull(), band)).alias("_band")
