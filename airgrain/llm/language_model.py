@@ -19,6 +19,7 @@ document every count is 0. Extra columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -93,13 +94,19 @@ class Network:
             states.append(h)
         return np.stack(states), memo
 
+    @staticmethod
+    def _exp(logits: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials and their row sums. States lie in -1..1, so the weights bound the logits; rows are shifted only if float32 could overflow."""
+        if np.abs(weights).sum(0).max() + np.abs(bias).max() > 60:
+            logits -= logits.max(1, keepdims=True)
+        e = np.exp(logits)
+        return e, e @ np.ones(e.shape[1], e.dtype)
+
     def log_probability(self, states: np.ndarray, target: np.ndarray, grad=None):
         """Natural log P(symbol | state) for rows of states; with ``grad`` adds gradients and returns that of the states."""
         kind = np.where(target < MODELLED, target // PER, CLASSES + target - MODELLED)
         logits = states @ self.part["c"] + self.part["cb"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
+        e, total = self._exp(logits, self.part["c"], self.part["cb"])
         rows = np.arange(len(target))
         out = logits[rows, kind] - np.log(total)
         if grad is not None:
@@ -109,7 +116,7 @@ class Network:
             grad["cb"] += d.sum(0)
             back = d @ self.part["c"].T
         head = np.flatnonzero(target < MODELLED)
-        order = head[np.argsort(kind[head], kind="stable")]
+        order = head[np.argsort(kind[head].astype(np.int16), kind="stable")]
         bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for k in range(CLASSES):
             own = order[bounds[k]:bounds[k + 1]]
@@ -117,9 +124,7 @@ class Network:
                 continue
             s = states[own]
             logits = s @ self.part["w"][k] + self.part["wb"][k]
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(1)
+            e, total = self._exp(logits, self.part["w"][k], self.part["wb"][k])
             inside, at = np.arange(len(own)), target[own] % PER
             out[own] += logits[inside, at] - np.log(total)
             if grad is not None:
@@ -137,7 +142,7 @@ class Network:
         back = np.zeros(states.shape, np.float32)
         _, d = self.log_probability(states[alive], targets[alive], grad)
         back[alive] = d
-        carry, u = np.zeros_like(h), self.part["u"]
+        carry, u, moves = np.zeros_like(h), self.part["u"], np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
         for t in reversed(range(len(inputs))):
             before, r, z, n, gn = memo[t]
             d = back[t] + carry
@@ -146,9 +151,12 @@ class Network:
             dr = dn * gn * r * (1 - r)
             dg = np.concatenate([dr, dz, dn * r], 1)
             grad["u"] += before.T @ dg
-            dx = np.concatenate([dr, dz, dn], 1)
-            np.add.at(grad["x"], inputs[t], dx)
+            moves[t] = np.concatenate([dr, dz, dn], 1)
             carry = d * z + dg @ u.T
+        symbols = inputs.ravel()
+        order = np.argsort(symbols.astype(np.int16), kind="stable")
+        first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
+        grad["x"][symbols[order[first]]] = np.add.reduceat(moves.reshape(-1, 3 * HIDDEN)[order], first)
         return grad, states[-1]
 
 
@@ -161,15 +169,18 @@ def _lanes(symbols: list[np.ndarray], lanes: int):
         yield some, size
 
 
-def _window(symbols, some, size, at, width):
+def _flat(symbols, some):
+    """The symbols of the documents ``some`` in one array, and where each begins."""
+    size = np.array([len(symbols[i]) for i in some])
+    return np.concatenate([symbols[i] for i in some]), np.cumsum(size) - size
+
+
+def _window(flat, begin, size, at, width):
     """Symbols at..at+width of the documents that reach ``at`` (a leading part), as T x B, and which are there."""
     live = int(np.searchsorted(-size, -at, "left"))
-    t = min(width, int(size[0]) - at)
-    cells = np.zeros((t, live), np.int64)
-    for j in range(live):
-        part = symbols[some[j]][at:at + t]
-        cells[:len(part), j] = part
-    return live, cells, np.arange(at, at + t)[:, None] < size[None, :live]
+    place = np.arange(at, min(at + width, int(size[0])))[:, None]
+    alive = place < size[None, :live]
+    return live, np.where(alive, flat[np.where(alive, begin[None, :live] + place, 0)], 0), alive
 
 
 def score_symbols(net: Network, symbols: list[np.ndarray], end: int) -> np.ndarray:
@@ -177,9 +188,9 @@ def score_symbols(net: Network, symbols: list[np.ndarray], end: int) -> np.ndarr
     out = np.zeros(len(symbols))
     for some, size in _lanes(symbols, SCORE_LANES):
         h, last = np.zeros((len(some), HIDDEN), np.float32), np.full(len(some), end)
-        width = 32
+        width, (flat, begin) = 32, _flat(symbols, some)
         for at in range(0, int(size[0]), width):
-            live, cells, alive = _window(symbols, some, size, at, width)
+            live, cells, alive = _window(flat, begin, size, at, width)
             inputs = np.concatenate([last[None, :live], cells[:-1]])
             states, _ = net.steps(inputs, h[:live], False)
             logs = np.zeros(cells.shape)
@@ -196,15 +207,16 @@ def train_shard(flat: np.ndarray, symbols: list[np.ndarray], end: int) -> np.nda
     batches = list(_lanes(symbols, LANES))
     for b in np.random.default_rng(len(symbols)).permutation(len(batches)):
         some, size = batches[b]
+        own, begin = _flat(symbols, some)
         h, last = np.zeros((len(some), HIDDEN), np.float32), np.full(len(some), end)
         for at in range(0, int(size[0]), STEPS):
-            live, cells, alive = _window(symbols, some, size, at, STEPS)
+            live, cells, alive = _window(own, begin, size, at, STEPS)
             inputs = np.concatenate([last[None, :live], cells[:-1]])
             grad, state = net.gradient(inputs, cells, alive, h[:live])
             g = np.concatenate([grad[k].ravel() for k in Network.SHAPES]) / max(1, alive.sum())
             step += 1
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
+            m += np.float32(0.1) * (g - m)
+            v += np.float32(0.01) * (g * g - v)
             net.flat -= RATE * min(1.0, alive.sum() / 1000) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
             h, last = state, cells[-1]
     return net.flat
@@ -275,11 +287,19 @@ def _train(documents: DataFrame, start: Network, known: dict) -> np.ndarray:
     return flat
 
 
+def _places(get, words: list[bytes]) -> np.ndarray:
+    """``get`` of each word, -1 where there is none."""
+    return np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+
+
 def _symbols(texts: list[str], known: dict) -> list[np.ndarray]:
     out = []
     for text in texts:
         words = words_of(text)
-        out.append(np.array([known[w] if w in known else MODELLED + tail_class(w) for w in words], np.int64))
+        found = _places(known.get, words)
+        for i in np.flatnonzero(found < 0).tolist():
+            found[i] = MODELLED + tail_class(words[i])
+        out.append(found)
     return out
 
 
@@ -315,7 +335,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
                 symbols, n_known, sums, tails, rare_row, rare_word, rare_times = [], [], [], [], [], [], []
                 for row, text in zip(part["row"].tolist(), part["text"].fillna("").tolist(), strict=True):
                     words = words_of(text)
-                    at_head = np.array([place(w, -1) for w in words], np.int64)
+                    at_head = _places(place, words)
                     away = np.flatnonzero(at_head < 0)
                     ids = symbol[at_head]
                     if len(away):
