@@ -240,6 +240,19 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInPandas(count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _most_frequent(counts: DataFrame) -> pd.DataFrame:
+    """The ``HEAD`` words of the highest counts, ties by word.
+
+    A histogram of counts (64 bins a doubling) tells which words can be among them, so few more than ``HEAD`` rows are ordered and no partition
+    sends rows to the driver before they are.
+    """
+    step = F.floor(F.log2("c") * 64)
+    bins = counts.groupBy(step.alias("bin")).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("bin", ascending=False)
+    enough = bins[bins["n"].cumsum() >= HEAD]
+    able = counts.where(step >= int(enough["bin"].iloc[0])) if len(enough) else counts
+    return saved(able.orderBy(F.col("c").desc(), "word").limit(HEAD), "lm-head").toPandas()
+
+
 def _tail_totals(counts: DataFrame, known: dict) -> np.ndarray:
     """Sum of c + 0.5 over the words of each tail class."""
     def total(batches):
@@ -310,7 +323,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
     counts = saved(word_counts(_training(docs)), "lm-counts")
     n, v = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     n = n or 0
-    top = counts.orderBy(F.col("c").desc(), "word").limit(HEAD).toPandas()  # at most HEAD rows
+    top = _most_frequent(counts)
     head = {bytes(w): int(c) for w, c in zip(top["word"], top["c"], strict=True)}
     head.setdefault(END, 0)
     modelled = [END, *[w for w in head if w != END][:MODELLED - 1]]
