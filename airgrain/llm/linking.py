@@ -89,6 +89,7 @@ def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame
     item is a probe only pairs with a probe are asked for.
     """
     pivots = buckets.groupBy("key").agg(F.min("id").alias("block"), F.max("id").alias("_most")).where("block < _most").drop("_most")
+    pivots = saved(pivots, "link-pivots")  # few as a rule: by its size Spark chooses between broadcast and shuffle
     met = saved(buckets.join(pivots, "key").select("block", "id", "n").distinct(), "link-members")
     counts = met.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
     counts = counts.where(F.col("members") > 1).withColumn("parts", F.ceil(F.col("members") / size).cast("int"))
