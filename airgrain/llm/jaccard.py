@@ -89,6 +89,11 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def can_link(n: int, percent: int) -> bool:
+    """Whether a set of n can link to a different set: the one nearest to it has one n-gram more (one less is never nearer)."""
+    return n > 0 and 100 * n >= percent * (n + 1)
+
+
 class _Node:
     __slots__ = ("run", "children", "ends", "low", "high")
 
@@ -196,8 +201,7 @@ def _keys(percent: int, with_low: bool):
                     "k2": np.array([_mix(s ^ M2).sum(dtype=U) for s in sets], U).view(np.int64),
                 }
                 if with_low:
-                    # Sets too small for a link to a different set take no part.
-                    low = [s[:max(int(np.searchsorted(s, limit)), len(s) - needed(len(s), percent) + 1)] if needed(len(s), percent) < len(s) else s[:0] for s in sets]
+                    low = [s[:max(int(np.searchsorted(s, limit)), len(s) - needed(len(s), percent) + 1)] if can_link(len(s), percent) else s[:0] for s in sets]
                     rows["low"] = [s.view(np.int64) for s in low]
                 yield pd.DataFrame(rows)
 

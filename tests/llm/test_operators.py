@@ -84,6 +84,17 @@ def test_jaccard(docs):
     assert jaccard.jaccard_components(docs.where("false")).count() == 0
 
 
+def jaccard_rows(spark, rows, **how):
+    return {(r.doc_id, r.n, r.component) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect()}
+
+
+def test_jaccard_smallest_sets_that_link(spark):
+    # 9 of 10 n-grams link, 8 of 9 do not; the word goes to either end.
+    words = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    rows = [(1, words("a", 11)), (2, words("a", 12)), (3, "z " + words("b", 11)), (4, words("b", 11)), (5, words("c", 10)), (6, words("c", 11))]
+    assert jaccard_rows(spark, rows) == {(1, 9, 1), (2, 10, 1), (3, 10, 3), (4, 9, 3), (5, 8, 5), (6, 9, 6)}
+
+
 def test_prefix_tree_finds_all():
     rng = np.random.default_rng(5)
     base = rng.choice(2000, 120, replace=False).astype(np.uint64)
