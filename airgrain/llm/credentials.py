@@ -3,8 +3,8 @@
 A credential comes in parts: an access identifier, a secret, an endpoint. Strong parts (``assign``, ``access``,
 ``hex``) are reported always. Weak parts - identifier-like and secret-like runs, addresses - mean nothing alone;
 they are reported only where complementary parts lie within ``scope`` code points: an identifier needs a secret,
-a secret an identifier, an endpoint both. Parts meet in an interval join on (row, bin of the position), so a
-long text with many parts spreads over its bins.
+a secret an identifier, an endpoint both. Parts meet in an interval join on (row, bin): a part stands in every bin from its
+start to its end, a weak part looks into every bin its scope touches, so a long text with many parts spreads over its bins.
 
 Null text counts as empty; null ids stay; every row, also a repeated one, gives its own row; extra columns are
 ignored. Positions are code points, ends exclusive.
@@ -83,7 +83,7 @@ def scan_secrets(documents: DataFrame, text: str = "text", scope: int = 256) ->
 
     role = F.element_at(F.create_map(*[F.lit(x) for r, k in KINDS.values() for x in (r, k)]), F.col("p.rank"))
     parts = rows.select("_row", F.explode(F.concat("_base", "_weak")).alias("p")).select(
-        "_row", "p.*", role.alias("role"), (F.floor(F.col("p.start") / scope)).alias("bin"))
+        "_row", "p.*", role.alias("role"), F.explode(F.sequence(F.floor(F.col("p.start") / scope), F.floor(F.col("p.end") / scope))).alias("bin"))
     # A weak run that touches a strong span is the same thing seen twice.
     left = rows.select("_row", "_base", F.explode("_weak").alias("p")).where(
         ~F.exists("_base", lambda b: (b["start"] < F.col("p.end")) & (F.col("p.start") < b["end"]))

@@ -202,6 +202,22 @@ def test_secrets(spark):
     assert got[1][1] == ",".join(f"assign:{m.start()}:{m.end()}" for m in pattern.finditer(rows[1][1]) if len(m[2]) >= 12)
 
 
+def test_secrets_of_any_length(spark):
+    # Parts that start far before the weak run, or far before its scope, but end within it; just within and just out of the scope.
+    long, ident = "password=" + "x" * 600, "ABCDEFGH01234567"
+    hexes = "0123456789abcdef" * 2
+    texts = [
+        f"{long} {' ' * 9}{ident}", " " * 250 + hexes + " " * 248 + ident, hexes + " " * 256 + ident, hexes + " " * 257 + ident,
+        f"https://h.example/{'p' * 700} {ident} {hexes}", f"{ident} {' ' * 200}{long}", f"{ident} {long} {ident}",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.s for r in credentials.scan_secrets(rows).select("doc_id", credentials.span_text(F.col("spans")).alias("s")).collect()}
+    assert got == {
+        0: "assign:0:609,ident:619:635", 1: "hex:250:282,ident:530:546", 2: "hex:0:32,ident:288:304", 3: "hex:0:32",
+        4: "endpoint:0:718,ident:719:735,hex:736:768", 5: "ident:0:16,assign:217:826", 6: "ident:0:16,assign:17:626,ident:627:643",
+    }
+
+
 def test_tool_calls(spark):
     calls = [(1, "a", 0, "f", '{"y":2,"x":"s"}', None), (1, "b", 1, "f", '{"x":1}', ["a"]), (1, "c", 2, "f", "[1]", ["b", "a", "zz"]), (1, "d", 3, "g", "{}", ["e"]), (1, "e", 4, "f", '{"x":"q","w":1}', ["d"]), (None, "a", 0, "f", '{"x":"s"}', None), (1, "a", 0, "f", '{"y":2,"x":"s"}', None), (2, None, 0, "f", None, None)]
     results = [(1, "a", 5, "ok"), (3, "q", 1, "?"), (1, "a", 6, "later")]
