@@ -1,6 +1,7 @@
 """N-gram Jaccard join with prefix trees.
 
-A document's set holds the hashes of its word n-grams. Equal sets become one representative first. Two different
+A document's set holds the hashes of its word n-grams. Equal sets become one item first, known by their least doc_id, or by a 64-bit hash
+of the set where that doc_id has several sets; its text comes from one row of it. Two different
 sets with Jaccard similarity j or more share an n-gram among the first n - ceil(j n) + 1 of either in any global
 order, so these prefixes are the candidate buckets. The order: n-grams whose hash lies in the lowest ``SHARE`` of the
 range by document frequency (counted exactly over all sets) and then hash, the rest by hash; so frequent passages come last, only a fifth
@@ -12,7 +13,7 @@ and a subtree is left as soon as the remaining lengths cannot reach the needed o
 different texts is found: the result is that of all pairs (n-grams compared by 64-bit hashes).
 
 Null and empty texts have an empty set and link with nothing. Repeated rows of one doc_id are one document; a doc_id with several texts has a row
-per set and links through each. A null doc_id never names a component. Extra columns are ignored.
+per set and links through each: its sets are one component. A null doc_id never names a component. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -196,7 +197,7 @@ def _keys(percent: int, with_low: bool):
                 part = pdf.iloc[at:at + 2000]
                 sets = shingle_sets(part["text"].fillna("").tolist())
                 rows = {
-                    "doc_id": part["doc_id"], "n": np.array([len(s) for s in sets], np.int32),
+                    "doc_id": part["doc_id"], "t": part["t"], "n": np.array([len(s) for s in sets], np.int32),
                     "k1": np.array([_mix(s + GOLD).sum(dtype=U) for s in sets], U).view(np.int64),
                     "k2": np.array([_mix(s ^ M2).sum(dtype=U) for s in sets], U).view(np.int64),
                 }
@@ -208,45 +209,60 @@ def _keys(percent: int, with_low: bool):
     return run
 
 
-KEYS = "doc_id bigint, n int, k1 bigint, k2 bigint"
+KEYS = "doc_id bigint, t bigint, n int, k1 bigint, k2 bigint"
 
 
 def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n, component of every document (doc_id, set)."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    identity = ["n", "k1", "k2"]
-    keys = saved(docs.mapInPandas(_keys(percent, False), KEYS), "jaccard-keys")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
+    identity = F.when(F.col("n") > 0, F.xxhash64("n", "k1", "k2")).alias("set")
+    keys = saved(docs.mapInPandas(_keys(percent, False), KEYS).select("doc_id", "t", "n", identity), "jaccard-keys")
     filled = keys.where("n > 0 and doc_id is not null")
-    names = saved(filled.groupBy(*identity).agg(F.min("doc_id").alias("rep")), "jaccard-reps")
+    several = saved(filled.groupBy("doc_id").agg(F.min("set").alias("_a"), F.max("set").alias("_b")).where("_a < _b").select(F.col("doc_id").alias("_doc")), "jaccard-several")
+
+    def with_id(of):
+        # The least doc_id keeps a group's original in front as a pivot, so its copies share few blocks.
+        return of.join(several, of["rep"] == several["_doc"], "left").withColumn("id", F.when(F.col("_doc").isNull(), F.col("rep")).otherwise(F.col("set"))).drop("_doc")
+
+    # Of each set: a row that has it, that of the least doc_id.
+    names = filled.groupBy("set").agg(F.min(F.struct("doc_id", "t")).alias("r")).select("set", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"))
+    names = saved(with_id(names), "jaccard-reps")
     # One row per distinct set, then one per counted n-gram of it.
     sets = docs.where("doc_id is not null").mapInPandas(_keys(percent, True), KEYS + ", low array<bigint>").where(F.size("low") > 0)
-    sets = sets.groupBy(*identity).agg(F.min("doc_id").alias("rep"), F.first("low").alias("low"))
-    grams = saved(sets.select("rep", "n", F.size("low").alias("m"), F.explode("low").alias("gram")), "jaccard-grams")
+    sets = with_id(sets.groupBy("n", identity).agg(F.min("doc_id").alias("rep"), F.first("low").alias("low")))
+    grams = saved(sets.select("id", "n", F.size("low").alias("m"), F.explode("low").alias("gram")), "jaccard-grams")
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = grams.join(counts, "gram")
     # The prefix has n - needed + 1 n-grams, those that no other set has come first.
-    prefix = shared.groupBy("rep", "n", "m").agg(F.collect_list(F.struct("df", "gram")).alias("grams"))
+    prefix = shared.groupBy("id", "n", "m").agg(F.collect_list(F.struct("df", "gram")).alias("grams"))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
     room = length - (F.col("m") - F.size("grams"))
-    prefix = prefix.where(room > 0).select("rep", "n", F.explode(F.slice(F.array_sort("grams"), F.lit(1), room)).alias("g"))
-    buckets = saved(prefix.select(F.col("g.gram").alias("key"), F.col("rep").alias("id"), "n"), "jaccard-prefixes")
+    prefix = prefix.where(room > 0).select("id", "n", F.explode(F.slice(F.array_sort("grams"), F.lit(1), room)).alias("g"))
+    buckets = saved(prefix.select(F.col("g.gram").alias("key"), "id", "n"), "jaccard-prefixes")
 
     def texts(parts):
-        # At most FILTER hashes say which texts need not move; the join itself decides.
+        # One text per distinct set that is asked for. At most FILTER hashes say which texts need not move; the join itself decides.
+        wanted = saved(names.join(parts.select("id").distinct(), "id", "left_semi"), "jaccard-wanted")
         bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER))
-        wanted = F.broadcast(parts.select(bucket("id").alias("_bucket")).distinct())
-        some = docs.join(wanted, bucket("doc_id") == F.col("_bucket"), "left_semi")
-        return some.join(parts, some["doc_id"] == parts["id"]).select("block", "part", "id", "probe", "text")
+        some = docs.join(F.broadcast(wanted.select(bucket("t").alias("_bucket")).distinct()), bucket("t") == F.col("_bucket"), "left_semi")
+        once = some.join(wanted, (some["doc_id"] == wanted["rep"]) & (some["t"] == wanted["t"])).groupBy("id").agg(F.first("text").alias("text"))
+        return once.join(parts, "id").select("block", "part", "id", "probe", "text")
 
     def compare(ids, sets, probe):
         return tree_links(ids, sets, probe, percent)
 
-    found = linked_components(buckets, texts, shingle_sets, compare, percent / 100)
-    named = left_join(keys.distinct(), names, identity)
-    of_rep = named.join(found, named["rep"] == found["id"], "left")
-    # A doc_id with several texts joins their components.
-    component = F.when(F.col("n") > 0, F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id"))
-    return of_rep.select("doc_id", "n", component.alias("component"))
+    # The sets of one doc_id belong together.
+    own = filled.join(several, filled["doc_id"] == several["_doc"]).select("doc_id", "set").distinct().join(names.select("set", "id"), "set")
+    hubs = own.groupBy("doc_id").agg(F.min("id").alias("a"))
+    own = own.join(hubs, "doc_id").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    found = linked_components(buckets, texts, shingle_sets, compare, percent / 100, more=own)
+    # A component is named by the least doc_id of its sets.
+    found = found.join(names.select("id", "rep"), "id")
+    least = found.groupBy("component").agg(F.min("rep").alias("least"))
+    found = saved(found.join(least, "component").select("id", "least"), "jaccard-found")
+    of_set = left_join(keys.select("doc_id", "n", "set").distinct(), names.select("set", "rep", "id"), ["set"])
+    of_set = of_set.join(found, "id", "left")
+    return of_set.select("doc_id", "n", F.coalesce("least", "rep", "doc_id").alias("component"))
 
 
 def op8_jaccard_join(spark, sf_dir):

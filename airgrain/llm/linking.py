@@ -81,12 +81,12 @@ def _compared(parts: DataFrame, texts: Callable[[DataFrame], DataFrame], prepare
     return arranged.sortWithinPartitions("block", "part", "probe", "id").mapInPandas(run, LINKS)
 
 
-def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame], prepare, compare, ratio: float, size: int = PART) -> DataFrame:
+def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame], prepare, compare, ratio: float, size: int = PART, more: DataFrame | None = None) -> DataFrame:
     """id, component of all items that link to another.
 
     ``buckets``: key, id, n, rows may repeat (sizes of linked items differ by the factor ``ratio`` at most). ``texts`` adds ``text``
     to rows with ``id``. ``prepare(texts)`` gives items; ``compare(ids, items, probe)`` returns linked pairs; if any
-    item is a probe only pairs with a probe are asked for.
+    item is a probe only pairs with a probe are asked for. ``more`` (a, b) are links that hold beside those found.
     """
     pivots = buckets.groupBy("key").agg(F.min("id").alias("block"), F.max("id").alias("_most")).where("block < _most").drop("_most")
     pivots = saved(pivots, "link-pivots")  # few as a rule: by its size Spark chooses between broadcast and shuffle
@@ -102,7 +102,8 @@ def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame
     small = small.select("block", F.explode(F.expr(fits)).alias("x")).select("block", F.lit(0).alias("part"), F.col("x.id").alias("id"), F.lit(False).alias("probe"))
     pivot_rows = hot.select("block", "parts").distinct().select("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("block").alias("id"), F.lit(False).alias("probe"))
     first = saved(small.unionByName(hot.select("block", "part", "id", F.lit(False).alias("probe"))).unionByName(pivot_rows), "link-parts")
-    links = saved(_compared(first, texts, prepare, compare), "links")
+    links = _compared(first, texts, prepare, compare)
+    links = saved(links if more is None else links.unionByName(more), "links")
     found = saved(components(links), "link-components")
     if hot.isEmpty():
         return found
@@ -117,5 +118,5 @@ def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame
     probes = chunk.select("block", "id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), "chunk", "chunks", F.lit(True).alias("probe"))
     base = hot.join(chunks, "block").select("block", "id", F.col("part").alias("p"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "chunks", F.lit(False).alias("probe"))
     second = probes.unionByName(base).select("block", (F.col("p") * F.col("chunks") + F.col("chunk")).alias("part"), "id", "probe")
-    more = saved(_compared(saved(second, "link-parts"), texts, prepare, compare), "links")
-    return saved(components(links.unionByName(more)), "link-components")
+    rest = saved(_compared(saved(second, "link-parts"), texts, prepare, compare), "links")
+    return saved(components(links.unionByName(rest)), "link-components")

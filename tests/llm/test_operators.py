@@ -95,6 +95,16 @@ def test_jaccard_smallest_sets_that_link(spark):
     assert jaccard_rows(spark, rows) == {(1, 9, 1), (2, 10, 1), (3, 10, 3), (4, 9, 3), (5, 8, 5), (6, 9, 6)}
 
 
+def test_jaccard_ids_with_several_texts(spark):
+    # 1 has two texts; each has an equal and a near copy under other ids, and all are one component through 1. 20 and 21 stay apart.
+    text = lambda k, end: " ".join([f"{k}{i}" for i in range(40)] + end)
+    rows = [(1, text("a", [])), (1, text("b", [])), (2, text("a", [])), (3, text("b", [])), (4, text("a", ["x"])), (5, text("b", ["y"])), (6, text("b", ["y", "z"])), (20, text("c", [])), (21, text("d", [])), (1, text("b", []))]
+    assert jaccard_rows(spark, rows) == {(1, 38, 1), (2, 38, 1), (3, 38, 1), (4, 39, 1), (5, 39, 1), (6, 40, 1), (20, 38, 20), (21, 38, 21)}
+    # The least doc_id has another text too, so its id alone says not which text the others are near to.
+    rows = [(1, text("d", [])), (1, text("a", [])), (7, text("b", [])), (1, text("b", ["y"])), (8, text("a", ["x"])), (9, text("d", ["w"]))]
+    assert jaccard_rows(spark, rows) == {(1, 38, 1), (1, 39, 1), (7, 38, 1), (8, 39, 1), (9, 39, 1)}
+
+
 def test_prefix_tree_finds_all():
     rng = np.random.default_rng(5)
     base = rng.choice(2000, 120, replace=False).astype(np.uint64)
