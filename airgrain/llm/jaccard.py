@@ -3,9 +3,9 @@
 A document's set holds the hashes of its word n-grams. Equal sets become one item first, known by their least doc_id, or by a 64-bit hash
 of the set where that doc_id has several sets; its text comes from one row of it. Two different
 sets with Jaccard similarity j or more share an n-gram among the first n - ceil(j n) + 1 of either in any global
-order, so these prefixes are the candidate buckets. The order: n-grams whose hash lies in the lowest ``SHARE`` of the
-range by document frequency (counted exactly over all sets) and then hash, the rest by hash; so frequent passages come last, only a fifth
-of the n-grams is counted, and a document whose prefix is filled by n-grams of its own is out at once.
+order, so these prefixes are the candidate buckets. The order: n-grams whose hash lies in the lowest part of the
+range, ``SHARE`` times 1 - j of it, by document frequency (counted exactly over all sets) and then hash, the rest by hash; so frequent passages come last, only a fifth
+(at 0.9) of the n-grams is counted, and a document whose prefix is filled by n-grams of its own is out at once.
 
 Buckets become parts (see ``linking``). Inside a part the whole sets, ordered by frequency in the part, go into a
 radix tree; a set is looked up by walking the tree with the overlap so far, shared by all sets below a node,
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import left_join, saved, table
 from .linking import linked_components
 
-WORDS, PERCENT, SHARE, FILTER = 3, 90, 0.2, 1 << 20
+WORDS, PERCENT, SHARE, FILTER = 3, 90, 2, 1 << 20
 CHUNK = 1 << 20  # characters that are hashed together
 U = np.uint64
 GOLD, M1, M2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -187,15 +187,15 @@ def tree_links(ids, sets: list[np.ndarray], probe, percent: int) -> list[tuple[i
     return links
 
 
-def _keys(percent: int, with_low: bool):
+def _keys(percent: int, words: int, with_low: bool):
     """Size and 128-bit identity of each set; on request the n-grams that are counted."""
-    limit = U(int(SHARE * 2.0**64))
+    limit = U(min(SHARE * (100 - percent) * 2**64 // 100, 2**64 - 1))
 
     def run(batches):
         for pdf in batches:
             for at in range(0, len(pdf), 2000):
                 part = pdf.iloc[at:at + 2000]
-                sets = shingle_sets(part["text"].fillna("").tolist())
+                sets = shingle_sets(part["text"].fillna("").tolist(), words)
                 rows = {
                     "doc_id": part["doc_id"], "t": part["t"], "n": np.array([len(s) for s in sets], np.int32),
                     "k1": np.array([_mix(s + GOLD).sum(dtype=U) for s in sets], U).view(np.int64),
@@ -212,11 +212,11 @@ def _keys(percent: int, with_low: bool):
 KEYS = "doc_id bigint, t bigint, n int, k1 bigint, k2 bigint"
 
 
-def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, component of every document (doc_id, set)."""
+def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n, component of every document (doc_id, set): n-grams of ``words`` words, Jaccard similarity of ``percent`` or more."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
     identity = F.when(F.col("n") > 0, F.xxhash64("n", "k1", "k2")).alias("set")
-    keys = saved(docs.mapInPandas(_keys(percent, False), KEYS).select("doc_id", "t", "n", identity), "jaccard-keys")
+    keys = saved(docs.mapInPandas(_keys(percent, words, False), KEYS).select("doc_id", "t", "n", identity), "jaccard-keys")
     filled = keys.where("n > 0 and doc_id is not null")
     several = saved(filled.groupBy("doc_id").agg(F.min("set").alias("_a"), F.max("set").alias("_b")).where("_a < _b").select(F.col("doc_id").alias("_doc")), "jaccard-several")
 
@@ -228,7 +228,7 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     names = filled.groupBy("set").agg(F.min(F.struct("doc_id", "t")).alias("r")).select("set", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"))
     names = saved(with_id(names), "jaccard-reps")
     # One row per distinct set, then one per counted n-gram of it.
-    sets = docs.where("doc_id is not null").mapInPandas(_keys(percent, True), KEYS + ", low array<bigint>").where(F.size("low") > 0)
+    sets = docs.where("doc_id is not null").mapInPandas(_keys(percent, words, True), KEYS + ", low array<bigint>").where(F.size("low") > 0)
     sets = with_id(sets.groupBy("n", identity).agg(F.min("doc_id").alias("rep"), F.first("low").alias("low")))
     grams = saved(sets.select("id", "n", F.size("low").alias("m"), F.explode("low").alias("gram")), "jaccard-grams")
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -255,7 +255,7 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     own = filled.join(several, filled["doc_id"] == several["_doc"]).select("doc_id", "set").distinct().join(names.select("set", "id"), "set")
     hubs = own.groupBy("doc_id").agg(F.min("id").alias("a"))
     own = own.join(hubs, "doc_id").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    found = linked_components(buckets, texts, shingle_sets, compare, percent / 100, more=own)
+    found = linked_components(buckets, texts, lambda t: shingle_sets(t, words), compare, percent / 100, more=own)
     # A component is named by the least doc_id of its sets.
     found = found.join(names.select("id", "rep"), "id")
     least = found.groupBy("component").agg(F.min("rep").alias("least"))
@@ -270,7 +270,7 @@ def op8_jaccard_join(spark, sf_dir):
 
 
 def jaccard_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that of the smallest doc_id. Documents without doc_id stay."""
-    found = jaccard_components(docs)
+    """One document of each group (five-word n-grams, Jaccard similarity 0.8) stays: that of the smallest doc_id. Documents without doc_id stay."""
+    found = jaccard_components(docs, words=5, percent=80)
     away = found.groupBy("doc_id").agg(F.min("component").alias("_c"), F.count(F.lit(1)).alias("_n")).where("_c <> doc_id").select("doc_id")
     return left_join(docs, away, ["doc_id"], "left_anti")

@@ -105,6 +105,18 @@ def test_jaccard_ids_with_several_texts(spark):
     assert jaccard_rows(spark, rows) == {(1, 38, 1), (1, 39, 1), (7, 38, 1), (8, 39, 1), (9, 39, 1)}
 
 
+def test_jaccard_stage_takes_five_words(spark):
+    # Two scattered words replaced: 86 of 106 five-word n-grams, 92 of 104 of three words.
+    words = [f"w{i}" for i in range(100)]
+    near = [f"x{i}" if i in (30, 70) else w for i, w in enumerate(words)]
+    rows = [(2, " ".join(words), 0), (1, " ".join(near), 0), (3, "w1 w2 w3", 0), (None, "w1 w2 w4", 0), (4, " ".join(words[:25]), 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other int")
+    left = jaccard.jaccard_stage(spark, docs, "")
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {1, 3, 4, None}
+    pairs = [(r[0], r[1]) for r in rows[:2]]
+    assert jaccard_rows(spark, pairs) == {(2, 98, 2), (1, 98, 1)} and jaccard_rows(spark, pairs, words=5, percent=80) == {(2, 96, 1), (1, 96, 1)}
+
+
 def test_prefix_tree_finds_all():
     rng = np.random.default_rng(5)
     base = rng.choice(2000, 120, replace=False).astype(np.uint64)
