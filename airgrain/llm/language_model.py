@@ -5,8 +5,9 @@ the network's vocabulary, dealt to ``CLASSES`` classes by frequency; every other
 classes by its bytes (a fixed rule), inside which its probability follows the counts. So
 log P(word) = log P(class | state) + log P(word | class, state), or + log (c + 0.5) / Z(class) in the tail, where one 0.5 is kept for unseen words.
 
-Training is data parallel: shards of about ``SHARD`` documents of a fixed share of the training documents (by hash, so it grows with
-the input) run truncated backpropagation in numpy, windows of ``STEPS`` words with the state carried on; the shards' weights are
+Training is data parallel and every training row takes part once: rows are dealt to ``ROUNDS`` rounds by a hash of id and text, those of a
+round to shards of about ``SHARD`` bytes of text (so of no more words) by a hash that also tells equal rows apart. Shards run truncated
+backpropagation in numpy, windows of ``STEPS`` words with the state carried on; the shards' weights are
 averaged in a tree, and the next round starts from the average. Output biases start at the corpus frequencies.
 
 Scoring reads each text whole: documents step together in lanes, the state carried across windows from the first word to the
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import crc_mod, saved, table
 
 HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES = 50_000, 1024, 32, 32, 16, 16, 256, 1024
-SHARE, SHARD, ROUNDS, RATE, FAN = 8, 4096, 2, 0.01, 32
+SHARD, ROUNDS, RATE, FAN = 1 << 22, 2, 0.01, 32
 END = b"\n"  # no word holds whitespace
 PER = MODELLED // CLASSES
 
@@ -271,16 +272,18 @@ def _tail_totals(counts: DataFrame, known: dict) -> np.ndarray:
 
 def _train(documents: DataFrame, start: Network, known: dict) -> np.ndarray:
     spark, flat = documents.sparkSession, start.flat
-    train = _training(documents)
-    for turn in range(ROUNDS):
-        share = train.where(F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(SHARE * ROUNDS)) == turn)
-        shards = max(1, -(-share.count() // SHARD))
+    train = _training(documents).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    train = train.withColumn("round", F.pmod(F.xxhash64(F.lit("round"), "doc_id", "text"), F.lit(ROUNDS)))
+    # A text has no more words than bytes, with the end mark one more.
+    size = {r["round"]: r["size"] for r in train.groupBy("round").agg(F.sum(F.octet_length("text") + F.lit(1).cast("long")).alias("size")).collect()}
+    for turn in sorted(size):
+        shards = -(-size[turn] // SHARD)
         now = spark.sparkContext.broadcast((flat, known))
-        part = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(shards)).cast("int")
+        part = F.pmod(F.xxhash64(F.lit("shard"), "doc_id", "text", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
 
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             weights, vocabulary = now.value
-            symbols = _symbols(pdf.sort_values(["doc_id"])["text"].fillna("").tolist(), vocabulary)
+            symbols = _symbols(pdf.sort_values(["doc_id", "text"])["text"].tolist(), vocabulary)
             out = train_shard(weights, symbols, vocabulary[END])
             return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "n": [sum(len(s) for s in symbols)], "weights": [out.astype(np.float64).tobytes()]})
 
@@ -290,13 +293,11 @@ def _train(documents: DataFrame, start: Network, known: dict) -> np.ndarray:
             return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "n": [int(n.sum())], "weights": [total.tobytes()]})
 
         schema = "shard int, n bigint, weights binary"
-        trained = saved(share.select("doc_id", "text", part.alias("shard")).groupBy("shard").applyInPandas(run, schema), "lm-weights")
+        trained = saved(train.where(F.col("round") == turn).select("doc_id", "text", part.alias("shard")).groupBy("shard").applyInPandas(run, schema), "lm-weights")
         while shards > 1:
             shards = -(-shards // FAN)
             trained = saved(trained.withColumn("shard", F.pmod("shard", F.lit(shards))).groupBy("shard").applyInPandas(average, schema), "lm-weights")
-        got = trained.first()
-        if got is not None:
-            flat = np.frombuffer(got["weights"]).astype(np.float32)
+        flat = np.frombuffer(trained.first()["weights"]).astype(np.float32)
     return flat
 
 

@@ -295,6 +295,29 @@ def test_language_model(docs):
         assert abs(r.base_score - base) < 1e-6 and r.score < 0
 
 
+def test_language_model_learns_from_every_training_row(spark, tmp_path, monkeypatch):
+    # Every training row reaches a gradient once, also rows that are alike or have no id; no shard outgrows its bound by much.
+    log, real = str(tmp_path), language_model.train_shard
+
+    def noted(flat, symbols, end):
+        import os
+        import uuid
+
+        with open(os.path.join(log, uuid.uuid4().hex), "w") as f:
+            f.write(" ".join(str(len(s)) for s in symbols))
+        return real(flat, symbols, end)
+
+    monkeypatch.setattr(language_model, "train_shard", noted)
+    monkeypatch.setattr(language_model, "SHARD", 1500)
+    rows = [(i, "w " * (i % 9 + 1)) for i in range(300)] + [(None, "n " * 5)] * 150 + [(7, "same " * 4)] * 150 + [(None, None), (None, "")]
+    train = [(i, t) for i, t in rows if i is None or hash_mod(i) != 1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    assert language_model.score_documents(docs).count() == len(rows)
+    shards = [list(map(int, p.read_text().split())) for p in tmp_path.iterdir()]
+    assert sorted(n for s in shards for n in s) == sorted(len((t or "").split()) + 1 for _, t in train)
+    assert max(map(sum, shards)) < 1500
+
+
 def hash_mod(doc_id):
     import zlib
 
