@@ -151,6 +151,13 @@ def test_lines(spark, docs):
     assert out == {900: text.format(1) + "\n\nhi", 901: "hx"}
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    # Lines go by row, not by doc_id alone: E stands once, C and D too. Of two lines under one id the upper one stays.
+    rows = [(None, "A\nB"), (None, "B\nE"), (5, "C\nB"), (5, "A\nD"), (6, "F\nG"), (6, "F\nG"), (7, "G\nH")]
+    out = [tuple(r) for r in lines.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(out, key=str) == sorted([(None, "A"), (None, "B\nE"), (5, "C"), (5, "D"), (6, "F\nG"), (6, "F\nG"), (7, "H")], key=str)
+
+
 def test_topk(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 4)], "x") for i in range(300)] + [(300, None, "x"), (400, [float("nan"), 0.0, 0.0, 0.0], "x"), (None, [0.1] * 4, "x"), (500, [0.1] * 3, "x"), (501, [2.0**60, 1.0, 0.0, 0.0], "x")]
