@@ -27,6 +27,25 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the scratch files of a table of ``saved`` that nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores after it as it takes to be none of ``columns`` (whose case does not count)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``, also where ``body`` uses it inside a lambda."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -78,3 +97,20 @@ def numbered(df: DataFrame, by: list[str], order: str, name: str, per_part: int
     ranked = parts.withColumn("_in", F.row_number().over(W.partitionBy(*by, "_part").orderBy(order)) - 1)
     out = left_join(ranked, offsets, [*by, "_part"], "inner")
     return out.withColumn(name, F.col("_before") + F.col("_in")).drop("_part", "_in", "_before")
+
+
+def ranked(df: DataFrame, order: list, name: str, per_part: int = 1 << 18) -> DataFrame:
+    """Gapless 1-based numbers along ``order`` over the whole table, in the column ``name``.
+
+    Rows are dealt to sorted ranges; a range's rows are ranked inside it and the counts of the ranges before it are added. Rows that
+    are equal in ``order`` are numbered in any order and may lie in several ranges, so no key is too hot.
+    """
+    part, salt, place, count = free(df.columns, "_part", "_salt", "_in", "_c")
+    rows = saved(df.withColumn(salt, F.monotonically_increasing_id()), name)
+    ranges = rows.count() // per_part + 1
+    placed = saved(rows.repartitionByRange(ranges, *order, salt).withColumn(part, F.spark_partition_id()), name)
+    counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias(count))
+    before = F.sum(count).over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1))  # one row per range
+    offsets = counts.select(part, F.coalesce(before, F.lit(0)).alias(count))
+    inside = placed.withColumn(place, F.row_number().over(W.partitionBy(part).orderBy(*order, salt)))
+    return inside.join(offsets, part).withColumn(name, F.col(count) + F.col(place)).drop(part, salt, place, count)

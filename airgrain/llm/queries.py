@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from .credentials import op9_secret_scans
 from .decontaminate import op1_decontamination
+from .importance import op11_importance_resampling
 from .jaccard import op8_jaccard_join
 from .language_model import op7_language_model
 from .lines import op3_line_dedup
 from .mixing import op5_mixing
+from .packing import op12_packing
 from .quality import op2_quality
 from .sharding import op6_sharding
 from .tools import op10_tool_calls
 from .topk import op4_topk_search
+from .vector_codes import op13_vector_codes
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_secret_scans": op9_secret_scans,
     "op10_tool_calls": op10_tool_calls,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_packing": op12_packing,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -133,4 +139,57 @@ SELECT coalesce(call.conv_id, answer.conv_id) AS conv_id, coalesce(call.id, answ
 FROM call FULL JOIN answer ON call.conv_id = answer.conv_id AND call.id = answer.id
 """
 
-ORACLE = {"op1_decontamination": _OP1, "op4_topk_search": _OP4, "op8_jaccard_join": _OP8, "op9_secret_scans": _OP9, "op10_tool_calls": _OP10}
+# The CRC of each distinct word byte by byte, by the table of the reflected polynomial.
+_OP11 = rf"""
+WITH RECURSIVE bits AS (
+    SELECT i AS byte, CAST(i AS BIGINT) AS r, 0 AS k FROM range(256) t(i)
+    UNION ALL SELECT byte, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, k + 1 FROM bits WHERE k < 8),
+step AS MATERIALIZED (SELECT list(r ORDER BY byte) AS t FROM bits WHERE k = 8),
+said AS MATERIALIZED (
+    SELECT 'd' AS side, doc_id, row_number() OVER () AS row, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    UNION ALL SELECT 'b', NULL, row_number() OVER (), regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+word AS MATERIALIZED (SELECT side, row, word, count(*) AS c FROM (SELECT side, row, unnest(w) AS word FROM said) GROUP BY ALL),
+spelt AS (SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM word)),
+bucket AS MATERIALIZED (
+    SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+        lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1])), 4294967295) % 10000 AS b FROM spelt, step),
+share AS (SELECT b, sum(c) FILTER (side = 'd') AS s, sum(c) FILTER (side = 'b') AS t FROM word JOIN bucket USING (word) GROUP BY b),
+total AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM share),
+gain AS (SELECT b, CAST(floor(1000 * ln(CAST(coalesce(share.t, 0) + 1 AS DOUBLE) * CAST(total.s + 10000 AS DOUBLE) / (CAST(coalesce(share.s, 0) + 1 AS DOUBLE) * CAST(total.t + 10000 AS DOUBLE)))) AS BIGINT) AS g FROM share, total),
+mean AS (SELECT row, CAST(floor(CAST(sum(c * g) AS DOUBLE) / sum(c)) AS BIGINT) AS weight FROM word JOIN bucket USING (word) JOIN gain USING (b) WHERE side = 'd' GROUP BY row),
+scored AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+    FROM said LEFT JOIN mean USING (row) WHERE side = 'd'),
+placed AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST, n_features) END AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank FROM placed
+"""
+
+
+def _op13() -> str:
+    """The rounds one after another, each a table of assignments and one of entries."""
+    steps = ["""cells AS MATERIALIZED (
+    SELECT vec_id, label, row, part, list_transform(v[part * len(v) // 8 + 1:(part + 1) * len(v) // 8], lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM (SELECT vec_id, label, embedding AS v, row_number() OVER (ORDER BY vec_id) AS row FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0), range(8) p(part)),
+book0 AS MATERIALIZED (SELECT part, row - 1 AS entry, c FROM cells WHERE row <= 16)"""]
+    for i in range(7):
+        steps.append(f"""code{i} AS MATERIALIZED (
+    SELECT row, part, arg_min(entry, d * 100 + entry) AS entry, min(d) AS d FROM (
+        SELECT x.row, x.part, e.entry, CAST(list_sum(list_transform(list_zip(x.c, e.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM cells x JOIN book{i} e ON x.part = e.part)
+    GROUP BY row, part)""")
+        if i < 6:
+            steps.append(f"""book{i + 1} AS MATERIALIZED (
+    SELECT part, entry, coalesce(new.c, old.c) AS c FROM book{i} old LEFT JOIN (
+        SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM (
+            SELECT part, entry, j, sum(v) AS s, count(*) AS n FROM (SELECT part, entry, unnest(c) AS v, unnest(range(len(c))) AS j FROM cells JOIN code{i} USING (row, part)) GROUP BY ALL)
+        GROUP BY part, entry) new USING (part, entry))""")
+    return "WITH " + ",\n".join(steps) + """,
+found AS (SELECT vec_id, label, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM cells JOIN code6 USING (row, part) GROUP BY row, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM book6) AS codebooks_sha256
+FROM found
+"""
+
+
+ORACLE = {"op1_decontamination": _OP1, "op4_topk_search": _OP4, "op8_jaccard_join": _OP8, "op9_secret_scans": _OP9, "op10_tool_calls": _OP10, "op11_importance_resampling": _OP11, "op13_vector_codes": _op13()}
