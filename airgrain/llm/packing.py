@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import saved, table
 
 TOKENS, SEGMENTS, LOSS, CUT, WINDOW, FAN = 4096, 1024, 4096, 32, 2048, 64
-END, KNOWN, LONG, PIECE, BLOCK = 2, 1 << 20, 64, 1 << 22, 256
+END, KNOWN, LONG, PIECE, BLOCK, JOIN = 2, 1 << 20, 64, 1 << 22, 256, 64
 LEFT = "doc_id bigint, start bigint, doc_tokens bigint, ids binary, loss binary, part bigint, place bigint"
 PACKED = "doc_id bigint, start bigint, length bigint, loss_tokens bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary, loss binary, part bigint, place bigint"
 
@@ -49,22 +49,54 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        known = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(known.values()) + 1, bool)  # the ids that end a word
+        self.closes[[i for x, i in known.items() if x.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
         self.place, self.pool, self.held = {}, np.zeros(1 << 16, np.int32), 0
         self.first, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _split(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the words, their ids in it in one array, and how many each has.
+
+        Words of letters alone go to the tokenizer ``JOIN`` at once: each ends with the one id that closes a word. Where there are more of these (a letter whose lower
+        case is not a letter), word by word.
+        """
+        letters = np.fromiter(map(str.isalpha, words), bool, len(words))
+        order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+        joined = int(letters.sum()) // JOIN
+        groups = [order[i * JOIN:(i + 1) * JOIN].tolist() for i in range(joined)]
+        ids, sizes = [], []
+        for group, found in zip(groups, self._encoded([" ".join([words[i] for i in g]) for g in groups]), strict=True):
+            found = np.array(found, np.int32)
+            ends = np.flatnonzero(self.closes[found])
+            if len(ends) == len(group):
+                ids.append(found)
+                sizes.append(np.diff(ends, prepend=-1))
+            else:
+                alone = self._encoded([words[i] for i in group])
+                ids.append(np.array([i for x in alone for i in x], np.int32))
+                sizes.append(np.array([len(x) for x in alone]))
+        rest = self._encoded([words[i] for i in order[joined * JOIN:].tolist()])
+        ids.append(np.array([i for x in rest for i in x], np.int32))
+        sizes.append(np.fromiter(map(len, rest), np.int64, len(rest)))
+        return order, np.concatenate(ids), np.concatenate(sizes)
+
     def _learn(self, words: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
+        order, found, size = self._split([w.decode("utf-8", "replace") for w in words])
+        words = [words[i] for i in order.tolist()]
         n, total = len(self.place), int(size.sum())
         while n + len(words) > len(self.first):
             self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
         while self.held + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         self.first[n:n + len(words)], self.size[n:n + len(words)] = self.held + np.cumsum(size) - size, size
-        self.pool[self.held:self.held + total] = [i for ids in found for i in ids]
+        self.pool[self.held:self.held + total] = found
         self.held += total
         self.place.update(zip(words, range(n, n + len(words)), strict=True))
 
@@ -103,6 +135,8 @@ class Ids:
         for i, text in enumerate(texts):
             out.append([])
             at = 0
+            if b"<|" not in text:  # marks of that kind are known before letters are lowered
+                text = text.lower()
             while at < len(text):
                 cut = len(text)
                 if cut - at > PIECE:
@@ -112,8 +146,8 @@ class Ids:
                 at = cut
                 far = [k for k, w in enumerate(some) if len(w) > LONG] if some and max(map(len, some)) > LONG else []
                 if far:
-                    found = self.tokenizer.encode_batch([some[k].decode("utf-8", "replace") for k in far], add_special_tokens=False)
-                    rare[len(counts)] = [(k - j, np.array(e.ids, np.int32)) for j, (k, e) in enumerate(zip(far, found, strict=True))]
+                    found = self._encoded([some[k].decode("utf-8", "replace") for k in far])
+                    rare[len(counts)] = [(k - j, np.array(ids, np.int32)) for j, (k, ids) in enumerate(zip(far, found, strict=True))]
                     some = [w for w in some if len(w) <= LONG]
                 words += some
                 counts.append(len(some))
