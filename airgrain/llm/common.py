@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +29,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_state() -> dict:
+    """A dictionary that lives as long as the Python worker, which Spark uses for one task after another. For what any task could compute again."""
+    return sys.modules.setdefault("airgrain_worker_state", types.ModuleType("airgrain_worker_state")).__dict__
+
+
 def discard(df: DataFrame) -> None:
     """Delete the scratch files of a table of ``saved`` that nothing reads any more."""
     spark = df.sparkSession

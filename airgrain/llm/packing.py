@@ -10,7 +10,7 @@ again by ``FAN`` tasks' rests at a time, in a tree, until one sequence is left o
 choices, and each level is a written table.
 
 Tokens: a public vocabulary file, by its path (executors read it there). Words between ASCII white space do not touch each other in that vocabulary's rules,
-so a task keeps the ids of words it has met (at most ``KNOWN``, then it begins anew) and long texts are tokenised piece by piece; the ids are those of the whole text.
+so a Python worker keeps the ids of words it has met, from task to task (at most ``KNOWN``, then it begins anew), and long texts are tokenised piece by piece; the ids are those of the whole text.
 
 Null and empty texts are the end mark alone. Every row, also a repeated one or one without id, is an example of its own. An empty table gives no
 rows. Extra columns are ignored.
@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, table, worker_state
 
 TOKENS, SEGMENTS, LOSS, CUT, WINDOW, FAN = 4096, 1024, 4096, 32, 2048, 64
 END, KNOWN, LONG, PIECE, BLOCK, JOIN = 2, 1 << 20, 64, 1 << 22, 256, 64
@@ -253,7 +253,10 @@ def pack_examples(examples: DataFrame, answer: str = "text", prompt: str | None
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known, part = Ids(path), TaskContext.get().partitionId()
+        state, part = worker_state(), TaskContext.get().partitionId()
+        if state.get("ids_path") != path:
+            state.update(ids_path=path, ids=Ids(path))
+        known = state["ids"]
         number, waiting = _number(0, part), []
 
         def sequences(found):
