@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import left_join, saved, table
+from .common import free, left_join, saved, table
 from .linking import linked_components
 
 WORDS, PERCENT, SHARE, FILTER = 3, 90, 2, 1 << 20
@@ -255,7 +255,10 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     own = filled.join(several, filled["doc_id"] == several["_doc"]).select("doc_id", "set").distinct().join(names.select("set", "id"), "set")
     hubs = own.groupBy("doc_id").agg(F.min("id").alias("a"))
     own = own.join(hubs, "doc_id").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    found = linked_components(buckets, texts, lambda t: shingle_sets(t, words), compare, percent / 100, more=own)
+    def grams(some):
+        return shingle_sets(some, words)
+
+    found = linked_components(buckets, texts, grams, compare, percent / 100, more=own, grams=grams, percent=percent)
     # A component is named by the least doc_id of its sets.
     found = found.join(names.select("id", "rep"), "id")
     least = found.groupBy("component").agg(F.min("rep").alias("least"))
@@ -269,8 +272,20 @@ def op8_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def without_near_copies(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``documents`` with one row of each group: that of the smallest doc_id (null last), then of the least hash of its text. Rows without words stay."""
+    row, = free(documents.columns, "_row")
+    rows = saved(documents.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
+    found = jaccard_components(rows.select(F.col(row).alias("doc_id"), "text"), words, percent).where("n > 0").select(F.col("doc_id").alias("_r"), "component")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("t"), F.col(row).alias("r"))
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    several = saved(found.join(sizes, "component").select("_r", "component"), "jaccard-several-rows")
+    members = saved(rows.select(order.alias("o")).join(several, F.col("o.r") == F.col("_r")).select("component", "o"), "jaccard-members")
+    kept = members.groupBy("component").agg(F.min("o").alias("o")).select(F.col("o.r").alias("_r"))
+    away = several.join(kept, "_r", "left_anti").select("_r")
+    return rows.join(away, rows[row] == away["_r"], "left_anti").drop(row)
+
+
 def jaccard_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group (five-word n-grams, Jaccard similarity 0.8) stays: that of the smallest doc_id. Documents without doc_id stay."""
-    found = jaccard_components(docs, words=5, percent=80)
-    away = found.groupBy("doc_id").agg(F.min("component").alias("_c"), F.count(F.lit(1)).alias("_n")).where("_c <> doc_id").select("doc_id")
-    return left_join(docs, away, ["doc_id"], "left_anti")
+    """One document of each group (five-word n-grams, Jaccard similarity 0.8) stays, repeated rows and rows without doc_id included."""
+    return without_near_copies(docs)

@@ -3,8 +3,9 @@
 Two items are candidates if they share a bucket. A bucket's least member is its pivot; buckets of one pivot form a
 block, so items that meet often meet once. A block of more than ``size`` members is cut into parts by hash, each
 with the pivot. ``compare`` finds the links inside a part, exactly. Pairs cut apart by the parts of a block need a look only if they are not
-connected already: of such a block all members outside its largest component meet every part once more, in
-chunks of ``size``. No pair of candidates is lost, none is written out; only verified spanning links are.
+connected already, so only members outside its largest component matter then. Up to ``size`` of them meet every part once more. More are dealt
+anew with the rest of their block, by n-grams that are rare within it (prefix filter): rows grow with the members, not with their square. Only groups that even
+these n-grams leave together have all outside members meet all parts, in chunks. No pair of candidates is lost, none is written out; only verified spanning links are.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import discard, saved
 
 PART = 64
 LINKS = "a bigint, b bigint"
@@ -35,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        pairs = saved(small.select("e.*").where("u <> v").distinct(), "cc-links")
+        before, pairs = pairs, saved(small.select("e.*").where("u <> v").distinct(), "cc-links")
+        discard(before)
         now = pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:
             break
@@ -81,13 +83,8 @@ def _compared(parts: DataFrame, texts: Callable[[DataFrame], DataFrame], prepare
     return arranged.sortWithinPartitions("block", "part", "probe", "id").mapInPandas(run, LINKS)
 
 
-def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame], prepare, compare, ratio: float, size: int = PART, more: DataFrame | None = None) -> DataFrame:
-    """id, component of all items that link to another.
-
-    ``buckets``: key, id, n, rows may repeat (sizes of linked items differ by the factor ``ratio`` at most). ``texts`` adds ``text``
-    to rows with ``id``. ``prepare(texts)`` gives items; ``compare(ids, items, probe)`` returns linked pairs; if any
-    item is a probe only pairs with a probe are asked for. ``more`` (a, b) are links that hold beside those found.
-    """
+def _blocks(buckets: DataFrame, ratio: float, size: int) -> tuple[DataFrame, DataFrame]:
+    """Members of the blocks that are cut (block, id, parts, part), and what each part compares (block, part, id, probe)."""
     pivots = buckets.groupBy("key").agg(F.min("id").alias("block"), F.max("id").alias("_most")).where("block < _most").drop("_most")
     pivots = saved(pivots, "link-pivots")  # few as a rule: by its size Spark chooses between broadcast and shuffle
     met = saved(buckets.join(pivots, "key").select("block", "id", "n").distinct(), "link-members")
@@ -102,21 +99,76 @@ def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame
     small = small.select("block", F.explode(F.expr(fits)).alias("x")).select("block", F.lit(0).alias("part"), F.col("x.id").alias("id"), F.lit(False).alias("probe"))
     pivot_rows = hot.select("block", "parts").distinct().select("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("block").alias("id"), F.lit(False).alias("probe"))
     first = saved(small.unionByName(hot.select("block", "part", "id", F.lit(False).alias("probe"))).unionByName(pivot_rows), "link-parts")
-    links = _compared(first, texts, prepare, compare)
-    links = saved(links if more is None else links.unionByName(more), "links")
-    found = saved(components(links), "link-components")
-    if hot.isEmpty():
-        return found
-    named = hot.join(found, "id", "left").select("block", "id", "part", "parts", F.coalesce("component", "id").alias("component"))
+    return hot, first
+
+
+def _outside(hot: DataFrame, found: DataFrame, size: int) -> DataFrame:
+    """block, id, parts, chunks (of ``size`` of them) of the members outside their block's largest component."""
+    named = hot.join(found, "id", "left").select("block", "id", "parts", F.coalesce("component", "id").alias("component"))
     tally = named.groupBy("block", "component").agg(F.count(F.lit(1)).alias("n"))
     main = tally.groupBy("block").agg(F.max(F.struct("n", "component")).alias("m")).select("block", F.col("m.component").alias("main"))
-    outside = saved(named.join(main, "block").where("component <> main").select("block", "id", "parts"), "link-outside")
-    if outside.isEmpty():
-        return found
-    chunks = outside.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("chunks"))
-    chunk = outside.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "id"), F.col("chunks")).cast("int"))
+    apart = saved(named.join(main, "block").where("component <> main").select("block", "id", "parts"), "link-outside")
+    return apart.join(apart.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("chunks")), "block")
+
+
+def _probed(hot: DataFrame, outside: DataFrame) -> DataFrame:
+    """Parts in which every outside member meets every member of its block, ``chunks`` parts for each old one."""
+    chunk = outside.withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "id"), F.col("chunks")).cast("int"))
     probes = chunk.select("block", "id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), "chunk", "chunks", F.lit(True).alias("probe"))
+    chunks = outside.select("block", "chunks").distinct()
     base = hot.join(chunks, "block").select("block", "id", F.col("part").alias("p"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "chunks", F.lit(False).alias("probe"))
-    second = probes.unionByName(base).select("block", (F.col("p") * F.col("chunks") + F.col("chunk")).alias("part"), "id", "probe")
-    rest = saved(_compared(saved(second, "link-parts"), texts, prepare, compare), "links")
-    return saved(components(links.unionByName(rest)), "link-components")
+    return probes.unionByName(base).select("block", (F.col("p") * F.col("chunks") + F.col("chunk")).alias("part"), "id", "probe")
+
+
+def _reblocked(hot: DataFrame, outside: DataFrame, texts, grams, percent: int) -> DataFrame:
+    """key, id, n: the hot members dealt anew, by n-grams that are rare within their block.
+
+    Ordered by their number in the block, rarest first, the first n - ceil(percent n) + 1 n-grams of two linked sets share one, so each linked pair of a block meets
+    again. Only groups with a member from outside matter.
+    """
+    members = hot.join(outside.select("block").distinct(), "block", "left_semi").select("block", "id")
+
+    def sets(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"id": pdf["id"], "grams": [x.view("int64") for x in grams(pdf["text"].fillna("").tolist())]})
+
+    asked = members.select("id").distinct().select(F.lit(0).cast("long").alias("block"), F.lit(0).alias("part"), "id", F.lit(False).alias("probe"))
+    held = saved(texts(asked).select("id", "text").mapInPandas(sets, "id bigint, grams array<bigint>"), "link-grams")
+    rows = members.join(held, "id").select("block", "id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    counts = rows.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = rows.join(counts, ["block", "gram"]).groupBy("block", "id", "n").agg(F.collect_list(F.struct("df", "gram")).alias("grams"))
+    room = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1 - (F.col("n") - F.size("grams"))  # n-grams of its own come first
+    prefix = shared.where(room > 0).select("block", "id", "n", F.explode(F.slice(F.array_sort("grams"), F.lit(1), room)).alias("g"))
+    prefix = prefix.join(outside.select("block", "id", F.lit(1).alias("apart")), ["block", "id"], "left")
+    keyed = saved(prefix.select(F.xxhash64("block", "g.gram").alias("key"), "id", "n", "apart"), "link-keys")
+    return keyed.join(keyed.where("apart = 1").select("key").distinct(), "key", "left_semi").drop("apart")
+
+
+def linked_components(buckets: DataFrame, texts: Callable[[DataFrame], DataFrame], prepare, compare, ratio: float, size: int = PART, more: DataFrame | None = None, grams=None, percent: int = 100) -> DataFrame:
+    """id, component of all items that link to another.
+
+    ``buckets``: key, id, n, rows may repeat (sizes of linked items differ by the factor ``ratio`` at most). ``texts`` adds ``text``
+    to rows with ``id``. ``prepare(texts)`` gives items; ``compare(ids, items, probe)`` returns linked pairs; if any
+    item is a probe only pairs with a probe are asked for. ``more`` (a, b) are links that hold beside those found. ``grams(texts)``, where linked items are
+    sets with a Jaccard similarity of ``percent`` or more, gives these sets as 64-bit hashes; without it hot blocks are not dealt anew.
+    """
+    def links_of(parts):
+        return saved(_compared(parts, texts, prepare, compare), "links")
+
+    hot, first = _blocks(buckets, ratio, size)
+    links = links_of(first) if more is None else links_of(first).unionByName(more)
+    found = saved(components(links), "link-components")
+    while not hot.isEmpty():
+        outside = saved(_outside(hot, found, size), "link-outside")
+        if outside.isEmpty():
+            break
+        anew = outside.where("chunks > 1") if grams else None
+        if anew is not None and not anew.isEmpty():
+            links = links.unionByName(links_of(_probed(hot, outside.where("chunks = 1"))))
+            hot, first = _blocks(_reblocked(hot, anew, texts, grams, percent), ratio, size)
+            links, grams = links.unionByName(links_of(first)), None  # what these leave together meets whole
+        else:
+            links = links.unionByName(links_of(_probed(hot, outside)))
+            hot = hot.where("false")
+        found = saved(components(links), "link-components")
+    return found
