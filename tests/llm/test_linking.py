@@ -26,6 +26,7 @@ def test_rows_grow_with_the_members_of_a_bucket(spark, monkeypatch):
     common = " ".join(f"c{i}" for i in range(30))
     sizes = {}
     for members in (512, 4096):
+        monkeypatch.undo()
         found, compared = of_one_bucket(spark, [f"{common} a{i} b{i} c{i}x d{i} e{i}" for i in range(members)], monkeypatch)
         assert not found
         sizes[members] = sum(compared)
@@ -52,12 +53,14 @@ def test_links_between_members_outside_the_largest_component(spark, monkeypatch)
                 a, b = root(i), root(j)
                 top[max(a, b)] = min(a, b)
     want = [root(i) for i in range(len(sets))]
+    monkeypatch.setattr(linking, "CHUNKS", 1)
     found, _ = of_one_bucket(spark, texts, monkeypatch)
     assert [found.get(i, i) for i in range(len(texts))] == want and len(set(want)) == 301
 
 
-def test_lines_with_a_common_head(spark):
+def test_lines_with_a_common_head(spark, monkeypatch):
     """Lines that share 85 of 115 characters link only where the rest is alike too."""
+    monkeypatch.setattr(linking, "CHUNKS", 1)
     rng = random.Random(2)
     tail = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(30))
     head = "this text stands at the head of very many lines of the corpus and is the same in all.. "
