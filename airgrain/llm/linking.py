@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, saved
 
-PART, CHUNKS, SHARE = 128, 16, 2
+PART, CHUNKS = 128, 16
 LINKS = "a bigint, b bigint"
 
 
@@ -124,26 +124,21 @@ def _probed(hot: DataFrame, outside: DataFrame) -> DataFrame:
 def _reblocked(hot: DataFrame, outside: DataFrame, texts, grams, percent: int) -> DataFrame:
     """key, id, n: the hot members dealt anew, by n-grams that are rare within their block.
 
-    In one order for all, the first n - ceil(percent n) + 1 n-grams of two linked sets share one, so each linked pair of a block meets again. The order: those whose
-    hash lies in the lowest part of the range (``SHARE`` times 1 - percent) by their number in the block, rarest first, then the others by hash; so only part is
-    counted. Only groups with a member from outside matter.
+    Ordered by their number in the block, rarest first, the first n - ceil(percent n) + 1 n-grams of two linked sets share one, so each linked pair of a block meets
+    again. Only groups with a member from outside matter.
     """
     members = hot.join(outside.select("block").distinct(), "block", "left_semi").select("block", "id")
 
-    limit = np.uint64(min(SHARE * (100 - percent) * 2**64 // 100, 2**64 - 1))
-
     def sets(batches):
         for pdf in batches:
-            found = grams(pdf["text"].fillna("").tolist())
-            prefix = [max(int(np.searchsorted(x, limit)), len(x) + percent * len(x) // -100 + 1) for x in found]
-            yield pd.DataFrame({"id": pdf["id"], "n": np.array([len(x) for x in found], np.int32), "grams": [x[:k].view(np.int64) for x, k in zip(found, prefix, strict=True)]})
+            yield pd.DataFrame({"id": pdf["id"], "grams": [x.view(np.int64) for x in grams(pdf["text"].fillna("").tolist())]})
 
     asked = members.select("id").distinct().select(F.lit(0).cast("long").alias("block"), F.lit(0).alias("part"), "id", F.lit(False).alias("probe"))
-    held = saved(texts(asked).select("id", "text").mapInPandas(sets, "id bigint, n int, grams array<bigint>"), "link-grams")
-    rows = members.join(held, "id").select("block", "id", "n", F.size("grams").alias("m"), F.explode("grams").alias("gram"))
+    held = saved(texts(asked).select("id", "text").mapInPandas(sets, "id bigint, grams array<bigint>"), "link-grams")
+    rows = members.join(held, "id").select("block", "id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     counts = rows.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = rows.join(counts, ["block", "gram"]).groupBy("block", "id", "n", "m").agg(F.collect_list(F.struct("df", "gram")).alias("grams"))
-    room = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1 - (F.col("m") - F.size("grams"))  # n-grams of its own come first
+    shared = rows.join(counts, ["block", "gram"]).groupBy("block", "id", "n").agg(F.collect_list(F.struct("df", "gram")).alias("grams"))
+    room = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1 - (F.col("n") - F.size("grams"))  # n-grams of its own come first
     prefix = shared.where(room > 0).select("block", "id", "n", F.explode(F.slice(F.array_sort("grams"), F.lit(1), room)).alias("g"))
     prefix = prefix.join(outside.select("block", "id", F.lit(1).alias("apart")), ["block", "id"], "left")
     keyed = saved(prefix.select(F.xxhash64("block", "g.gram").alias("key"), "id", "n", "apart"), "link-keys")
