@@ -7,7 +7,7 @@ a secret an identifier, an endpoint both. Parts meet in an interval join on (row
 start to its end, a weak part looks into every bin its scope touches, so a long text with many parts spreads over its bins.
 
 Null text counts as empty; null ids stay; every row, also a repeated one, gives its own row; extra columns are
-ignored. Positions are code points, ends exclusive.
+kept. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
-
+from .common import free, let, saved, table
 
 
 def _either(word: str) -> str:
@@ -31,32 +30,43 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 IDENT = "[A-Z0-9]{16,}"
 RANDOM = "[A-Za-z0-9+/_-]{20,}"
-ENDPOINT = r"[a-z][a-z0-9+.-]*://[^\x00-\x20]+"
+ENDPOINT = r"[a-z][a-z0-9+.-]{0,31}://[^\x00-\x20]+"  # bounded, so that a long run of letters is not read again from each of its places
 
 # kind -> (rank in the listing, role); base kinds first.
 KINDS = {"assign": (0, "secret"), "access": (1, "ident"), "hex": (2, "secret"), "ident": (3, "ident"), "random": (4, "secret"), "endpoint": (5, "endpoint")}
 BASE = ("assign", "access", "hex")
 SPAN = "array<struct<start:bigint,rank:int,end:bigint>>"
+CHUNK = 256
 
 
 def _spans(text: Column, kind: str, pattern: str, guard: str, keep=None) -> Column:
     """Spans of the leftmost non-overlapping matches; the pieces between the matches give their places.
 
-    ``keep`` sees a match's text. Rows without a match of ``guard`` skip the work.
+    ``keep`` sees a match's text. Rows without a match of ``guard`` skip the work. Places are summed in chunks of ``CHUNK`` matches, so no array is copied for
+    each match.
     """
     rank = KINDS[kind][0]
     found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(state, x):
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+    def measured(x):
         good = x["hit"].isNotNull() & (keep(x["hit"]) if keep else F.lit(True))
-        span = F.struct(start.cast("long").alias("start"), F.lit(rank).alias("rank"), end.cast("long").alias("end"))
-        return F.struct(end.cast("long").alias("at"), F.when(good, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+        return F.struct(F.length(x["gap"]).cast("long").alias("gap"), F.coalesce(F.length(x["hit"]), F.lit(0)).cast("long").alias("hit"), good.alias("good"))
+
+    def step(state, x):
+        start = state["at"] + x["gap"]
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + x["hit"]).alias("end"))
+        return F.struct((start + x["hit"]).alias("at"), F.when(x["good"], F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
-    walked = F.aggregate(found, zero, step, lambda s: s["out"])
-    return F.when(text.rlike(guard), walked).otherwise(F.array().cast(SPAN))
+    def walked(pieces):
+        chunk = lambda c: F.slice(pieces, c * CHUNK + 1, F.lit(CHUNK))
+        numbers = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / CHUNK).cast("int"))
+        sizes = F.transform(numbers, lambda c: F.aggregate(chunk(c), F.lit(0).cast("long"), lambda n, x: n + x["gap"] + x["hit"]))
+        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+        begins = F.aggregate(sizes, zero, lambda state, n: F.struct((state["at"] + n).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out")), lambda state: state["out"])
+        spans = lambda c, at: F.aggregate(chunk(c), F.struct(at.alias("at"), F.array().cast(SPAN).alias("out")), step, lambda state: state["out"])
+        return F.flatten(F.zip_with(numbers, begins, spans))
+
+    return F.when(text.rlike(guard), let(F.transform(found, measured), walked)).otherwise(F.array().cast(SPAN))
 
 
 def _mixed(hit: Column) -> Column:
@@ -64,7 +74,11 @@ def _mixed(hit: Column) -> Column:
 
 
 def scan_secrets(documents: DataFrame, text: str = "text", scope: int = 256) -> DataFrame:
-    """``documents`` with ``_row`` and ``spans``: sorted array of (start, rank, end), strong ones and linked weak ones."""
+    """``documents`` without the text, with ``base_spans`` (strong parts) and ``spans`` (with linked weak ones): sorted arrays of (start, rank, end).
+
+    A column of the caller keeps its name and content; a result whose name is taken gets an underscore after it.
+    """
+    row, base_spans, spans, weak_spans = free(documents.columns, "_row", "base_spans", "spans", "_weak")
     body = F.coalesce(F.col(text), F.lit(""))
     base = F.concat(
         _spans(body, "assign", ASSIGN, ASSIGN_LONG, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 12),
@@ -76,33 +90,30 @@ def scan_secrets(documents: DataFrame, text: str = "text", scope: int = 256) ->
         _spans(body, "random", RANDOM, RANDOM, _mixed),
         _spans(body, "endpoint", ENDPOINT, ENDPOINT),
     )
-    rows = saved(documents.select(
-        F.monotonically_increasing_id().alias("_row"), *[c for c in documents.columns if c not in (text, "_row")],
-        base.alias("_base"), weak.alias("_weak"),
-    ), "secret-parts")
+    others = [c for c in documents.columns if c != text]
+    rows = saved(documents.select(*others, F.monotonically_increasing_id().alias(row), F.array_sort(base).alias(base_spans), weak.alias(weak_spans)), "secret-parts")
 
     role = F.element_at(F.create_map(*[F.lit(x) for r, k in KINDS.values() for x in (r, k)]), F.col("p.rank"))
-    parts = rows.select("_row", F.explode(F.concat("_base", "_weak")).alias("p")).select(
-        "_row", "p.*", role.alias("role"), F.explode(F.sequence(F.floor(F.col("p.start") / scope), F.floor(F.col("p.end") / scope))).alias("bin"))
-    # A weak run that touches a strong span is the same thing seen twice.
-    left = rows.select("_row", "_base", F.explode("_weak").alias("p")).where(
-        ~F.exists("_base", lambda b: (b["start"] < F.col("p.end")) & (F.col("p.start") < b["end"]))
-    ).select("_row", F.col("p.start").alias("start"), F.col("p.rank").alias("rank"), F.col("p.end").alias("end"), role.alias("role"))
-    left = left.withColumn("bin", F.explode(F.sequence(
-        F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope))))
-    other = parts.select("_row", "bin", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("role").alias("o_role"), F.col("rank").alias("o_rank"))
+    of = lambda spans: rows.select(F.col(row).alias("_r"), F.explode(spans).alias("p")).select("_r", "p.*", role.alias("role"))
+    bins = lambda low, high: F.explode(F.sequence(F.floor(low / scope), F.floor(high / scope)))
+    parts = of(F.concat(base_spans, weak_spans)).withColumn("bin", bins(F.col("start"), F.col("end")))
+    left = of(F.col(weak_spans)).withColumn("bin", bins(F.col("start") - scope, F.col("end") + scope))
+    other = parts.select("_r", "bin", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("role").alias("o_role"), F.col("rank").alias("o_rank"))
     near = (F.col("o_start") <= F.col("end") + scope) & (F.col("o_end") >= F.col("start") - scope)
     apart = (F.col("o_end") <= F.col("start")) | (F.col("o_start") >= F.col("end"))
-    linked = (
-        left.join(other, ["_row", "bin"]).where(near & apart & (F.col("role") != F.col("o_role")))
-        .groupBy("_row", "start", "rank", "end", "role")
-        .agg(F.max((F.col("o_role") == "ident").cast("int")).alias("ident"), F.max((F.col("o_role") == "secret").cast("int")).alias("secret"))
-        .where(((F.col("role") == "ident") & (F.col("secret") == 1)) | ((F.col("role") == "secret") & (F.col("ident") == 1))
-               | ((F.col("role") == "endpoint") & (F.col("ident") == 1) & (F.col("secret") == 1)))
-        .groupBy("_row").agg(F.collect_list(F.struct("start", F.col("rank"), "end")).alias("_linked"))
+    linked = near & apart & (F.col("role") != F.col("o_role"))
+    covered = ~apart & (F.col("o_rank") < len(BASE))  # a weak run that touches a strong span is the same thing seen twice
+    any_of = lambda condition: F.max(condition.cast("int"))
+    told = (
+        left.join(other, ["_r", "bin"]).where(linked | covered)
+        .groupBy("_r", "start", "rank", "end", "role")
+        .agg(any_of(covered).alias("covered"), any_of(linked & (F.col("o_role") == "ident")).alias("ident"), any_of(linked & (F.col("o_role") == "secret")).alias("secret"))
+        .where("covered = 0 and ((role = 'ident' and secret = 1) or (role = 'secret' and ident = 1) or (role = 'endpoint' and ident = 1 and secret = 1))")
+        .groupBy("_r").agg(F.collect_list(F.struct("start", "rank", "end")).alias("_linked"))
     )
-    spans = F.array_sort(F.concat("_base", F.coalesce("_linked", F.array().cast(SPAN))))
-    return rows.join(linked, "_row", "left").withColumn("spans", spans).drop("_weak", "_linked")
+    found = rows.join(told, rows[row] == told["_r"], "left")
+    both = F.array_sort(F.concat(F.col(base_spans), F.coalesce("_linked", F.array().cast(SPAN))))
+    return found.select(*others, base_spans, both.alias(spans))
 
 
 def span_text(spans: Column) -> Column:
@@ -112,12 +123,9 @@ def span_text(spans: Column) -> Column:
 
 
 def op9_secret_scans(spark, sf_dir):
-    from .common import table
-
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = scan_secrets(docs)
-    count = lambda rank: F.size(F.filter("_base", lambda s: s["rank"] == rank)).cast("long")
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda rank: F.size(F.filter("base_spans", lambda s: s["rank"] == rank)).cast("long")
     return found.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(span_text(F.array_sort("_base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
+        F.sha2(span_text(F.col("base_spans")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
     )

@@ -97,7 +97,7 @@ WITH body AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
 base AS ({_match('assign', 0, _ASSIGN, f"len(regexp_extract(m, '{_ASSIGN}', 2)) >= 12")} UNION ALL {_match('access', 1, 'AKIA[A-Z0-9]+', 'len(m) >= 18')}
     UNION ALL {_match('hex', 2, '[0-9a-f]+', 'len(m) >= 16')}),
 candidate AS ({_match('ident', 3, '[A-Z0-9]{16,}', _MIXED)} UNION ALL {_match('random', 4, '[A-Za-z0-9+/_-]{20,}', _MIXED)}
-    UNION ALL {_match('endpoint', 5, '[a-z][a-z0-9+.-]*://[^' + chr(92) + 'x00-' + chr(92) + 'x20]+', 'true')}),
+    UNION ALL {_match('endpoint', 5, '[a-z][a-z0-9+.-]{{0,31}}://[^' + chr(92) + 'x00-' + chr(92) + 'x20]+', 'true')}),
 weak AS (SELECT * FROM candidate c WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c."end" AND c.start < b."end")),
 part AS (SELECT * FROM base UNION ALL SELECT * FROM candidate),
 linked AS (
