@@ -78,7 +78,7 @@ def scan_secrets(documents: DataFrame, text: str = "text", scope: int = 256) ->
 
     A column of the caller keeps its name and content; a result whose name is taken gets an underscore after it.
     """
-    row, base_spans, spans, weak_spans = free(documents.columns, "_row", "base_spans", "spans", "_weak")
+    row, base_spans, spans, weak_spans, key, linked_spans = free(documents.columns, "_row", "base_spans", "spans", "_weak", "_r", "_linked")
     body = F.coalesce(F.col(text), F.lit(""))
     base = F.concat(
         _spans(body, "assign", ASSIGN, ASSIGN_LONG, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 12),
@@ -94,25 +94,25 @@ def scan_secrets(documents: DataFrame, text: str = "text", scope: int = 256) ->
     rows = saved(documents.select(*others, F.monotonically_increasing_id().alias(row), F.array_sort(base).alias(base_spans), weak.alias(weak_spans)), "secret-parts")
 
     role = F.element_at(F.create_map(*[F.lit(x) for r, k in KINDS.values() for x in (r, k)]), F.col("p.rank"))
-    of = lambda spans: rows.select(F.col(row).alias("_r"), F.explode(spans).alias("p")).select("_r", "p.*", role.alias("role"))
+    of = lambda spans: rows.select(F.col(row).alias(key), F.explode(spans).alias("p")).select(key, "p.*", role.alias("role"))
     bins = lambda low, high: F.explode(F.sequence(F.floor(low / scope), F.floor(high / scope)))
     parts = of(F.concat(base_spans, weak_spans)).withColumn("bin", bins(F.col("start"), F.col("end")))
     left = of(F.col(weak_spans)).withColumn("bin", bins(F.col("start") - scope, F.col("end") + scope))
-    other = parts.select("_r", "bin", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("role").alias("o_role"), F.col("rank").alias("o_rank"))
+    other = parts.select(key, "bin", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("role").alias("o_role"), F.col("rank").alias("o_rank"))
     near = (F.col("o_start") <= F.col("end") + scope) & (F.col("o_end") >= F.col("start") - scope)
     apart = (F.col("o_end") <= F.col("start")) | (F.col("o_start") >= F.col("end"))
     linked = near & apart & (F.col("role") != F.col("o_role"))
     covered = ~apart & (F.col("o_rank") < len(BASE))  # a weak run that touches a strong span is the same thing seen twice
     any_of = lambda condition: F.max(condition.cast("int"))
     told = (
-        left.join(other, ["_r", "bin"]).where(linked | covered)
-        .groupBy("_r", "start", "rank", "end", "role")
+        left.join(other, [key, "bin"]).where(linked | covered)
+        .groupBy(key, "start", "rank", "end", "role")
         .agg(any_of(covered).alias("covered"), any_of(linked & (F.col("o_role") == "ident")).alias("ident"), any_of(linked & (F.col("o_role") == "secret")).alias("secret"))
         .where("covered = 0 and ((role = 'ident' and secret = 1) or (role = 'secret' and ident = 1) or (role = 'endpoint' and ident = 1 and secret = 1))")
-        .groupBy("_r").agg(F.collect_list(F.struct("start", "rank", "end")).alias("_linked"))
+        .groupBy(key).agg(F.collect_list(F.struct("start", "rank", "end")).alias(linked_spans))
     )
-    found = rows.join(told, rows[row] == told["_r"], "left")
-    both = F.array_sort(F.concat(F.col(base_spans), F.coalesce("_linked", F.array().cast(SPAN))))
+    found = rows.join(told, rows[row] == told[key], "left")
+    both = F.array_sort(F.concat(F.col(base_spans), F.coalesce(linked_spans, F.array().cast(SPAN))))
     return found.select(*others, base_spans, both.alias(spans))
 
 

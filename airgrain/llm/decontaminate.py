@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import ascii_lower, left_join, let, saved, table
+from .common import ascii_lower, free, left_join, let, saved, table
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, GRAM = 13, 5
@@ -172,5 +172,6 @@ def op1_decontamination(spark, sf_dir):
 
 def decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated, all columns."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark")).where(is_contaminated()).select("doc_id", "text_hash")
-    return left_join(docs.withColumn("text_hash", F.xxhash64("text")), found, ["doc_id", "text_hash"], "left_anti").drop("text_hash")
+    name, = free(docs.columns, "text_hash")
+    found = contamination(docs, table(spark, sf_dir, "benchmark")).where(is_contaminated()).select("doc_id", F.col("text_hash").alias(name))
+    return left_join(docs.withColumn(name, F.xxhash64("text")), found, ["doc_id", name], "left_anti").drop(name)

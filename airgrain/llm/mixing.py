@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import SPACE, left_join, saved, table
+from .common import SPACE, free, left_join, saved, table
 
 WEIGHTS, MOST, BLOCK, SHARDS = (5.0, 2.0, 1.0), 3, 4096, 16
 BROADCAST_ROWS = 100_000
@@ -86,14 +86,14 @@ def _shard_of_blocks(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     return dealt.groupBy("source", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"]).alias("shards"))
 
 
-def plan_mix(documents: DataFrame, weights=WEIGHTS, most: int = MOST, shards: int = SHARDS, seed: int = 1, keep_text: bool = False) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, passes (times taken), shards (of each pass), order."""
+def plan_mix(documents: DataFrame, weights=WEIGHTS, most: int = MOST, shards: int = SHARDS, seed: int = 1, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, passes (times taken), shards (of each pass), order, and ``_row``, the column ``row``, if named."""
     if shards & (shards - 1):
         raise ValueError("the number of shards must be a power of two")
     # A word with the space after it becomes one character, and so does leading space, which is taken off again.
     words = F.length(F.regexp_replace("text", f"^[{SPACE}]+|[^{SPACE}]+[{SPACE}]*", "x")) - F.col("text").rlike(f"^[{SPACE}]").cast("int")
     size = F.coalesce(words, F.lit(0)).cast("long")
-    sized = saved(documents.select(*(["_row"] if "_row" in documents.columns else []), "doc_id", "source", size.alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("order")), "mix-sizes")
+    sized = saved(documents.select(*([F.col(row).alias("_row")] if row else []), "doc_id", "source", size.alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("order")), "mix-sizes")
     targets = saved(_targets(sized, weights, most), "mix-targets").withColumn(
         "full", F.least(F.lit(most), F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).cast("int")
     ).withColumn("rest", F.col("target") - F.col("full") * F.col("source_size")).withColumn("n_blocks", F.ceil(F.col("n_docs") / BLOCK))
@@ -124,11 +124,15 @@ def plan_mix(documents: DataFrame, weights=WEIGHTS, most: int = MOST, shards: in
 
 
 def mix(documents: DataFrame, **settings) -> DataFrame:
-    """The mixed documents: all columns, a row for each time one is taken, with ``mix_shard``, ordered by hash within shards."""
-    docs = saved(documents.withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
-    plan = plan_mix(docs, **settings).where(F.col("passes") > 0).select("_row", F.explode("shards").alias("mix_shard"), "order")
-    mixed = docs.join(plan, "_row").withColumn("_key", F.xxhash64("order", "mix_shard"))
-    return mixed.repartitionByRange("mix_shard", "_key").sortWithinPartitions("mix_shard", "_key").drop("_row", "_key", "order")
+    """The mixed documents: all columns, a row for each time one is taken, with ``mix_shard``, ordered by hash within shards.
+
+    A column of the caller that bears this name keeps it; the shard's then gets an underscore after it.
+    """
+    row, shard, key = free(documents.columns, "_row", "mix_shard", "_key")
+    docs = saved(documents.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
+    plan = plan_mix(docs, row=row, **settings).where(F.col("passes") > 0).select(F.col("_row").alias(row), F.explode("shards").alias(shard), "order")
+    plan = plan.select(row, shard, F.xxhash64("order", shard).alias(key))
+    return docs.join(plan, row).repartitionByRange(shard, key).sortWithinPartitions(shard, key).drop(row, key)
 
 
 def op5_mixing(spark, sf_dir):

@@ -4,13 +4,13 @@ Every line is good or bad. A line's evidence is the make-up of its characters an
 after it; a transition weight ties neighbouring labels. Forward-backward gives each line's marginal, whose mean
 weighted by line length is the document's quality, calibrated by a logistic curve fitted on the training documents.
 
-Training lines carry their document's label. It uses whole documents: a bounded sample of ``SAMPLE`` labelled rows outside
-the held-out fold, taken by hash, of which documents over ``SAMPLE_LINES`` lines are left out; features come from
-executors, the fit runs on at most SAMPLE x SAMPLE_LINES lines of ``FEATURES`` numbers. Every text is scored whole.
+Training lines carry their document's label. It uses whole documents: a bounded sample of at most ``SAMPLE`` labelled documents outside
+the held-out fold, in the order of a hash, as far as their lines together stay within ``SAMPLE_LINES`` (the first one is always taken). Features come from
+executors, so the fit in the driver runs on at most SAMPLE_LINES lines (or one document) of ``FEATURES`` numbers. Every text is scored whole.
 
 Null text counts as empty: one line of no characters, scored like any other. Without labels of both classes every
-score is 0.5. Null labels are ignored; of several labels of a doc_id one least hash counts. Repeated rows give
-repeated rows; extra columns are ignored by the query and kept by the stage.
+score is 0.5. Null labels are ignored; of several labels of a doc_id the one of the least hash counts. Of several rows of one doc_id that of the least hash of its text is in the fit; they give
+repeated rows in the result; extra columns are ignored by the query and kept by the stage.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import crc_mod, table
+from .common import crc_mod, free, table
 
-SAMPLE, SAMPLE_LINES, ROUNDS, THRESHOLD = 3000, 400, 150, 0.3
+SAMPLE, SAMPLE_LINES, ROUNDS, THRESHOLD = 3000, 400_000, 150, 0.3
 CLASSES = ("newline", "space", "lower", "upper", "digit", "stop", "bang", "bar", "symbol", "other")
 FEATURES = 19
 
@@ -192,16 +192,25 @@ def score_texts(model: dict | None, texts: list[str]) -> np.ndarray:
     return 1 / (1 + np.exp(-(model["scale"] * _logit(_documents(lines, length, good)) + model["shift"])))
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """A model from at most ``sample`` labelled documents outside the held-out fold; None without both classes."""
+def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_lines: int = SAMPLE_LINES) -> dict | None:
+    """A model from at most ``sample`` labelled documents outside the held-out fold, of ``most_lines`` lines in all; None without both classes."""
     spark = documents.sparkSession
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), 5) != 0))
-    chosen = known.select("doc_id", "quality", F.xxhash64("doc_id").alias("_h")).orderBy("_h", "doc_id", "quality").limit(sample).toPandas()
-    chosen = chosen.drop_duplicates("doc_id")
+    chosen = known.groupBy("doc_id").agg(F.min_by("quality", F.xxhash64("doc_id", "quality")).alias("quality"))
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
     if chosen["quality"].nunique() < 2:
         return None
-    small = F.broadcast(spark.createDataFrame(chosen[["doc_id", "quality"]], "doc_id bigint, quality int"))  # at most ``sample`` rows
-    rows = documents.select("doc_id", "text").join(small, "doc_id").where(F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)) <= SAMPLE_LINES)
+    small = F.broadcast(spark.createDataFrame(chosen, "doc_id bigint, quality int"))  # at most ``sample`` rows
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    rows = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_h")).join(small, "doc_id")
+    # Numbers only: one text of each doc_id, while their lines stay within the bound.
+    least = F.min(F.struct("_h", (F.coalesce(breaks, F.lit(0)) + 1).cast("long").alias("lines"))).alias("m")
+    picked = rows.groupBy("doc_id", "quality").agg(least).select("doc_id", "quality", "m.*").toPandas().sort_values(["_h", "doc_id"], ignore_index=True)
+    picked = picked[(picked["lines"].cumsum() <= most_lines) | (picked.index == 0)]
+    if picked["quality"].nunique() < 2:
+        return None
+    taken = F.broadcast(spark.createDataFrame(picked[["doc_id", "quality", "_h"]], "doc_id bigint, quality int, _h bigint"))
+    rows = rows.drop("quality").join(taken, ["doc_id", "_h"])
 
     def features(batches):
         for pdf in batches:
@@ -209,26 +218,25 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict
                 texts = pdf["text"].fillna("").tolist()
                 lines, length, f = line_features(texts)
                 cut = np.cumsum(lines)[:-1]
-                yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "length": [a.tobytes() for a in np.split(length, cut)], "f": [a.astype(np.float32).tobytes() for a in np.split(f, cut)]})
+                yield pd.DataFrame({"doc_id": pdf["doc_id"], "h": pdf["_h"], "quality": pdf["quality"], "length": [a.tobytes() for a in np.split(length, cut)], "f": [a.astype(np.float32).tobytes() for a in np.split(f, cut)]})
 
-    got = rows.mapInPandas(features, "doc_id bigint, quality int, length binary, f binary").toPandas().sort_values(["doc_id", "length", "f"])
-    if got["quality"].nunique() < 2:
-        return None
+    found = rows.mapInPandas(features, "doc_id bigint, h bigint, quality int, length binary, f binary")
+    got = found.groupBy("doc_id", "h", "quality").agg(F.first("length").alias("length"), F.first("f").alias("f")).toPandas().sort_values(["doc_id", "h"])
     length = [np.frombuffer(b) for b in got["length"]]
     f = np.concatenate([np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in got["f"]]).astype(np.float64)
     return fit(np.array([len(a) for a in length]), np.concatenate(length), f, got["quality"].to_numpy(np.float64))
 
 
-def quality_scores(documents: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
-    """``documents`` with ``score``."""
+def quality_scores(documents: DataFrame, model: dict | None, text: str = "text", name: str = "score") -> DataFrame:
+    """``documents`` with their score in the column ``name``."""
     columns = documents.columns
-    schema = StructType([*documents.schema.fields, StructField("score", DoubleType())])
+    schema = StructType([*documents.schema.fields, StructField(name, DoubleType())])
 
     def score(batches):
         for pdf in batches:
             for at in range(0, len(pdf), 1000):
                 part = pdf.iloc[at:at + 1000]
-                yield part.assign(score=score_texts(model, part[text].fillna("").tolist()))[[*columns, "score"]]
+                yield part.assign(**{name: score_texts(model, part[text].fillna("").tolist())})[[*columns, name]]
 
     return documents.mapInPandas(score, schema)
 
@@ -253,9 +261,5 @@ def op2_quality(spark, sf_dir):
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    name = "score"
-    while name in docs.columns:
-        name += "_"
-    clash = docs.withColumnsRenamed({"score": name}) if "score" in docs.columns else docs
-    kept = quality_scores(clash, model).where(F.col("score") >= THRESHOLD).drop("score")
-    return kept.withColumnRenamed(name, "score").select(*docs.columns) if name != "score" else kept
+    name, = free(docs.columns, "score")
+    return quality_scores(docs, model, name=name).where(F.col(name) >= THRESHOLD).drop(name)
