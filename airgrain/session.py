@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Settings the operators like on any cluster. Wide rows make long generated methods; the JVM does
@@ -54,6 +54,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: computed once, and not again when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Let ``checkpoint()`` write to the shared folder."""
     context = spark.sparkContext

@@ -52,6 +52,29 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str, available_now: boo
     return writer.start()
 
 
+def rows_behind_watermark(query: StreamingQuery) -> int:
+    """Rows that the query's batches left out because they came later than the watermark allows."""
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
+
+
+def run_closed_days(
+    observations: DataFrame,
+    values: Sequence[str],
+    path: str,
+    checkpoint: str,
+    ts: str = "obs_ts",
+    keys: Sequence[str] = KEYS,
+    ident: Sequence[str] = (),
+    delay: str = "2 days",
+) -> StreamingQuery:
+    """Daily means that never change once written: a day appears when the watermark, ``delay`` behind the newest time
+    of the batches before, has passed its end. Repeats (equal in keys, time and ``ident``) count once, rows at or behind
+    the watermark are left out, and the state of closed days and old rows is evicted."""
+    once = drop_repeats(observations, ts, (*keys, *ident), delay)
+    return run_to_parquet(daily_means(once, values, ts, keys), path, checkpoint)
+
+
 def write_updates(batch: DataFrame, batch_id: int, path: str) -> None:
     """Changed days of one micro-batch in a folder of their own; a replay overwrites it."""
     batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id:012d}")

@@ -172,4 +172,5 @@ def test_streamed_days_equal_the_batch(spark, tmp_path):
     closed = daily_means(drop_repeats(arriving, delay="1 hour"), ["value"])
     run_to_parquet(closed, str(tmp_path / "closed"), str(tmp_path / "cp2")).awaitTermination()
     done = spark.read.parquet(str(tmp_path / "closed"))
-    assert set(column(done, "date")) <= {w[0] for w in want}
+    # One batch of all files may come before the watermark moves: days 1 to 6 end an hour or more before the newest row.
+    assert sorted(column(done, "date")) == [w[0] for w in want[:6]]
