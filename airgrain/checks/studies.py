@@ -9,6 +9,8 @@ from airgrain.checks import oracle as O
 from airgrain.checks import views as V
 from airgrain.functions.scalars import nan_to_null, round_floats
 from airgrain.operators.merge import last_write_wins
+from airgrain.plans.features import training_frame
+from airgrain.plans.validation import cross_validate, grid_search, rolling_folds
 from airgrain.operators.statistics import correlation, outlier_bounds, rank_correlation, treat_outliers
 from airgrain.schemas import POLLUTANTS
 from airgrain.session import scratch_path
@@ -159,11 +161,59 @@ def _treated_sql(how: str) -> str:
     return f"WITH {_quartiles(0.5)}\nSELECT o.series_id, o.date, seq, line, part, supp, {columns} FROM p_obs o {joins}"
 
 
+# ---- validation -----------------------------------------------------------------------------
+
+VALIDATION_FOLDS = 3
+STUMP = {"maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+# Settings whose models SQL can state: the mean of a flag's group, and the mean of all rows.
+CANDIDATES = (
+    {**STUMP, "features": ["is_summer"]}, {**STUMP, "features": ["is_winter"]}, {**STUMP, "features": ["is_summer"], "minInfoGain": 1e12})
+
+
+def cv_folds(spark: Spark, d: str) -> DataFrame:
+    """The fold that each training row tests and the folds it trains."""
+    rows = rolling_folds(training_frame(V.cleaned_daily(spark, d)), VALIDATION_FOLDS)
+    return rows.select(*ID, "test_fold", F.array_join("train_folds", ",").alias("train_folds"))
+
+
+def cv_scores(spark: Spark, d: str) -> DataFrame:
+    """Scores of one stump per fold and series."""
+    return _out(cross_validate(training_frame(V.cleaned_daily(spark, d)), VALIDATION_FOLDS, **CANDIDATES[0]))
+
+
+def grid_scores(spark: Spark, d: str) -> DataFrame:
+    """Three candidates on the first fold, the better two on the others."""
+    return _out(grid_search(training_frame(V.cleaned_daily(spark, d)), CANDIDATES, VALIDATION_FOLDS).drop("settings"))
+
+
+_FOLDS = O.GROUP_MEANS.split("f5 AS (")[0] + f"""numbered AS (SELECT *, row_number() OVER w AS pos FROM f4 {O.W_SERIES}),
+blocks AS (SELECT *, k, k * n // {VALIDATION_FOLDS + 1} AS start, (k + 1) * n // {VALIDATION_FOLDS + 1} AS stop FROM numbered, range(1, {VALIDATION_FOLDS + 1}) t(k)),
+folds AS (
+  SELECT series_id, date, max(CASE WHEN pos > start AND pos <= stop THEN k END) AS test_fold,
+         coalesce(string_agg(CASE WHEN pos <= start - 7 THEN k END, ',' ORDER BY k), '') AS train_folds FROM blocks GROUP BY series_id, date)"""
+_LONG = f"""{_FOLDS},
+days AS ({" UNION ALL ".join(f"SELECT series_id, date, is_summer, is_winter, pos, start, stop, k AS fold, {i} AS horizon, AQI_day_{i} AS y FROM blocks" for i in range(1, 8))}),
+groups AS (SELECT *, CASE candidate WHEN 0 THEN is_summer WHEN 1 THEN is_winter ELSE 0 END AS flag FROM days, range({len(CANDIDATES)}) t(candidate)),
+means AS (SELECT candidate, fold, horizon, flag, avg(y) AS p FROM groups WHERE pos <= start - 7 GROUP BY ALL),
+tested AS (SELECT * FROM groups JOIN means USING (candidate, fold, horizon, flag) WHERE pos > start AND pos <= stop)"""
+
+
+def _scores_sql(by: str) -> str:
+    return f"""scored AS (
+  SELECT {by}, horizon, avg(abs(y - p)) AS mae, avg((y - p) * (y - p)) AS mse, var_pop(y) AS v, avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)) AS mape
+  FROM tested GROUP BY {by}, horizon),
+scores AS (
+  SELECT {by}, avg(mae) AS mae, avg(CASE WHEN v > 0 THEN 1 - mse / v WHEN mse = 0 THEN 1 ELSE 0 END) AS r2, sqrt(avg(mse)) AS rmse, avg(mape) AS mape
+  FROM scored GROUP BY {by})"""
+
+
+_SHOWN = "round(mae, 4) AS mae, round(r2, 4) AS r2, round(rmse, 4) AS rmse, round(mape, 4) AS mape"
+
 QUERIES = {
     f.__name__: f
     for f in (
         stream_closed_days, stream_changed_days, correlation_matrix, correlation_observed, rank_correlation_matrix,
-        outlier_limits, outliers_clipped, outliers_nulled,
+        outlier_limits, outliers_clipped, outliers_nulled, cv_folds, cv_scores, grid_scores,
     )
 }
 
@@ -178,4 +228,11 @@ SELECT * FROM days WHERE epoch_us(CAST(date + 1 AS TIMESTAMP)) <= (SELECT max(us
 SELECT series_id, "column", n, round(q1, 4) AS q1, round(q3, 4) AS q3, round(low, 4) AS low, round(high, 4) AS high FROM fence""",
     "outliers_clipped": _treated_sql("clip"),
     "outliers_nulled": _treated_sql("null"),
+    "cv_folds": f"WITH {_FOLDS}\nSELECT series_id, date, CAST(test_fold AS INTEGER) AS test_fold, train_folds FROM folds",
+    "cv_scores": f"WITH {_LONG},\n{_scores_sql('candidate, series_id, fold')}\nSELECT series_id, CAST(fold AS INTEGER) AS fold, {_SHOWN} FROM scores WHERE candidate = 0",
+    "grid_scores": f"""WITH {_LONG},
+{_scores_sql('candidate, fold')},
+first_rung AS (SELECT candidate, row_number() OVER (ORDER BY rmse, candidate) AS place FROM scores WHERE fold = 1)
+SELECT CAST(candidate AS INTEGER) AS candidate, CAST(fold AS INTEGER) AS fold, CASE WHEN fold = 1 THEN 1 ELSE 2 END AS rung, {_SHOWN}
+FROM scores JOIN first_rung USING (candidate) WHERE fold = 1 OR place <= 2""",
 }
