@@ -7,10 +7,11 @@ log P(word) = log P(class | state) + log P(word | class, state), or + log (c + 0
 
 Training is data parallel and every training row takes part once: rows are dealt to ``ROUNDS`` rounds by a hash of id and text, those of a
 round to shards of about ``SHARD`` bytes of text (so of no more words) by a hash that also tells equal rows apart. Shards run truncated
-backpropagation in numpy, windows of ``STEPS`` words with the state carried on; the shards' weights are
+backpropagation in numpy, windows of ``STEPS`` words with the state carried on through each text (in segments of ``SEGMENT`` words); texts follow each other in ``LANES``
+streams of like length, so that windows are full. The shards' weights are
 averaged in a tree, and the next round starts from the average. Output biases start at the corpus frequencies.
 
-Scoring reads each text whole: documents step together in lanes, the state carried across windows from the first word to the
+Scoring reads each text whole: documents step together in streams, the state carried across windows from the first word to the
 end mark. Counts of the ``HEAD`` most frequent words travel to the executors; rarer words meet their counts in a shuffled join.
 
 Null and empty texts are the end mark alone. Repeated rows give repeated rows. With no training
@@ -19,6 +20,7 @@ document every count is 0. Extra columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter
 from itertools import repeat
 
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, saved, table
 
-HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES = 50_000, 1024, 32, 32, 16, 16, 256, 1024
-SHARD, ROUNDS, RATE, FAN = 1 << 22, 2, 0.01, 32
+HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES, SEGMENT, SCORED = 50_000, 1024, 32, 32, 16, 16, 128, 512, 4096, 5000
+SHARD, ROUNDS, RATE, FAN = 1 << 22, 2, 0.02, 32
 END = b"\n"  # no word holds whitespace
 PER = MODELLED // CLASSES
 
@@ -79,10 +81,13 @@ class Network:
         net.part["wb"][:] = np.log(counts / counts.sum(1, keepdims=True))
         return net
 
-    def steps(self, inputs: np.ndarray, h: np.ndarray, keep: bool):
-        """``inputs``: T x B symbols. States after each step (T x B x H), and what the gradient needs."""
+    def steps(self, inputs: np.ndarray, h: np.ndarray, keep: bool, fresh: np.ndarray | None = None):
+        """``inputs``: T x B symbols; ``fresh``: where a text begins, from the zero state. States after each step (T x B x H), and what the gradient needs."""
         u, table, states, memo = self.part["u"], self.part["x"], [], []
-        for row in inputs:
+        begins = np.zeros(len(inputs), bool) if fresh is None else fresh.any(1)
+        for t, row in enumerate(inputs):
+            if begins[t]:
+                h = np.where(fresh[t][:, None], np.float32(0), h)
             x = table[row]
             g = h @ u
             rz = 0.5 + 0.5 * np.tanh(0.5 * (x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]))
@@ -105,6 +110,7 @@ class Network:
 
     def log_probability(self, states: np.ndarray, target: np.ndarray, grad=None):
         """Natural log P(symbol | state) for rows of states; with ``grad`` adds gradients and returns that of the states."""
+        target = target.astype(np.int64)
         kind = np.where(target < MODELLED, target // PER, CLASSES + target - MODELLED)
         logits = states @ self.part["c"] + self.part["cb"]
         e, total = self._exp(logits, self.part["c"], self.part["cb"])
@@ -136,10 +142,12 @@ class Network:
                 back[own] += d @ self.part["w"][k].T
         return (out, back) if grad is not None else out
 
-    def gradient(self, inputs, targets, alive, h):
-        """Of one window, cut at its start. ``alive``: T x B. Returns the gradients and the last state."""
-        grad = {k: np.zeros(s, np.float32) for k, s in self.SHAPES.items()}
-        states, memo = self.steps(inputs, h, True)
+    def gradient(self, inputs, targets, alive, h, fresh=None):
+        """Of one window, cut at its start and where a text begins. ``alive``: T x B. Returns the gradients, views of one flat array kept with them, and the last state."""
+        flat = Network(np.zeros_like(self.flat, np.float32))
+        grad = flat.part
+        states, memo = self.steps(inputs, h, True, fresh)
+        begins = np.zeros(len(inputs), bool) if fresh is None else fresh.any(1)
         back = np.zeros(states.shape, np.float32)
         _, d = self.log_probability(states[alive], targets[alive], grad)
         back[alive] = d
@@ -154,72 +162,83 @@ class Network:
             grad["u"] += before.T @ dg
             moves[t] = np.concatenate([dr, dz, dn], 1)
             carry = d * z + dg @ u.T
+            if begins[t]:
+                carry[fresh[t]] = 0
         symbols = inputs.ravel()
         order = np.argsort(symbols.astype(np.int16), kind="stable")
         first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
         grad["x"][symbols[order[first]]] = np.add.reduceat(moves.reshape(-1, 3 * HIDDEN)[order], first)
+        self.gradients = flat.flat
         return grad, states[-1]
 
 
-def _lanes(symbols: list[np.ndarray], lanes: int):
-    """Documents of similar length side by side: (indices, T x B symbols, lengths), longest first."""
-    order = sorted(range(len(symbols)), key=lambda i: -len(symbols[i]))
-    for at in range(0, len(order), lanes):
-        some = order[at:at + lanes]
-        size = np.array([len(symbols[i]) for i in some])
-        yield some, size
-
-
-def _flat(symbols, some):
-    """The symbols of the documents ``some`` in one array, and where each begins."""
-    size = np.array([len(symbols[i]) for i in some])
-    return np.concatenate([symbols[i] for i in some]), np.cumsum(size) - size
-
-
-def _window(flat, begin, size, at, width):
-    """Symbols at..at+width of the documents that reach ``at`` (a leading part), as T x B, and which are there."""
-    live = int(np.searchsorted(-size, -at, "left"))
-    place = np.arange(at, min(at + width, int(size[0])))[:, None]
-    alive = place < size[None, :live]
-    return live, np.where(alive, flat[np.where(alive, begin[None, :live] + place, 0)], 0), alive
+class _Streams:
+    """The texts one after another in at most ``lanes`` streams of like length, longest first, all in one array."""
+
+    def __init__(self, symbols: list[np.ndarray], lanes: int, end: int):
+        lanes = max(1, min(lanes, len(symbols)))
+        size = [len(x) for x in symbols]
+        heap, own = [(0, b) for b in range(lanes)], [[] for _ in range(lanes)]
+        for i in sorted(range(len(size)), key=lambda i: -size[i]):
+            at, lane = heapq.heappop(heap)
+            own[lane].append(i)
+            heapq.heappush(heap, (at + size[i], lane))
+        heap.sort(key=lambda x: -x[0])
+        self.order = [i for _, lane in heap for i in own[lane]]
+        self.length = np.array([at for at, _ in heap], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
+        self.flat = np.concatenate([symbols[i] for i in self.order]).astype(np.int16)
+        self.text = np.cumsum([0, *(size[i] for i in self.order)])[:-1]  # where the texts of ``order`` begin
+        self.fresh = np.zeros(len(self.flat), bool)
+        self.fresh[self.text] = True
+        self.before = np.concatenate([[end], self.flat[:-1]]).astype(np.int16)  # the symbol before; at a text's beginning the end mark
+        self.before[self.text] = end
+
+    def windows(self, steps: int):
+        """Streams that reach it (leading ones), which cells of steps x streams hold a symbol, and their places."""
+        for at in range(0, int(self.length[0]), steps):
+            live = int(np.searchsorted(-self.length, -at, "left"))
+            place = np.arange(at, min(at + steps, int(self.length[0])))[:, None]
+            alive = place < self.length[None, :live]
+            yield live, alive, np.where(alive, place + self.begin[None, :live], self.begin[None, :live])
 
 
 def score_symbols(net: Network, symbols: list[np.ndarray], end: int) -> np.ndarray:
     """log10 probability of each document's classes and modelled words."""
     out = np.zeros(len(symbols))
-    for some, size in _lanes(symbols, SCORE_LANES):
-        h, last = np.zeros((len(some), HIDDEN), np.float32), np.full(len(some), end)
-        width, (flat, begin) = 32, _flat(symbols, some)
-        for at in range(0, int(size[0]), width):
-            live, cells, alive = _window(flat, begin, size, at, width)
-            inputs = np.concatenate([last[None, :live], cells[:-1]])
-            states, _ = net.steps(inputs, h[:live], False)
-            logs = np.zeros(cells.shape)
-            logs[alive] = net.log_probability(states[alive], cells[alive])
-            out[some[:live]] += logs.sum(0)
-            h, last = states[-1], cells[-1]
+    if not len(symbols):
+        return out
+    streams = _Streams(symbols, SCORE_LANES, end)
+    logs, h = np.zeros(len(streams.flat)), np.zeros((len(streams.length), HIDDEN), np.float32)
+    for live, alive, place in streams.windows(32):
+        states, _ = net.steps(streams.before[place], h[:live], False, streams.fresh[place])
+        there = place[alive]
+        logs[there] = net.log_probability(states[alive], streams.flat[there])
+        h = states[-1]
+    out[streams.order] = np.add.reduceat(logs, streams.text)
     return out / np.log(10)
 
 
 def train_shard(flat: np.ndarray, symbols: list[np.ndarray], end: int) -> np.ndarray:
-    """One pass of Adam over windows of a shard's documents."""
+    """One pass of Adam over the windows of a shard's documents, which are cut into segments of ``SEGMENT`` symbols."""
     net = Network(flat.copy())
     m, v, step = np.zeros_like(net.flat), np.zeros_like(net.flat), 0
-    batches = list(_lanes(symbols, LANES))
-    for b in np.random.default_rng(len(symbols)).permutation(len(batches)):
-        some, size = batches[b]
-        own, begin = _flat(symbols, some)
-        h, last = np.zeros((len(some), HIDDEN), np.float32), np.full(len(some), end)
-        for at in range(0, int(size[0]), STEPS):
-            live, cells, alive = _window(own, begin, size, at, STEPS)
-            inputs = np.concatenate([last[None, :live], cells[:-1]])
-            grad, state = net.gradient(inputs, cells, alive, h[:live])
-            g = np.concatenate([grad[k].ravel() for k in Network.SHAPES]) / max(1, alive.sum())
-            step += 1
-            m += np.float32(0.1) * (g - m)
-            v += np.float32(0.01) * (g * g - v)
-            net.flat -= RATE * min(1.0, alive.sum() / 1000) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-            h, last = state, cells[-1]
+    pieces = [x[at:at + SEGMENT] for x in symbols for at in range(0, len(x), SEGMENT)]
+    streams = _Streams(pieces, LANES, end)
+    h = np.zeros((len(streams.length), HIDDEN), np.float32)
+    for live, alive, place in streams.windows(STEPS):
+        _, h = net.gradient(streams.before[place], streams.flat[place], alive, h[:live], streams.fresh[place])
+        n = int(alive.sum())
+        g = net.gradients
+        g *= np.float32(1 / n)
+        step += 1
+        m += np.float32(0.1) * (g - m)
+        g *= g
+        v += np.float32(0.01) * (g - v)
+        # The corrections of both means as factors, so that few arrays are made.
+        root = np.sqrt(v)
+        root += np.float32(1e-6 * (1 - 0.99**step) ** 0.5)
+        net.flat -= np.float32(RATE * min(1.0, n / 1000) * (1 - 0.99**step) ** 0.5 / (1 - 0.9**step)) * (m / root)
     return net.flat
 
 
@@ -344,8 +363,8 @@ def score_documents(documents: DataFrame) -> DataFrame:
         flat, places, symbol, logs, seen, outside, end, tail_logs = sent.value
         net, place = Network(flat.copy()), places.get
         for pdf in batches:
-            for at in range(0, len(pdf), 2000):
-                part = pdf.iloc[at:at + 2000]
+            for at in range(0, len(pdf), SCORED):
+                part = pdf.iloc[at:at + SCORED]
                 symbols, n_known, sums, tails, rare_row, rare_word, rare_times = [], [], [], [], [], [], []
                 for row, text in zip(part["row"].tolist(), part["text"].fillna("").tolist(), strict=True):
                     words = words_of(text)
