@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, saved, table
 
-HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES, SEGMENT, SCORED = 50_000, 1024, 32, 32, 16, 16, 128, 512, 4096, 5000
+HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES, SEGMENT, SCORED, MET = 50_000, 1024, 32, 32, 16, 16, 128, 512, 4096, 5000, 1 << 20
 SHARD, ROUNDS, RATE, FAN = 1 << 22, 2, 0.02, 32
 END = b"\n"  # no word holds whitespace
 PER = MODELLED // CLASSES
@@ -83,22 +83,31 @@ class Network:
 
     def steps(self, inputs: np.ndarray, h: np.ndarray, keep: bool, fresh: np.ndarray | None = None):
         """``inputs``: T x B symbols; ``fresh``: where a text begins, from the zero state. States after each step (T x B x H), and what the gradient needs."""
-        u, table, states, memo = self.part["u"], self.part["x"], [], []
+        # The gates' logistic curve is a tanh of half its argument: the halves go into the weights.
+        half = np.repeat(np.array([0.5, 1.0], self.flat.dtype), [2 * HIDDEN, HIDDEN])
+        u, moved = self.part["u"] * half, (self.part["x"] * half)[inputs]
+        states, memo = np.empty((*inputs.shape, HIDDEN), moved.dtype), []
         begins = np.zeros(len(inputs), bool) if fresh is None else fresh.any(1)
-        for t, row in enumerate(inputs):
+        for t, x in enumerate(moved):
             if begins[t]:
                 h = np.where(fresh[t][:, None], np.float32(0), h)
-            x = table[row]
             g = h @ u
-            rz = 0.5 + 0.5 * np.tanh(0.5 * (x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]))
-            r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-            n = np.tanh(x[:, 2 * HIDDEN:] + r * g[:, 2 * HIDDEN:])
-            new = n + z * (h - n)
+            rz = x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]
+            np.tanh(rz, out=rz)
+            rz *= 0.5
+            rz += 0.5
+            r, z, gn = rz[:, :HIDDEN], rz[:, HIDDEN:], g[:, 2 * HIDDEN:]
+            n = r * gn
+            n += x[:, 2 * HIDDEN:]
+            np.tanh(n, out=n)
             if keep:
-                memo.append((h, r, z, n, g[:, 2 * HIDDEN:]))
+                memo.append((h, r, z, n, gn))
+            new = states[t]
+            np.subtract(h, n, out=new)
+            new *= z
+            new += n
             h = new
-            states.append(h)
-        return np.stack(states), memo
+        return states, memo
 
     @staticmethod
     def _exp(logits: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,13 +164,16 @@ class Network:
         for t in reversed(range(len(inputs))):
             before, r, z, n, gn = memo[t]
             d = back[t] + carry
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            dg = np.concatenate([dr, dz, dn * r], 1)
+            move, rest = moves[t], 1 - z
+            dr, dz, dn = move[:, :HIDDEN], move[:, HIDDEN:2 * HIDDEN], move[:, 2 * HIDDEN:]
+            np.multiply(d * rest, 1 - n * n, out=dn)
+            np.multiply(d * (before - n), z * rest, out=dz)
+            np.multiply(dn * gn, r * (1 - r), out=dr)
+            dg = move.copy()
+            dg[:, 2 * HIDDEN:] *= r
             grad["u"] += before.T @ dg
-            moves[t] = np.concatenate([dr, dz, dn], 1)
-            carry = d * z + dg @ u.T
+            carry = d * z
+            carry += dg @ u.T
             if begins[t]:
                 carry[fresh[t]] = 0
         symbols = inputs.ravel()
@@ -326,12 +338,14 @@ def _places(get, words: list[bytes]) -> np.ndarray:
 
 
 def _symbols(texts: list[str], known: dict) -> list[np.ndarray]:
-    out = []
+    out, met = [], dict(known)  # with the tail classes of the words met
     for text in texts:
         words = words_of(text)
-        found = _places(known.get, words)
+        found = _places(met.get, words)
         for i in np.flatnonzero(found < 0).tolist():
-            found[i] = MODELLED + tail_class(words[i])
+            found[i] = met[words[i]] = MODELLED + tail_class(words[i])
+        if len(met) > MET:
+            met = dict(known)
         out.append(found)
     return out
 
