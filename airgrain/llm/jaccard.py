@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, left_join, saved, table
+from .common import discard, free, left_join, saved, table
 from .linking import linked_components
 
 WORDS, PERCENT, SHARE, FILTER = 3, 90, 2, 1 << 20
@@ -212,8 +212,9 @@ def _keys(percent: int, words: int, with_low: bool):
 KEYS = "doc_id bigint, t bigint, n int, k1 bigint, k2 bigint"
 
 
-def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, component of every document (doc_id, set): n-grams of ``words`` words, Jaccard similarity of ``percent`` or more."""
+def _set_components(documents: DataFrame, words: int, percent: int, of_ids: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Per row doc_id, t (hash of the text), n and set; per set rep (its least doc_id) and id; per linked id its component and the least rep in it. ``of_ids``: the sets of one
+    doc_id belong together."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
     identity = F.when(F.col("n") > 0, F.xxhash64("n", "k1", "k2")).alias("set")
     keys = saved(docs.mapInPandas(_keys(percent, words, False), KEYS).select("doc_id", "t", "n", identity), "jaccard-keys")
@@ -239,6 +240,7 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     room = length - (F.col("m") - F.size("grams"))
     prefix = prefix.where(room > 0).select("id", "n", F.explode(F.slice(F.array_sort("grams"), F.lit(1), room)).alias("g"))
     buckets = saved(prefix.select(F.col("g.gram").alias("key"), "id", "n"), "jaccard-prefixes")
+    discard(grams)
 
     def texts(parts):
         # One text per distinct set that is asked for. At most FILTER hashes say which texts need not move; the join itself decides.
@@ -251,18 +253,22 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     def compare(ids, sets, probe):
         return tree_links(ids, sets, probe, percent)
 
-    # The sets of one doc_id belong together.
     own = filled.join(several, filled["doc_id"] == several["_doc"]).select("doc_id", "set").distinct().join(names.select("set", "id"), "set")
     hubs = own.groupBy("doc_id").agg(F.min("id").alias("a"))
     own = own.join(hubs, "doc_id").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    def grams(some):
+    def whole(some):
         return shingle_sets(some, words)
 
-    found = linked_components(buckets, texts, grams, compare, percent / 100, more=own, grams=grams, percent=percent)
+    found = linked_components(buckets, texts, whole, compare, percent / 100, more=own if of_ids else None, grams=whole, percent=percent)
     # A component is named by the least doc_id of its sets.
     found = found.join(names.select("id", "rep"), "id")
     least = found.groupBy("component").agg(F.min("rep").alias("least"))
-    found = saved(found.join(least, "component").select("id", "least"), "jaccard-found")
+    return keys, names, saved(found.join(least, "component").select("id", "component", "least"), "jaccard-found")
+
+
+def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n, component of every document (doc_id, set): n-grams of ``words`` words, Jaccard similarity of ``percent`` or more."""
+    keys, names, found = _set_components(documents, words, percent, True)
     of_set = left_join(keys.select("doc_id", "n", "set").distinct(), names.select("set", "rep", "id"), ["set"])
     of_set = of_set.join(found, "id", "left")
     return of_set.select("doc_id", "n", F.coalesce("least", "rep", "doc_id").alias("component"))
@@ -273,17 +279,29 @@ def op8_jaccard_join(spark, sf_dir):
 
 
 def without_near_copies(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``documents`` with one row of each group: that of the smallest doc_id (null last), then of the least hash of its text. Rows without words stay."""
-    row, = free(documents.columns, "_row")
-    rows = saved(documents.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
-    found = jaccard_components(rows.select(F.col(row).alias("doc_id"), "text"), words, percent).where("n > 0").select(F.col("doc_id").alias("_r"), "component")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("t"), F.col(row).alias("r"))
-    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    several = saved(found.join(sizes, "component").select("_r", "component"), "jaccard-several-rows")
-    members = saved(rows.select(order.alias("o")).join(several, F.col("o.r") == F.col("_r")).select("component", "o"), "jaccard-members")
-    kept = members.groupBy("component").agg(F.min("o").alias("o")).select(F.col("o.r").alias("_r"))
-    away = several.join(kept, "_r", "left_anti").select("_r")
-    return rows.join(away, rows[row] == away["_r"], "left_anti").drop(row)
+    """``documents`` with one row of each group: that of the smallest doc_id (null last), then of the least hash of its text. Rows without words stay.
+
+    Rows are told apart by doc_id (a hash of the text where there is none) and the text's hash; of rows equal in both any one stays. Texts are not copied: only rows
+    that are repeated so move.
+    """
+    key, t = free(documents.columns, "_id", "_t")
+    text_hash = F.xxhash64("text")
+    docs = documents.withColumns({t: text_hash, key: F.coalesce(F.col("doc_id").cast("long"), text_hash)})
+    keys, names, found = _set_components(docs.select(F.col(key).alias("doc_id"), "text"), words, percent, False)
+    rows = keys.where("n > 0").groupBy("doc_id", "t", "set").agg(F.count(F.lit(1)).alias("copies"))
+    rows = rows.join(names.select("set", "id"), "set").join(found, "id", "left")
+    # A set without a link has all its rows in one group too.
+    order = F.struct((F.col("doc_id") == F.col("t")).alias("last"), "doc_id", "t")
+    rows = saved(rows.select("doc_id", "t", "copies", "set", "component", order.alias("o")), "jaccard-rows")
+    linked, alone = rows.where("component is not null"), rows.where("component is null")
+    away = linked.join(linked.groupBy("component").agg(F.min("o").alias("first")), "component").where("o > first").select("doc_id", "t")
+    away = away.unionByName(alone.join(alone.groupBy("set").agg(F.min("o").alias("first")), "set").where("o > first").select("doc_id", "t"))
+    away = saved(away.select(F.col("doc_id").alias(key), F.col("t").alias(t)), "jaccard-away")
+    repeated = rows.where("copies > 1").select(F.col("doc_id").alias(key), F.col("t").alias(t)).join(away, [key, t], "left_anti")
+    repeated = saved(repeated, "jaccard-repeated")
+    single = docs.join(away.unionByName(repeated), [key, t], "left_anti")
+    one = docs.join(repeated, [key, t], "left_semi").dropDuplicates([key, t])
+    return single.select(*documents.columns).unionByName(one.select(*documents.columns))
 
 
 def jaccard_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,3 +97,10 @@ def test_line_removal_keeps_extra_columns(spark, extra):
     docs = spark.createDataFrame([(1, "A line\nB line", 7), (2, "A line\nC line", 8), (None, None, 9)], f"doc_id long, text string, `{extra}` int")
     out = lines.without_repeated_lines(docs)
     assert out.columns == docs.columns and sorted(map(tuple, out.collect()), key=str) == sorted([(1, "A line\nB line", 7), (2, "C line", 8), (None, None, 9)], key=str)
+
+
+def test_texts_of_one_id_are_groups_of_their_own(spark):
+    text = lambda k, *end: " ".join([f"{k}{i}" for i in range(40)] + list(end))
+    rows = [(1, text("a")), (1, text("b")), (2, text("a", "x")), (3, text("b", "y")), (1, text("b")), (None, text("c")), (None, text("d"))]
+    left = jaccard.jaccard_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted((str(r.doc_id), r.text[0]) for r in left.collect()) == [("1", "a"), ("1", "b"), ("None", "c"), ("None", "d")]
