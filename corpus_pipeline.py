@@ -24,7 +24,7 @@ STAGES = [
     ("sharding", shard_stage),
 ]
 
-# The quality model cannot be stated in SQL; tests/llm compares the pipeline with a plain Python version.
+# The quality model cannot be stated in SQL; tests/llm/test_queries.py compares each stage with a plain Python version.
 ORACLE_SQL = None
 
 
