@@ -271,6 +271,21 @@ banded AS (
   GROUP BY ALL)
 SELECT pollutant, band_no, count(*) AS n FROM banded GROUP BY pollutant, band_no""",
 
+    "binned_bands": f"""WITH {POLLUTANT_OBS},
+bands AS (
+  SELECT pollutant, (l_orderkey * 8 + l_linenumber) * 100000 + l_suppkey AS band_no, floor(l_extendedprice * 7) % 67200 / 64 AS lo,
+         lo + CASE WHEN l_orderkey % 997 = 0 THEN 100.0::DOUBLE ELSE (l_orderkey % 8) / 64.0::DOUBLE END AS hi
+  FROM lineitem, (VALUES ('o3'), ('no2')) t(pollutant)),
+long AS (SELECT * FROM (SELECT series_id, date, seq, line, part, supp, o3, no2 FROM p_obs)
+         UNPIVOT INCLUDE NULLS (value FOR pollutant IN (o3, no2))),
+looked_up AS (
+  SELECT pollutant, value, min({{'band_no': band_no, 'lo': lo, 'hi': hi}}) AS band
+  FROM (SELECT DISTINCT pollutant, value FROM long) v JOIN bands b USING (pollutant)
+  WHERE value BETWEEN lo AND hi GROUP BY pollutant, value)
+SELECT series_id, date, seq, line, part, supp, pollutant, round(value, 4) AS value, band.band_no AS band_no,
+       round(band.lo, 4) AS lo, round(band.hi, 4) AS hi
+FROM long LEFT JOIN looked_up USING (pollutant, value)""",
+
     "coerce_numeric_date": f"""WITH {HOURLY_OBS},
 k AS (SELECT *, regexp_extract(props, '"k": *([0-9]+)', 1) AS kt FROM h_obs),
 typed AS (
@@ -374,6 +389,10 @@ QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY date DESC) = 1""",
 SELECT series_id, seq, round(value, 4) AS value,
        {_list(f"round(lag(value, {i}) OVER w, 4) AS lag_{i}_value" for i in range(1, 8))} FROM h_obs {W_TIMED}""",
 
+    "lags_even_runs": f"""WITH {HOURLY_OBS}
+SELECT series_id, seq, round(value, 4) AS value,
+       {_list(f"round(lag(value, {i}) OVER w, 4) AS lag_{i}_value" for i in range(1, 8))} FROM h_obs {W_TIMED}""",
+
     "targets_segmented": f"""WITH {HOURLY_OBS}
 SELECT series_id, seq, round(value, 4) AS value,
        {_list(f"round(lead(value, {i}) OVER w, 4) AS value_day_{i}" for i in range(1, 8))} FROM h_obs {W_TIMED}""",

@@ -31,7 +31,7 @@ from airgrain.operators.columns import (
     select_features,
     trim_columns,
 )
-from airgrain.operators.joins import band_join, build_raw, latest_by
+from airgrain.operators.joins import band_join, binned_band_join, build_raw, latest_by
 from airgrain.operators.merge import concat, last_write_wins, upsert
 from airgrain.operators.metrics import regression_metrics
 from airgrain.plans import model as M
@@ -96,6 +96,17 @@ def band_join_counts(spark: Spark, d: str) -> DataFrame:
     return banded.groupBy("pollutant", "band_no").agg(F.count(F.lit(1)).alias("n"))
 
 
+def binned_bands(spark: Spark, d: str) -> DataFrame:
+    """Ozone observations against two bands of each line item, most of them narrow, some a hundred wide."""
+    width = "CASE WHEN l_orderkey % 997 = 0 THEN 100D ELSE (l_orderkey % 8) / 64D END"
+    bands = V.table(spark, d, "lineitem").selectExpr(
+        "explode(array('o3', 'no2')) AS pollutant", "(l_orderkey * 8 + l_linenumber) * 100000 + l_suppkey AS band_no",
+        "floor(l_extendedprice * 7) % 67200 / 64D AS lo", f"{width} AS width", "l_quantity AS index_lo", "l_quantity + 1 AS index_hi",
+    ).selectExpr("pollutant", "band_no", "lo", "lo + width AS hi", "index_lo", "index_hi")
+    values = V.pollutant_obs(spark, d).selectExpr(*ID, *V.ARRIVAL, "stack(2, 'o3', o3, 'no2', no2) AS (pollutant, value)")
+    return _out(binned_band_join(values, bands, "value").drop("index_lo", "index_hi"))
+
+
 def coerce_numeric_date(spark: Spark, d: str) -> DataFrame:
     k = F.get_json_object("props", "$.k")
     e = F.col("seq")
@@ -237,11 +248,19 @@ def _timed(spark: Spark, d: str, *more: str) -> DataFrame:
 
 
 def _segmented(df: DataFrame, operator, *args) -> DataFrame:
-    done = operator(df, *args, ts=["obs_ts", "seq"], segment=S.time_segment("obs_ts", 86_400))
-    return _out(done.drop("obs_ts"))
+    """Runs cut by the data, of a thousand rows at most."""
+    runs = S.even_runs(df, order=["obs_ts", "seq"], rows=1000)
+    done = operator(runs, *args, ts=["obs_ts", "seq"], segment=F.col(S.RUN))
+    return _out(done.drop("obs_ts", S.RUN))
 
 
 def lags_segmented(spark: Spark, d: str) -> DataFrame:
+    """Runs of a calendar day each."""
+    lags = S.add_lags(_timed(spark, d), "value", 7, ts=["obs_ts", "seq"], segment=S.time_segment("obs_ts", 86_400))
+    return _out(lags.drop("obs_ts"))
+
+
+def lags_even_runs(spark: Spark, d: str) -> DataFrame:
     return _segmented(_timed(spark, d), S.add_lags, "value", 7)
 
 
@@ -615,11 +634,11 @@ def gbt_scores(spark: Spark, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        aqi_daily, sub_index_scaled, band_join_counts, coerce_numeric_date, month_flags,
+        aqi_daily, sub_index_scaled, band_join_counts, binned_bands, coerce_numeric_date, month_flags,
         timestamp_formats, interactions_rowsum, daily_mean_first, first_per_date, latest_dates,
         refresh_average_recency, refresh_average_stored, refresh_average_together,
         refresh_average_true, interpolate_linear, backfill, lags_7, targets_7, rolling_7,
-        chrono_split, last_row, lags_segmented, targets_segmented, rolling_segmented,
+        chrono_split, last_row, lags_segmented, lags_even_runs, targets_segmented, rolling_segmented,
         interpolate_segmented, backfill_segmented, split_segmented, raw_join, cleaned_features,
         clean_pollutant_rows, clean_weather_rows, engineer_features_rows, training_rows,
         metrics_persistence, evaluation_rows, forecast_long, upsert_forecast, upsert_eval,

@@ -6,8 +6,8 @@ Two exact forms of each:
   at most one row per series and calendar day (366 a year), so a partition is bounded by the
   calendar however many observations were averaged into it.
 * With ``segment`` a series of any length is cut into runs of consecutive rows, and one task sees
-  one run. ``segment`` is a column that never decreases along the order (see ``time_segment`` and
-  ``id_segment``). Each run is summarised in a few values, the summaries are combined along the
+  one run. ``segment`` is a column that never decreases along the order (see ``even_runs``, which
+  cuts by the data, ``time_segment`` and ``id_segment``). Each run is summarised in a few values, the summaries are combined along the
   series, and the result is joined back to the run's rows. Only summaries meet in one task.
   Keys and segment must not be null.
 """
@@ -29,6 +29,7 @@ from airgrain.functions.text import (
     with_expressions,
 )
 from airgrain.schemas import DAY, KEYS
+from airgrain.session import written
 
 SEG = "_segment"
 Order = str | Sequence[str]
@@ -44,6 +45,30 @@ def id_segment(day: str, ident: str, width: int) -> Column:
     return F.expr(f"struct({quoted(day)} AS day, floor({quoted(ident)} / {width}) AS part)")
 
 
+RUN = "_run"
+RUN_ROWS = 500_000
+
+
+def even_runs(df: DataFrame, keys=KEYS, order: Order = DAY, rows: int = RUN_ROWS) -> DataFrame:
+    """The rows with a column ``_run``, to be given as ``segment=F.col(RUN)``: runs of at most ``rows``
+    consecutive rows, whatever their rate in time.
+
+    Spark sorts the rows into ranges of (keys, order), which it takes from a sample of them, and each
+    range is cut after every ``rows`` rows. Rows equal in all order columns may fall into two runs, in
+    any order. The result is written once, so that all readers see the same cuts, also after an
+    executor was lost. Raises if the rows have a column ``_run``.
+    """
+    if RUN in df.columns:
+        raise ValueError(f"the rows have a column {RUN!r} already")
+    sorted_by = [F.col(quoted(c)) for c in (*keys, *_names(order))]
+    ranges = -(-max(df.count(), 1) // rows)
+    ranged = df.repartitionByRange(ranges, *sorted_by).sortWithinPartitions(*sorted_by)
+    # The id counts rows in its lower 33 bits and ranges above them.
+    placed = ranged.withColumn(RUN, F.monotonically_increasing_id())
+    low = (1 << 33) - 1
+    return written(placed.withColumn(RUN, F.expr(f"({RUN} - ({RUN} & {low})) + ({RUN} & {low}) div {rows}")), "runs")
+
+
 def _names(order: Order) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 

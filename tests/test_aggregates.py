@@ -1,4 +1,5 @@
 import math
+import random
 from datetime import date
 
 import pytest
@@ -6,7 +7,7 @@ from conftest import column
 from pyspark.sql import functions as F
 
 from airgrain.operators.aggregates import daily_aggregate, refresh_average
-from airgrain.operators.joins import build_raw, latest_by
+from airgrain.operators.joins import binned_band_join, build_raw, latest_by
 from airgrain.operators.merge import concat, upsert
 from airgrain.operators.metrics import regression_metrics
 from airgrain.plans.model import to_long
@@ -110,6 +111,44 @@ def test_build_raw(spark):
     assert column(build_raw(weather, air, order=["t"]), "t") == [1]
 
 
+BANDS = "pollutant string, band_no long, lo double, hi double, index_lo double, index_hi double"
+INF = float("inf")
+
+
+def test_binned_bands_equal_all_pairs(spark):
+    """Bands of all widths, from a point to no end, overlapping, of negative and of huge values."""
+    rng = random.Random(5)
+    bands = [("p", i, lo, lo + rng.choice([0.0, 1e-9, 0.5, 1.0, 3.0, 64.0, 1e6]), 0.0, 1.0) for i, lo in enumerate(rng.choice([-40.5, -1.0, 0.0, 0.25, 2.0, 7.0, 63.0, 64.0, 1e9, 1e300]) for _ in range(60))]
+    bands += [("q", 100, -INF, -5.0, 0.0, 1.0), ("q", 101, 5.0, INF, 0.0, 1.0), ("q", 102, 4.0, 3.0, 0.0, 1.0), ("q", 103, -1e300, 1e300, 0.0, 1.0), (None, 104, 0.0, 9.0, 0.0, 1.0)]
+    bands += [("r", 105, float("nan"), 9.0, 0.0, 1.0), ("r", 106, 0.0, float("nan"), 0.0, 1.0), ("r", 107, None, 9.0, 0.0, 1.0), ("r", 108, 0.0, 0.0, 0.0, 1.0), ("p", 109, 2.0, 2.0 + 2**-50, 0.0, 1.0)]
+    edges = {x for b in bands for x in b[2:4] if x is not None and x == x and abs(x) != INF}
+    values = [*edges, *(math.nextafter(x, side) for x in edges for side in (-INF, INF)), -0.0, INF, -INF, float("nan"), None]
+    rows = [(n, v, i) for n in ("p", "q", "r", "none", None) for i, v in enumerate([*values, 2.0, 2.0])]
+    df = spark.createDataFrame(rows, "pollutant string, value double, i long").repartition(3)
+
+    def wanted(name, v):
+        fits = [b[1] for b in bands if name is not None and b[0] == name and v is not None and b[2] is not None and b[2] <= v <= b[3]]
+        return min(fits, default=None)
+
+    got = binned_band_join(df, spark.createDataFrame(bands, BANDS), "value")
+    assert got.columns == ["pollutant", "value", "i", "band_no", "lo", "hi", "index_lo", "index_hi"]
+    shown = sorted(((r.pollutant or "", r.i, r.band_no) for r in got.collect()), key=str)
+    assert shown == sorted(((n or "", i, wanted(n, v)) for n, v, i in rows), key=str)
+    assert binned_band_join(df, spark.createDataFrame([], BANDS), "value").where("band_no IS NULL").count() == len(rows)
+    assert binned_band_join(df.where("false"), spark.createDataFrame(bands, BANDS), "value").count() == 0
+
+
+def test_binned_bands_meet_by_an_equi_join(spark):
+    """Neighbouring bands: no nested loop, and few candidates for a value however many bands there are."""
+    bands = spark.range(20_000).selectExpr(
+        "concat('p', id % 2) AS pollutant", "id AS band_no", "CAST(id AS double) AS lo", "id + 0.5D AS hi", "0D AS index_lo", "1D AS index_hi")
+    df = spark.range(4_000).selectExpr("concat('p', id % 2) AS pollutant", "id * 5 + 0.25D AS value")
+    got = binned_band_join(df, bands, "value")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert got.where("band_no = floor(value)").count() == 4_000
+
+
 def test_latest_by(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "series_id string, d int")
     assert sorted(map(tuple, latest_by(df, "d").collect())) == [("a", 2), ("b", 1)]

@@ -3,6 +3,7 @@ from datetime import date, datetime, timedelta
 import pandas as pd
 import pytest
 from conftest import column
+from pyspark.sql import functions as F
 
 from airgrain.operators import series as S
 
@@ -96,6 +97,30 @@ def test_hot_series_cut_by_day_and_id(spark):
         assert sorted(map(tuple, plain), key=repr) == sorted(map(tuple, runs), key=repr)
 
 
+def test_even_runs_spread_a_series_of_one_hour(spark):
+    """No run is larger than asked for, runs follow the order, and operators on them agree with one window."""
+    hour = datetime(2025, 1, 1, 5)
+    rows = [("hot", hour, i, float(i) if i % 3 else None) for i in range(700)]
+    rows += [("s%d" % (i % 9), hour + timedelta(days=i), i, float(i)) for i in range(60)]
+    rows += [("same", hour, 1, 1.0)] * 120
+    df = spark.createDataFrame(rows, "series_id string, at timestamp, seq long, v double").repartition(6)
+    order = ["at", "seq"]
+    runs = S.even_runs(df, order=order, rows=50)
+    sizes = [(r["count"], r.series_id) for r in runs.groupBy("series_id", S.RUN).count().collect()]
+    assert max(n for n, _ in sizes) <= 50 and sum(n for n, _ in sizes) == len(rows)
+    assert sum(k == "hot" for _, k in sizes) >= 14 and sum(k == "same" for _, k in sizes) >= 3
+    steps = runs.selectExpr(f"{S.RUN} < lag({S.RUN}) OVER (PARTITION BY series_id ORDER BY at, seq, {S.RUN}) AS back")
+    assert steps.where("back").count() == 0
+    unique = df.where("series_id <> 'same'")
+    runs = S.even_runs(unique, order=order, rows=50)
+    by_run = S.add_lags(S.interpolate_linear(runs, ["v"], ts=order, segment=F.col(S.RUN)), "v", 60, ts=order, segment=F.col(S.RUN))
+    plain = S.add_lags(S.interpolate_linear(unique, ["v"], ts=order), "v", 60, ts=order)
+    assert sorted(by_run.drop(S.RUN).collect(), key=str) == sorted(plain.collect(), key=str)
+    assert S.even_runs(df.where("false"), order=order).count() == 0
+    with pytest.raises(ValueError):
+        S.even_runs(runs, order=order)
+
+
 def test_first_and_last(spark):
     rows = [("s", date(2025, 1, 1), 2, "b"), ("s", date(2025, 1, 1), 1, "a"), ("s", date(2025, 1, 3), 3, "c")]
     df = spark.createDataFrame(rows, "series_id string, date date, seq int, v string")
