@@ -512,6 +512,18 @@ FROM forecasts WHERE forecast_date = (SELECT max(forecast_date) FROM forecasts)"
 SELECT series_id, "timestamp", eval_date, {_r(["mae", "r2", "rmse", "mape"])}
 FROM stamped ORDER BY "timestamp" DESC LIMIT 1""",
 
+    "newest_forecast": f"""WITH {FORECASTS}
+SELECT {FORECAST_OUT.format(4)} FROM forecasts
+WHERE forecast_date = (SELECT max(forecast_date) FROM forecasts)""",
+
+    "newest_evaluation": f"""WITH {EVALUATIONS}
+SELECT series_id, "timestamp", eval_date, {_r(["mae", "r2", "rmse", "mape"])}
+FROM stamped ORDER BY "timestamp" DESC LIMIT 1""",
+
+    "series_register": f"""WITH {CLEAN}
+SELECT series_id, min(date) AS first_day, max(date) AS last_day FROM clean
+WHERE year(date) <= 1995 OR CAST(series_id AS INTEGER) % 3 > 0 GROUP BY series_id""",
+
     "evaluation_card": f"""WITH {EVALUATIONS}
 SELECT strftime(CAST("timestamp" AS TIMESTAMP), '%-d/%-m/%Y, %H:%M') AS created_at,
        {_r(["mae", "r2", "rmse"], 3)}, round(mape * 100, 3) AS mape

@@ -38,6 +38,7 @@ from airgrain.plans import model as M
 from airgrain.plans import views as Q
 from airgrain.plans.cleaning import clean_pollutant, clean_weather
 from airgrain.plans.features import engineer_features, training_frame
+from airgrain.plans.register import compact_registered, known_series
 from airgrain.plans.refresh import bootstrap, publish_forecast, refresh_daily
 from airgrain.schemas import (
     CLEANED,
@@ -410,11 +411,14 @@ def forecast_chart(spark: Spark, d: str) -> DataFrame:
     return _out(Q.forecast_chart(_upserted_forecasts(spark, d)))
 
 
+def _stamped(evaluations: DataFrame) -> DataFrame:
+    """The minute is the series, so that times differ."""
+    minute = F.lpad("series_id", 2, "0")
+    return evaluations.withColumn("timestamp", F.concat(F.substring("timestamp", 1, 14), minute, F.lit(":00")))
+
+
 def _one_per_day(spark: Spark, d: str) -> DataFrame:
-    """Scores with a distinct time per row, so that the newest is one row."""
-    series_minute = F.lpad(F.col("series_id"), 2, "0")
-    stamp = F.concat(F.substring("timestamp", 1, 14), series_minute, F.lit(":00"))
-    return _upserted_evaluations(spark, d).withColumn("timestamp", stamp)
+    return _stamped(_upserted_evaluations(spark, d))
 
 
 def latest_evaluation(spark: Spark, d: str) -> DataFrame:
@@ -593,6 +597,38 @@ def store_current(spark: Spark, d: str) -> DataFrame:
     return _out(Q.browse(store, "aqi_forecast", "1996-01-15", "1999-12-31"))
 
 
+def _stored(spark: Spark, table: str, early: DataFrame, late: DataFrame) -> Store:
+    """A store by months with two runs, each over the whole history."""
+    store = Store(spark, scratch_path(spark, "monthly"))
+    publish({table: early}, store, "0001")
+    publish({table: late}, store, "0002")
+    return store
+
+
+def newest_forecast(spark: Spark, d: str) -> DataFrame:
+    """The newest forecast of a store, of which one month is read."""
+    return _out(Q.newest_forecast(_stored(spark, "aqi_forecast", _forecasts(spark, d, False), _forecasts(spark, d, True))))
+
+
+def newest_evaluation(spark: Spark, d: str) -> DataFrame:
+    """The newest score of a store, of which one month is read."""
+    early, late = (_stamped(_evaluations(spark, d, pending)) for pending in (False, True))
+    return _out(Q.newest_evaluation(_stored(spark, "model_evaluation", early, late)))
+
+
+def series_register(spark: Spark, d: str) -> DataFrame:
+    """The series of a store after two runs, a compaction and a third run."""
+    store = Store(spark, scratch_path(spark, "registered"), "yyyy")
+    rows = V.cleaned_daily(spark, d).persist()
+    part = F.year("date")
+    publish({"cleaned_data": rows.where(part < 1995)}, store, "0001")
+    publish({"cleaned_data": rows.where(part == 1995)}, store, "0002")
+    compact_registered(store, "cleaned_data", "0003")
+    publish({"cleaned_data": rows.where((part > 1995) & (F.col("series_id").cast("int") % 3 > 0))}, store, "0004")
+    rows.unpersist()
+    return known_series(store)
+
+
 def gbt_forecast(spark: Spark, d: str) -> DataFrame:
     """Train on all series, save and load the model, forecast seven days for each. Few trees."""
     store = _store(spark, scratch_path(spark, "model"))
@@ -647,6 +683,7 @@ QUERIES = {
         browse_evaluation, browse_search_all, browse_search_column, browse_search_number,
         browse_named, current_conditions, drop_null_columns, json_weather, json_pollutant,
         csv_bootstrap, records_json, refresh_runs, stream_refresh, stream_daily, store_current,
+        newest_forecast, newest_evaluation, series_register,
         gbt_forecast, gbt_scores, model_group_forecast, model_group_scores,
     )
 }

@@ -15,6 +15,7 @@ from airgrain.operators.joins import build_raw
 from airgrain.operators.series import time_segment
 from airgrain.plans.cleaning import clean_weather
 from airgrain.plans.model import check_horizon, first_day, forecast, load_or_train, save_model, train
+from airgrain.plans.register import compact_registered, known_series
 from airgrain.schemas import (
     DAY,
     KEYS,
@@ -27,7 +28,7 @@ from airgrain.schemas import (
     WEATHER_TEXT,
 )
 from airgrain.sources.files import read_csv_table
-from airgrain.sources.store import Store, compact, current, publish, write_targets
+from airgrain.sources.store import Store, current, publish, write_targets
 
 DAILY = (*KEYS, DAY)
 FETCH = "fetched_at"
@@ -133,12 +134,12 @@ def publish_forecast(store: Store, model, as_of, run_id: str, lookback_days=None
     """Forecast all series from the cleaned table and upsert the rows.
 
     A series with no complete row to forecast from, in the lookback if there is one, is an error.
-    The lookback reaches the scan of the features; only the series' names are read of all periods.
+    The lookback reaches the scan of the features; the names of all series come from their register.
     """
     start = None if lookback_days is None else first_day(as_of, lookback_days)
     rows = forecast(current(store, "cleaned_data", start), model, as_of, lookback_days=lookback_days)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    series = current(store, "cleaned_data").select(*KEYS).distinct()
+    series = known_series(store).select(*KEYS)
     try:
         publish({"aqi_forecast": check_horizon(rows, series=series)}, store, run_id)
     finally:
@@ -171,7 +172,7 @@ def daily_job(
         publish({"model_evaluation": scores}, store, run_id)
     for table in TABLES:
         if len(store.runs(table)) > compact_after:
-            compact(store, table, f"{run_id}-base")
+            compact_registered(store, table, f"{run_id}-base")
     return current(store, "model_evaluation")
 
 

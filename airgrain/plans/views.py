@@ -21,7 +21,7 @@ from airgrain.operators.columns import (
 from airgrain.operators.joins import latest_by
 from airgrain.operators.series import last_row
 from airgrain.schemas import DAY, KEYS, PARTITION_COLUMN
-from airgrain.sources.store import Store, current
+from airgrain.sources.store import Store, current, newest_period
 
 # The fields of the current-conditions view, by group.
 WEATHER_CARD = (
@@ -58,6 +58,17 @@ def latest_forecast(
     return rows.orderBy("predicted_date", *KEYS) if ordered else rows
 
 
+def newest_forecast(store: Store, ordered: bool = True) -> DataFrame:
+    """``latest_forecast`` of the stored table; reads the newest period of forecast dates only."""
+    return latest_forecast(newest_period(store, "aqi_forecast"), ordered=ordered)
+
+
+def newest_evaluation(store: Store) -> DataFrame:
+    """``latest_evaluation`` of the stored table; reads the newest period of score dates only, since a
+    score's date is that of its time. Scores without a date are not seen."""
+    return latest_evaluation(newest_period(store, "model_evaluation"))
+
+
 def forecast_chart(forecasts: DataFrame) -> DataFrame:
     """Points of the chart with their whole-number labels."""
     return latest_forecast(forecasts).select(

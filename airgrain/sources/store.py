@@ -25,6 +25,7 @@ from airgrain.sources.files import read_jdbc, write_csv, write_jdbc
 
 COMMIT = "seq long, run_id string, table string, kind string"
 PERIOD = "_period"
+NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"  # Spark's name for the folder of rows without a value
 
 
 class Store:
@@ -58,6 +59,17 @@ class Store:
         found = mine.select("seq", "run_id", "kind").collect()
         return [(r["run_id"], r["kind"]) for r in sorted(found, key=lambda r: r["seq"])]
 
+    def periods(self, table: str) -> list[str]:
+        """Periods the table has rows in, newest first, from the names of folders alone. Rows without
+        a date are in no period."""
+        found = {
+            name.removeprefix(f"{PERIOD}=")
+            for run, _ in self.runs(table)
+            for name in folder_names(self.spark, self.path(table, f"run_id={run}"))
+            if name.startswith(f"{PERIOD}=") and name != f"{PERIOD}={NO_PERIOD}"
+        }
+        return sorted(found, reverse=True)
+
     def commits(self) -> DataFrame:
         if not self.exists("_commits"):
             return self.spark.createDataFrame([], COMMIT)
@@ -84,6 +96,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder, as after a write without rows."""
+    if not path_exists(spark, path):
+        return []
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+    return [f.getPath().getName() for f in files]
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
@@ -152,6 +173,17 @@ def current(
     return rows.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
 
 
+def runs_of(store: Store, table: str, runs: Sequence[str]) -> DataFrame:
+    """All rows that the given runs have written."""
+    return _scan(store, table, runs, None, None, None).drop("run_id")
+
+
+def newest_period(store: Store, table: str) -> DataFrame:
+    """``current`` of the newest period that holds rows; no other period is read. Later runs replace
+    rows, they never remove any, so that period always has one. Empty if no row has a date."""
+    return current(store, table, periods=store.periods(table)[:1])
+
+
 def _scan(store: Store, table: str, runs: Sequence[str], start, end, periods) -> DataFrame:
     paths = [store.path(table, f"run_id={r}") for r in runs]
     reader = store.spark.read.schema(f"{_ddl(TABLES[table])}, run_id string, {PERIOD} string")

@@ -5,8 +5,9 @@ import pytest
 from conftest import column
 
 from airgrain.operators.columns import conform
-from airgrain.plans import views as Q
+from airgrain.plans import register, views as Q
 from airgrain.plans.model import load_or_train, model_version
+from airgrain.plans.register import compact_registered, known_series
 from airgrain.plans.refresh import bootstrap, daily_job, hourly_job, publish_forecast, refresh_daily
 from airgrain.schemas import CLEANED, EVALUATION, FORECAST, POLLUTANT_DOCUMENT, RAW, TABLES, WEATHER, WEATHER_DOCUMENT
 from airgrain.sources.documents import pollutant_rows, read_pollutant, read_weather, weather_rows
@@ -104,6 +105,67 @@ def test_single_periods_are_read(spark, store):
     assert column(current(store, "aqi_forecast", periods=["2025-03"]), "predicted_aqi", "predicted_aqi") == [2]
 
 
+def test_the_newest_period_alone_is_read(spark, store):
+    """A hundred months in two runs and a compaction; of the newest one all rows, of the others no file."""
+    months = [date(2017 + m // 12, m % 12 + 1, 1) for m in range(100)]
+    rows = [("s%d" % k, day, day + timedelta(days=k), float(k)) for day in months for k in range(2)]
+    assert store.periods("aqi_forecast") == [] and Q.newest_forecast(store).isEmpty() and Q.newest_evaluation(store).isEmpty()
+    publish({"aqi_forecast": forecasts(spark, *rows)}, store, "0001")
+    compact(store, "aqi_forecast", "0002")
+    newest = months[-1]
+    publish({"aqi_forecast": forecasts(spark, ("s0", newest, newest, 9.0), ("s9", None, newest, 1.0), ("s1", months[3], months[3], 4.0))}, store, "0003")
+    assert store.periods("aqi_forecast")[:2] == ["2025-04", "2025-03"] and len(store.periods("aqi_forecast")) == 100
+    got = Q.newest_forecast(store)
+    assert [(r.series_id, r.forecast_date, r.predicted_aqi) for r in got.collect()] == [("s0", newest, 9.0), ("s1", newest, 1.0)]
+    assert [*map(tuple, got.collect())] == [*map(tuple, Q.latest_forecast(current(store, "aqi_forecast")).collect())]
+    # the names of periods are folders, so a filter on them leaves the files of all others unread
+    plan = current(store, "aqi_forecast", periods=["2025-04"])._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans and all("PartitionFilters: [isnotnull(_period" in s and "= 2025-04" in s for s in scans)
+
+
+def test_a_table_without_dates_has_no_newest_row(spark, store):
+    publish({"aqi_forecast": forecasts(spark, ("s9", None, D2, 1.0))}, store, "0001")
+    assert store.periods("aqi_forecast") == [] and Q.newest_forecast(store).isEmpty()
+
+
+def cleaned(spark, *rows):
+    return conform(spark.createDataFrame(list(rows), "series_id string, date date, pm25 double"), TABLES["cleaned_data"])
+
+
+def registered(store):
+    return sorted(map(tuple, known_series(store).collect()))
+
+
+def test_register_follows_the_runs(spark, store, monkeypatch):
+    """Each run is read once for its entry; a compaction merges the entries, a replaced table starts anew."""
+    reads = []
+    whole = register.runs_of
+    monkeypatch.setattr(register, "runs_of", lambda s, t, runs: reads.extend(runs) or whole(s, t, runs))
+    assert registered(store) == []
+    d3 = date(2025, 3, 1)
+    publish({"cleaned_data": cleaned(spark, ("a", D2, 1.0), ("b", D1, 1.0))}, store, "0001")
+    publish({"cleaned_data": cleaned(spark, ("a", D1, 1.0), ("c", d3, 1.0), ("n", None, 1.0))}, store, "0002")
+    both = [("a", D1, D2), ("b", D1, D1), ("c", d3, d3), ("n", None, None)]
+    assert registered(store) == both and reads == ["0001", "0002"]
+    assert registered(store) == both and reads == ["0001", "0002"]
+    compact_registered(store, "cleaned_data", "0003")
+    assert registered(store) == both and reads == ["0001", "0002"]
+    publish({"cleaned_data": cleaned(spark, ("a", d3, 1.0)).where("false")}, store, "0004")
+    publish({"cleaned_data": cleaned(spark, ("a", d3, 2.0))}, store, "0005")
+    assert registered(store) == [("a", D1, d3), *both[1:]] and reads == ["0001", "0002", "0004", "0005"]
+    replace_table(cleaned(spark, ("z", D1, 1.0)), store, "cleaned_data", "0006")
+    assert registered(store) == [("z", D1, D1)]
+
+
+def test_an_entry_that_was_not_finished_is_written_again(spark, store, tmp_path):
+    publish({"cleaned_data": cleaned(spark, ("a", D1, 1.0))}, store, "0001")
+    half = tmp_path / "store" / "_series" / "cleaned_data" / "run_id=0001"
+    half.mkdir(parents=True)
+    assert register.unregistered(store, "cleaned_data") == ["0001"] and registered(store) == [("a", D1, D1)]
+    assert register.unregistered(store, "cleaned_data") == []
+
+
 def test_unknown_table(store):
     with pytest.raises(ValueError, match="may not be read"):
         Q.browse(store, "passwords")
