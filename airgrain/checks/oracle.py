@@ -235,6 +235,26 @@ SELECT series_id, date, {_r([c for c in CLEANED if c != "date"])}
 FROM w_fold JOIN p_fold USING (series_id, date)"""
 
 
+REFRESHED_ALL = f"""{POLLUTANT_OBS},
+{WEATHER_OBS},
+p_scored AS (
+  SELECT *, CASE WHEN flag = 'A' THEN 1 ELSE 2 END AS run, {_FETCH_ORDER_P} AS moment
+  FROM ({_with_aqi("p_obs")})),
+w_runs AS (SELECT *, CASE WHEN status = 'F' THEN 1 ELSE 2 END AS run FROM w_obs),
+p_daily AS ({_fold("p_scored", "series_id, date", "run, moment", POLLUTANT_VALUES)}),
+w_daily AS ({_fold("w_runs", "series_id, date", "run, seq", WEATHER_NUMERIC, WEATHER_TEXT)}),
+raw AS (SELECT * FROM w_daily JOIN p_daily USING (series_id, date)),
+clean AS (SELECT series_id, {_list(CLEANED)} FROM raw)"""
+
+
+def _together(*more: str) -> str:
+    """The four daily tables under each other by column name."""
+    tables = {"weather_data": "w_daily", "pollutant_data": "p_daily", "raw_data": "raw", "cleaned_data": "clean"}
+    rows = " UNION ALL BY NAME ".join(f"SELECT '{name}' AS stored_in, * FROM {source}" for name, source in tables.items())
+    shown = ["stored_in", "series_id", "date", *more, _weather_out(), _r(POLLUTANT_VALUES)]
+    return f"SELECT {_list(shown)} FROM ({rows})"
+
+
 W_COLUMNS = ["series_id", "date", *WEATHER_COLUMNS]
 W_SHOWN = f"""shown AS (SELECT series_id, strftime(date, '%Y-%m-%d') AS date, {_list(
     f"round({c}, 3) AS {c}" if c in WEATHER_NUMERIC else c for c in WEATHER_COLUMNS)} FROM w_daily)"""
@@ -592,6 +612,9 @@ FROM p_obs""",
     "csv_bootstrap": f"""WITH {CLEAN}
 SELECT series_id, date, {_r([c for c in CLEANED if c != "date"])} FROM clean""",
 
+    "bootstrap_targets": f"WITH {CLEAN}\n{_together('target')}, (VALUES ('main'), ('copy')) t(target)",
+    "refresh_tables": f"WITH {REFRESHED_ALL}\n{_together()}",
+
     "records_json": f"""WITH {W_DAILY},
 q AS (SELECT series_id, date, coalesce('"' || conditions || '"', 'null') AS c,
              coalesce('"' || preciptype || '"', 'null') AS p, icon FROM w_daily)

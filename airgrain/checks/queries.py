@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -523,8 +524,17 @@ def json_pollutant(spark: Spark, d: str) -> DataFrame:
     return _out(read_pollutant(spark, path, time_zone="UTC").drop("fetched_at"))
 
 
-def csv_bootstrap(spark: Spark, d: str) -> DataFrame:
-    """Daily rows as CSV, loaded into a store and into Parquet files; the store's cleaned table."""
+DAILY_TABLES = ("weather_data", "pollutant_data", "raw_data", "cleaned_data")
+
+
+def _together(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tables under each other by column name, with the table's name."""
+    named = [df.withColumn("stored_in", F.lit(name)) for name, df in tables.items()]
+    return _out(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named))
+
+
+def _bootstrapped(spark: Spark, d: str) -> tuple[Store, str]:
+    """Daily rows as CSV, loaded into a store and into Parquet files."""
     root = scratch_path(spark, "csv")
     write_csv(V.weather_daily(spark, d).withColumnRenamed("temp", " temp "), f"{root}/weather")
     write_csv(V.pollutant_daily(spark, d), f"{root}/pollutant")
@@ -535,7 +545,21 @@ def csv_bootstrap(spark: Spark, d: str) -> DataFrame:
         "off": {"kind": "csv", "path": f"{root}/off", "enabled": False},
     }
     bootstrap(spark, f"{root}/weather", f"{root}/pollutant", targets, "0001")
-    return _out(current(store, "cleaned_data"))
+    return store, f"{root}/copy"
+
+
+def csv_bootstrap(spark: Spark, d: str) -> DataFrame:
+    """The cleaned table of a store that was loaded from CSV."""
+    return _out(current(_bootstrapped(spark, d)[0], "cleaned_data"))
+
+
+def bootstrap_targets(spark: Spark, d: str) -> DataFrame:
+    """All four tables of both targets that were loaded from CSV."""
+    store, copy = _bootstrapped(spark, d)
+    main = _together({t: current(store, t) for t in DAILY_TABLES})
+    names = {t: "CleanedData" if t == "cleaned_data" else t for t in DAILY_TABLES}
+    other = _together({t: spark.read.parquet(f"{copy}/{name}") for t, name in names.items()})
+    return main.withColumn("target", F.lit("main")).unionByName(other.withColumn("target", F.lit("copy")))
 
 
 def records_json(spark: Spark, d: str) -> DataFrame:
@@ -553,13 +577,24 @@ def _fetch_runs(spark: Spark, d: str):
         )
 
 
-def refresh_runs(spark: Spark, d: str) -> DataFrame:
-    """Two refresh runs and a compaction; the resulting cleaned table."""
+def _refreshed(spark: Spark, d: str) -> Store:
+    """Two refresh runs and a compaction."""
     store = _store(spark, scratch_path(spark, "store"))
     for number, (weather, pollutant) in enumerate(_fetch_runs(spark, d), 1):
         refresh_daily(weather, pollutant, store, f"{number:04d}")
     compact(store, "cleaned_data", "0003")
-    return _out(current(store, "cleaned_data"))
+    return store
+
+
+def refresh_runs(spark: Spark, d: str) -> DataFrame:
+    """The cleaned table after two refresh runs."""
+    return _out(current(_refreshed(spark, d), "cleaned_data"))
+
+
+def refresh_tables(spark: Spark, d: str) -> DataFrame:
+    """All four tables after two refresh runs."""
+    store = _refreshed(spark, d)
+    return _together({t: current(store, t) for t in DAILY_TABLES})
 
 
 def stream_refresh(spark: Spark, d: str) -> DataFrame:
@@ -682,7 +717,7 @@ QUERIES = {
         forecast_chart, latest_evaluation, evaluation_card, browse_range, browse_forecast,
         browse_evaluation, browse_search_all, browse_search_column, browse_search_number,
         browse_named, current_conditions, drop_null_columns, json_weather, json_pollutant,
-        csv_bootstrap, records_json, refresh_runs, stream_refresh, stream_daily, store_current,
+        csv_bootstrap, bootstrap_targets, records_json, refresh_runs, refresh_tables, stream_refresh, stream_daily, store_current,
         newest_forecast, newest_evaluation, series_register,
         gbt_forecast, gbt_scores, model_group_forecast, model_group_scores,
     )
