@@ -697,8 +697,8 @@ def model_group_scores(spark: Spark, d: str) -> DataFrame:
 
 
 def gbt_scores(spark: Spark, d: str) -> DataFrame:
-    """Scores of a freshly trained model on the last fifth of each series. Few trees."""
-    _, scores = M.train(V.cleaned_daily(spark, d), RUN_TS, maxIter=3)
+    """Scores of a freshly trained model of full size on the last fifth of each series."""
+    _, scores = M.train(V.cleaned_daily(spark, d), RUN_TS)
     return scores
 
 
