@@ -47,6 +47,16 @@ GBT_SETTINGS = {
 }
 
 
+# A level of a tree is a job of its own, thousands in all, so its tasks must be few and well filled.
+FIT_ROWS = 20_000
+FIT_PARTITIONS = 8
+
+
+def fit_partitions(rows: int, most: int) -> int:
+    """Partitions of ``rows`` training rows: ``FIT_PARTITIONS``, more where they would hold over ``FIT_ROWS``, up to ``most``."""
+    return min(most, max(FIT_PARTITIONS, -(-rows // FIT_ROWS)))
+
+
 def fit_horizons(
     train: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -54,7 +64,7 @@ def fit_horizons(
     keys: Sequence[str] = KEYS,
     ts: str = DAY,
     partitions: int | None = None,
-    parallelism: int = 2,
+    parallelism: int = HORIZON,
     **settings,
 ) -> PipelineModel:
     """One regressor per horizon on rows of all series; the result predicts all horizons at once.
@@ -65,7 +75,7 @@ def fit_horizons(
     spark = train.sparkSession
     use_checkpoints(spark)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or fit_partitions(train.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = (
         assembler.transform(train.repartition(count, *keys, ts).sortWithinPartitions(*keys, ts))
         .select("features", *targets)

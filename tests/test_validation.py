@@ -3,7 +3,9 @@
 from datetime import date, timedelta
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
 
+from airgrain.plans import model
 from airgrain.plans import validation as V
 from airgrain.schemas import FEATURES, TARGETS
 
@@ -64,3 +66,28 @@ def test_cross_validation_learns_from_the_rows_before(spark):
     got = {(r.series_id, r.fold): r for r in V.cross_validate(frame(spark), folds=2, gap=7, **settings).collect()}
     assert set(got) == {(s, k) for s in "ab" for k in (1, 2)} and all(r.rmse < 1e-9 and r.r2 > 0.999 for r in got.values())
     assert V.cross_validate(frame(spark, 8), folds=2, gap=7, **settings).count() == 0
+
+
+def test_fit_tasks_follow_rows(spark, monkeypatch):
+    seen = []
+
+    class Learner:
+        def __init__(self, **settings):
+            pass
+
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return VectorAssembler(inputCols=["x"], outputCol="p")
+
+    monkeypatch.setattr(model, "GBTRegressor", Learner)
+    rows = spark.createDataFrame([("s", i, float(i), float(i)) for i in range(20)], "series_id string, date int, x double, y double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        model.fit_horizons(rows, ["x"], ["y"])
+        model.fit_horizons(rows, ["x"], ["y"], partitions=3)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen == [8, 3]
+    assert [model.fit_partitions(n, 200) for n in (0, 160_000, 160_001, 10**9)] == [8, 8, 9, 200]
+    assert model.fit_partitions(10**6, 4) == 4
