@@ -141,6 +141,40 @@ def test_hot_blocks_lose_no_link(spark):
     assert {r.component for r in found if r.id < 40} == {0} and not any(r.id >= 40 and r.component != r.id for r in found)
 
 
+def test_lines_without_a_visible_character(spark):
+    blank = ["", " ", "\t", "\x0b\f\r ", " \t" * 50]
+    seen = ["a", " \u00a0", "\u2003", "\x00", "\x1c", "\t\u3000 ", "\\t", "u000B", "f", "r", " \x0b\x85"]
+    rows = lines.split_lines(spark.createDataFrame([(1, "\n".join([*blank, *seen, *blank]))], "doc_id long, text string")).collect()
+    assert [r.line for r in sorted(rows, key=lambda r: r.line_no)] == seen
+
+
+def test_run_sets_are_exact():
+    # Runs as whole numbers have the sizes and meetings of the runs themselves, also with zero characters, short lines and bytes above 127.
+    rng = np.random.default_rng(5)
+    some = ["".join(map(chr, rng.choice([0, 1, 65, 66, 255], k))) for k in (*range(1, 12), 30, 300)] + ["", "abc", "abc\0\0\0\0", "abc\0\0\0\0abc\0\0\0\0"]
+    plain = [{x[k:k + lines.SHINGLE] for k in range(max(1, len(x) - lines.SHINGLE + 1))} for x in some]
+    for latin in (True, False):
+        sets = [lines.run_set(x, latin) for x in some]
+        assert [[len(a & b) for b in sets] for a in sets] == [[len(a & b) for b in plain] for a in plain]
+
+
+def test_line_signatures_are_the_least_hashes():
+    # The number of different hashes, as one sort of all of them gives it.
+    value, begin = np.array([5, 5, 7, 7, 5, 9, 9, 9, 1], np.uint32), np.array([0, 2, 5, 8])
+    assert lines._different(value, begin).tolist() == [1, 2, 1, 1]
+    some = ["abcabcabcabcabc", "x", "abcdefg", "abcdefgh" * 40, "abcabcabcabcabc"]
+    keys, n, _ = lines.band_keys(some)
+    assert n.tolist() == [3, 1, 1, 8, 3] and (keys[0] == keys[4]).all() and not (keys[0] == keys[3]).any()
+
+
+def test_few_unwanted_lines_move(spark):
+    ids = spark.range(40_000).select(F.xxhash64("id").alias("id"), F.col("id").cast("string").alias("line"))
+    wanted = ids.where("line % 100 = 0").select("id")
+    left = {int(r.line) for r in lines._likely(ids, wanted).collect()}
+    assert left >= set(range(0, 40_000, 100)) and len(left) < 10_000
+    assert lines._likely(ids, wanted.where("false")).isEmpty()
+
+
 def test_lines(spark, docs):
     text = "a line that is long enough to have many runs of characters in it, number {}"
     more = spark.createDataFrame([(900, text.format(1) + "\n\nhi", None, None), (901, text.format(2) + "\nhi\nhx", None, None)], DOCS)
