@@ -29,7 +29,7 @@ from airgrain.functions.text import (
     with_expressions,
 )
 from airgrain.schemas import DAY, KEYS
-from airgrain.session import written
+from airgrain.session import compiled_apart, written
 
 SEG = "_segment"
 Order = str | Sequence[str]
@@ -187,19 +187,20 @@ def _neighbours(df, cols, keys, ts, segment, sides) -> DataFrame:
     def at(c: str) -> str:
         return f"CASE WHEN {quoted(c)} IS NOT NULL THEN _pos END"
 
-    def found(group) -> dict[str, str]:
-        result = {}
-        for side in sides:
-            window = over(group, order, side == "next", UP_TO)
+    def found(rows: DataFrame, group) -> DataFrame:
+        # 'prev' has the order that gave ``_pos``, so it comes first and needs no sort of its own
+        for side in sorted(sides, reverse=True):
+            window = over(group, ["_pos"] if side == "next" else order, side == "next", UP_TO)
+            result = {}
             for c in cols:
                 value, position = _near(side, c)
                 result[value] = f"last({quoted(c)}, true) {window}"
                 result[position] = f"last({at(c)}, true) {window}"
-        return result
+            rows = with_expressions(rows, result)
+        return rows
 
     if segment is None:
-        numbered = with_expressions(df, {"_pos": f"row_number() {over(keys, order)}"})
-        return with_expressions(numbered, found(keys))
+        return found(with_expressions(df, {"_pos": f"row_number() {over(keys, order)}"}), keys)
 
     cut = df.withColumn(SEG, segment)
     run = [*keys, SEG]
@@ -223,9 +224,12 @@ def _neighbours(df, cols, keys, ts, segment, sides) -> DataFrame:
             value, position = map(quoted, _near(side, c))
             carry["_run" + value.strip("`")] = f"last({value}, true) {window}"
             carry["_run" + position.strip("`")] = f"last({position} + _offset, true) {window}"
-    carried = with_expressions(runs, carry).select(*run, "_offset", *carry)
+    # The join needs keys that are not null. As results of a window they are not filtered before the
+    # shuffle, so that rows and runs share one.
+    same = {k: f"first({quoted(k)}) {over(keys, [SEG], frame=UP_TO)}" for k in keys}
+    carried = with_expressions(runs, carry | same).select(*map(quoted, run), "_offset", *map(quoted, carry))
 
-    joined = _join_summary(with_expressions(local, found(run)), carried, keys)
+    joined = compiled_apart(_join_summary(found(local, run), carried, keys))
     result = {"_pos": "_pos + _offset"}
     for side in sides:
         for c in cols:

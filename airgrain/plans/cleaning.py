@@ -12,6 +12,7 @@ from airgrain.functions.sub_index import with_aqi
 from airgrain.operators.columns import split_columns, trim_columns
 from airgrain.operators.series import Order, backfill, first_per_key, interpolate_linear
 from airgrain.schemas import DAY, KEYS, POLLUTANTS
+from airgrain.session import compiled_apart
 
 
 def type_pollutant(df: DataFrame, ts: str = DAY) -> DataFrame:
@@ -39,7 +40,7 @@ def clean_pollutant(
     """
     typed = type_pollutant(df, ts)
     filled = interpolate_linear(typed, POLLUTANTS, keys, order or ts, segment)
-    return with_aqi(filled, scale)
+    return compiled_apart(with_aqi(compiled_apart(filled), scale))
 
 
 def clean_weather(

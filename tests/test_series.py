@@ -133,3 +133,19 @@ def test_time_segment_of_timestamps(spark):
     df = spark.createDataFrame([(t,) for t in times], "t timestamp").withColumn("s", S.time_segment("t", 3600))
     first, *rest = column(df, "s", "t")
     assert [x - first for x in rest] == [0, 1, 1]
+
+
+def test_rows_and_summaries_of_runs_share_one_shuffle(spark):
+    rows = [(str(i % 3), i, float(i) if i % 4 == 0 else None) for i in range(90)]
+    df = spark.createDataFrame(rows, "series_id string, day long, v double")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cut = S.interpolate_linear(df, ["v"], ["series_id"], "day", segment=F.expr("floor(day / 20)"))
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert "ReusedExchange" in plan
+    whole = S.interpolate_linear(df, ["v"], ["series_id"], "day")
+    assert whole._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 3
+    assert sorted(cut.collect(), key=str) == sorted(whole.collect(), key=str)
