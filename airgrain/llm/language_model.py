@@ -21,36 +21,76 @@ document every count is 0. Extra columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, saved, table
 
-HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES, SEGMENT, SCORED, MET = 50_000, 1024, 32, 32, 16, 16, 128, 512, 4096, 5000, 1 << 20
-SHARD, ROUNDS, RATE, FAN = 1 << 22, 2, 0.02, 32
+HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES, SEGMENT, SCORED, BYTES = 50_000, 1024, 32, 32, 16, 16, 128, 512, 4096, 5000, 1 << 24
+SHARD, ROUNDS, RATE, FAN, BLOCK = 1 << 22, 2, 0.02, 32, 16
 END = b"\n"  # no word holds whitespace
 PER = MODELLED // CLASSES
+KIND = np.concatenate([np.arange(MODELLED) // PER, CLASSES + np.arange(TAILS)])  # a symbol's class
 
 
-def words_of(text: str) -> list[bytes]:
-    """Lower-cased A-Z, split at ASCII whitespace, and the end mark."""
-    return [*text.encode("utf-8", "surrogatepass").lower().split(), END]
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Where each text begins among all words, the words' numbers, and the different words (binary) that have these numbers.
 
-
-def tail_class(word: bytes) -> int:
-    """Of a word outside the network's vocabulary: by its first non-ASCII letter, else its first byte, and closing mark."""
-    for i, b in enumerate(word):
-        if b >= 0xC0:
-            kind = 8 + ((word[i + 1] >> 2) & 7 if i + 1 < len(word) else 0)
-            break
-    else:
-        kind = word[0] & 7
-    return kind + 16 * (word[-1] in b".,;:!?")
+    Texts (no nulls) are lower-cased A-Z and split at ASCII whitespace; each ends with the end mark.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    bounds = lists.offsets.to_numpy()
+    coded = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+    words, number, bounds = coded.dictionary, coded.indices.to_numpy(), bounds - bounds[0]
+    empty = pc.index(words, "").as_py()  # beside whitespace at an end
+    if empty >= 0:
+        kept = number != empty
+        bounds = np.concatenate([[0], np.cumsum(kept)])[bounds]
+        number = number[kept]
+        number = number - (number > empty)
+        words = pa.concat_arrays([words[:empty], words[empty + 1:]])
+    ends = np.arange(len(texts)) + bounds[1:]
+    out, inside = np.full(len(number) + len(texts), len(words), np.int32), np.ones(len(number) + len(texts), bool)
+    inside[ends] = False
+    out[inside] = number
+    return bounds + np.arange(len(bounds)), out, pa.concat_arrays([words.cast(pa.binary()), pa.array([END], pa.binary())])
+
+
+def _slices(batches):
+    """Batches of at most ``SCORED`` rows that end with the row in which another ``BYTES`` bytes of text are full."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // BYTES
+        rows = np.arange(len(size)) // SCORED
+        cuts = (np.flatnonzero((np.diff(size) > 0) | (np.diff(rows) > 0)) + 1).tolist()
+        for at, end in zip([0, *cuts], [*cuts, len(size)], strict=True):
+            if end > at:
+                yield batch.slice(at, end - at)
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def tail_classes(words: pa.Array) -> np.ndarray:
+    """Of words (binary, none empty) outside the network's vocabulary: by the first non-ASCII letter, else the first byte, and the closing mark."""
+    _, bounds, data = words.buffers()
+    bounds = np.frombuffer(bounds, np.int32)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8)[:bounds[-1]] if len(words) else np.zeros(0, np.uint8)
+    kind = data[bounds[:-1]] & 7
+    letters = np.flatnonzero(data >= 0xC0)
+    letters = letters[letters >= bounds[0]]
+    of = np.searchsorted(bounds, letters, "right") - 1
+    first = np.flatnonzero(np.diff(of, prepend=-1))
+    at, of = letters[first], of[first]
+    after = np.where(at + 1 < bounds[of + 1], data[np.minimum(at + 1, len(data) - 1)], 0)
+    kind[of] = 8 + ((after >> 2) & 7)
+    return kind.astype(np.int64) + 16 * np.isin(data[bounds[1:] - 1], list(b".,;:!?"))
 
 
 class Network:
@@ -60,7 +100,7 @@ class Network:
 
     def __init__(self, flat: np.ndarray):
         self.flat, at = flat, 0
-        self.part = {}
+        self.part, self.gradients = {}, None
         for name, shape in self.SHAPES.items():
             n = int(np.prod(shape))
             self.part[name] = flat[at:at + n].reshape(shape)
@@ -82,106 +122,155 @@ class Network:
         return net
 
     def steps(self, inputs: np.ndarray, h: np.ndarray, keep: bool, fresh: np.ndarray | None = None):
-        """``inputs``: T x B symbols; ``fresh``: where a text begins, from the zero state. States after each step (T x B x H), and what the gradient needs."""
+        """``inputs``: T x B symbols; ``fresh``: where a text begins, from the zero state. States after each step (T x B x H), and what the gradient needs.
+
+        Inside, the streams lie along the last axis, so that each gate is one run of memory.
+        """
         # The gates' logistic curve is a tanh of half its argument: the halves go into the weights.
         half = np.repeat(np.array([0.5, 1.0], self.flat.dtype), [2 * HIDDEN, HIDDEN])
-        u, moved = self.part["u"] * half, (self.part["x"] * half)[inputs]
-        states, memo = np.empty((*inputs.shape, HIDDEN), moved.dtype), []
+        u, (steps, wide) = np.ascontiguousarray((self.part["u"] * half).T), inputs.shape
+        moved = np.empty((steps, 3 * HIDDEN, wide), self.flat.dtype)  # becomes the gates r, z, n
+        np.multiply(np.take(self.part["x"], inputs, axis=0).transpose(0, 2, 1), half[:, None], out=moved)
+        states, lined = np.empty((steps + 1, HIDDEN, wide), moved.dtype), np.empty((steps if keep else 1, HIDDEN, wide), moved.dtype)
+        states[0], moves = h.T, np.empty((2 * HIDDEN, wide), moved.dtype)
         begins = np.zeros(len(inputs), bool) if fresh is None else fresh.any(1)
         for t, x in enumerate(moved):
+            h, new = states[t], states[t + 1]
             if begins[t]:
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            g = h @ u
-            rz = x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]
+                h = np.where(fresh[t], np.float32(0), h)
+            rz, n, gn = x[:2 * HIDDEN], x[2 * HIDDEN:], lined[t if keep else 0]
+            rz += np.matmul(u[:2 * HIDDEN], h, out=moves)
             np.tanh(rz, out=rz)
             rz *= 0.5
             rz += 0.5
-            r, z, gn = rz[:, :HIDDEN], rz[:, HIDDEN:], g[:, 2 * HIDDEN:]
-            n = r * gn
-            n += x[:, 2 * HIDDEN:]
+            np.matmul(u[2 * HIDDEN:], h, out=gn)
+            n += np.multiply(rz[:HIDDEN], gn, out=new)
             np.tanh(n, out=n)
-            if keep:
-                memo.append((h, r, z, n, gn))
-            new = states[t]
             np.subtract(h, n, out=new)
-            new *= z
+            new *= rz[HIDDEN:]
             new += n
-            h = new
-        return states, memo
+        return states[1:].transpose(0, 2, 1), (states[:-1], moved, lined)
 
     @staticmethod
-    def _exp(logits: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exponentials and their row sums. States lie in -1..1, so the weights bound the logits; rows are shifted only if float32 could overflow."""
-        if np.abs(weights).sum(0).max() + np.abs(bias).max() > 60:
-            logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        return e, e @ np.ones(e.shape[1], e.dtype)
+    def _softmax(logits: np.ndarray, weights: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log P at the flat ``place`` of some rows of ``logits`` (its last axis sums to one), which become exponentials, and the row sums.
+
+        States lie in -1..1, so the weights bound the logits; rows are shifted only if float32 could overflow.
+        """
+        if np.abs(weights).sum(-2).max() > 60:
+            logits -= logits.max(-1, keepdims=True)
+        wide = logits.shape[-1]
+        out = logits.reshape(-1)[place]
+        np.exp(logits, out=logits)
+        total = logits.reshape(-1, wide) @ np.ones(wide, logits.dtype)
+        out -= np.log(total[place // wide])
+        return out, total
 
     def log_probability(self, states: np.ndarray, target: np.ndarray, grad=None):
-        """Natural log P(symbol | state) for rows of states; with ``grad`` adds gradients and returns that of the states."""
-        target = target.astype(np.int64)
-        kind = np.where(target < MODELLED, target // PER, CLASSES + target - MODELLED)
-        logits = states @ self.part["c"] + self.part["cb"]
-        e, total = self._exp(logits, self.part["c"], self.part["cb"])
-        rows = np.arange(len(target))
-        out = logits[rows, kind] - np.log(total)
+        """Natural log P(symbol | state) for rows of states; with ``grad`` adds gradients and returns that of the states.
+
+        A last column of ones takes the biases into the products. Rows of one class are dealt to blocks of ``BLOCK``, filled with zeros, so that
+        one call of each kind serves all classes; rows of zeros add nothing to a gradient.
+        """
+        kind = np.take(KIND, target)
+        s, c = np.ones((len(target), HIDDEN + 1), states.dtype), np.concatenate([self.part["c"], self.part["cb"][None]])
+        s[:, :HIDDEN] = states
+        logits = s @ c
+        place = np.arange(0, logits.size, logits.shape[1]) + kind
+        out, total = self._softmax(logits, c, place)
         if grad is not None:
-            d = e / total[:, None]
-            d[rows, kind] -= 1
-            grad["c"] += states.T @ d
-            grad["cb"] += d.sum(0)
-            back = d @ self.part["c"].T
-        head = np.flatnonzero(target < MODELLED)
-        order = head[np.argsort(kind[head].astype(np.int16), kind="stable")]
-        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            own = order[bounds[k]:bounds[k + 1]]
-            if not len(own):
-                continue
-            s = states[own]
-            logits = s @ self.part["w"][k] + self.part["wb"][k]
-            e, total = self._exp(logits, self.part["w"][k], self.part["wb"][k])
-            inside, at = np.arange(len(own)), target[own] % PER
-            out[own] += logits[inside, at] - np.log(total)
+            logits *= (1 / total)[:, None]
+            logits.reshape(-1)[place] -= 1
+            moved = s.T @ logits
+            grad["c"] += moved[:-1]
+            grad["cb"] += moved[-1]
+            back = logits @ c[:-1].T
+        head = np.flatnonzero(kind < CLASSES)
+        if len(head):
+            order = head[np.argsort(kind[head].astype(np.int16), kind="stable")]
+            n = np.bincount(kind[order], minlength=CLASSES)
+            blocks = -(-n // BLOCK)
+            # A class's rows follow each other from the beginning of its first block.
+            slot = np.arange(len(order)) + np.repeat(BLOCK * (np.cumsum(blocks) - blocks) - (np.cumsum(n) - n), n)
+            s_own = np.zeros((int(blocks.sum()), BLOCK, HIDDEN + 1), states.dtype)
+            s_own.reshape(-1, HIDDEN + 1)[slot] = np.take(s, order, axis=0)
+            w = np.concatenate([self.part["w"], self.part["wb"][:, None]], 1)
+            used = np.flatnonzero(blocks)
+            of_block = np.repeat(used, blocks[used])
+            w_own = w[of_block]
+            logits = s_own @ w_own
+            place = slot * PER + target[order] % PER
+            logs, total = self._softmax(logits, w, place)
+            out[order] += logs
             if grad is not None:
-                d = e / total[:, None]
-                d[inside, at] -= 1
-                grad["w"][k] += s.T @ d
-                grad["wb"][k] += d.sum(0)
-                back[own] += d @ self.part["w"][k].T
+                logits *= (1 / total).reshape(-1, BLOCK, 1)
+                logits.reshape(-1)[place] -= 1
+                moved = (s_own.transpose(0, 2, 1) @ logits).reshape(len(w_own), -1)
+                moved = ((used[:, None] == of_block).astype(np.float32) @ moved).reshape(-1, HIDDEN + 1, PER)
+                grad["w"][used] += moved[:, :-1]
+                grad["wb"][used] += moved[:, -1]
+                moved = np.take((logits @ w_own[:, :-1].transpose(0, 2, 1)).reshape(-1, HIDDEN), slot, axis=0)
+                moved += np.take(back, order, axis=0)
+                back[order] = moved
         return (out, back) if grad is not None else out
 
     def gradient(self, inputs, targets, alive, h, fresh=None):
-        """Of one window, cut at its start and where a text begins. ``alive``: T x B. Returns the gradients, views of one flat array kept with them, and the last state."""
-        flat = Network(np.zeros_like(self.flat, np.float32))
-        grad = flat.part
-        states, memo = self.steps(inputs, h, True, fresh)
+        """Of one window, cut at its start and where a text begins. ``alive``: T x B. Returns the gradients, views of one flat array kept until the next call, and the last state."""
+        if self.gradients is None:
+            self.gradients = Network(np.zeros_like(self.flat, np.float32))
+        self.gradients.flat.fill(0)
+        grad = self.gradients.part
+        states, (before, gates, lined) = self.steps(inputs, h, True, fresh)
         begins = np.zeros(len(inputs), bool) if fresh is None else fresh.any(1)
-        back = np.zeros(states.shape, np.float32)
-        _, d = self.log_probability(states[alive], targets[alive], grad)
-        back[alive] = d
-        carry, u, moves = np.zeros_like(h), self.part["u"], np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
+        _, d = self.log_probability(_cells(states, alive), _cells(targets, alive), grad)
+        back = np.zeros((len(inputs), HIDDEN, inputs.shape[1]), np.float32)
+        if alive.all():
+            back[:] = d.reshape(states.shape).transpose(0, 2, 1)
+        else:
+            back.transpose(0, 2, 1)[alive] = d
+        last = states[-1].copy()
+        if begins.any():
+            before *= ~fresh[:, None]
+        # What does not wait for the step after is computed for all steps together, in place of the gates: what r, z and u's share of n
+        # take of the gradient of the state.
+        moves = gates.reshape(len(inputs), 3, HIDDEN, -1)
+        r, z, n = moves[:, 0], moves[:, 1], moves[:, 2]
+        kept, rest, inner = z.copy(), 1 - z, n * n
+        np.subtract(1, inner, out=inner)
+        inner *= rest
+        z *= rest
+        z *= before - n
+        np.multiply(inner, r, out=n)
+        lined *= n
+        np.subtract(1, r, out=r)
+        r *= lined
+        carry, u = np.float32(0), self.part["u"]
         for t in reversed(range(len(inputs))):
-            before, r, z, n, gn = memo[t]
-            d = back[t] + carry
-            move, rest = moves[t], 1 - z
-            dr, dz, dn = move[:, :HIDDEN], move[:, HIDDEN:2 * HIDDEN], move[:, 2 * HIDDEN:]
-            np.multiply(d * rest, 1 - n * n, out=dn)
-            np.multiply(d * (before - n), z * rest, out=dz)
-            np.multiply(dn * gn, r * (1 - r), out=dr)
-            dg = move.copy()
-            dg[:, 2 * HIDDEN:] *= r
-            grad["u"] += before.T @ dg
-            carry = d * z
-            carry += dg @ u.T
+            d, move = back[t], moves[t]
+            d += carry
+            move *= d
+            carry = u @ gates[t]
+            d = kept[t]
+            d *= back[t]
+            carry += d
             if begins[t]:
-                carry[fresh[t]] = 0
+                carry *= ~fresh[t]
+        rows = gates.transpose(0, 2, 1)
+        grad["u"] += (before @ rows).sum(0)
+        np.multiply(back, inner, out=n)
         symbols = inputs.ravel()
         order = np.argsort(symbols.astype(np.int16), kind="stable")
-        first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-        grad["x"][symbols[order[first]]] = np.add.reduceat(moves.reshape(-1, 3 * HIDDEN)[order], first)
-        self.gradients = flat.flat
-        return grad, states[-1]
+        symbols = symbols[order]
+        first = np.flatnonzero(np.concatenate([[True], symbols[1:] != symbols[:-1]]))
+        # Seen as complex numbers, two values are added at once.
+        rows = np.take(rows.reshape(-1, 3 * HIDDEN), order, axis=0)
+        grad["x"][symbols[first]] = np.add.reduceat(rows.view(np.complex64), first).view(np.float32)
+        return grad, last
+
+
+def _cells(values: np.ndarray, alive: np.ndarray) -> np.ndarray:
+    """The values of the cells that hold a symbol, in a row."""
+    return values.reshape(-1, *values.shape[2:]) if alive.all() else values[alive]
 
 
 class _Streams:
@@ -225,7 +314,7 @@ def score_symbols(net: Network, symbols: list[np.ndarray], end: int) -> np.ndarr
     for live, alive, place in streams.windows(32):
         states, _ = net.steps(streams.before[place], h[:live], False, streams.fresh[place])
         there = place[alive]
-        logs[there] = net.log_probability(states[alive], streams.flat[there])
+        logs[there] = net.log_probability(_cells(states, alive), streams.flat[there])
         h = states[-1]
     out[streams.order] = np.add.reduceat(logs, streams.text)
     return out / np.log(10)
@@ -234,23 +323,29 @@ def score_symbols(net: Network, symbols: list[np.ndarray], end: int) -> np.ndarr
 def train_shard(flat: np.ndarray, symbols: list[np.ndarray], end: int) -> np.ndarray:
     """One pass of Adam over the windows of a shard's documents, which are cut into segments of ``SEGMENT`` symbols."""
     net = Network(flat.copy())
-    m, v, step = np.zeros_like(net.flat), np.zeros_like(net.flat), 0
+    m, v, root, step = np.zeros_like(net.flat), np.zeros_like(net.flat), np.empty_like(net.flat), 0
     pieces = [x[at:at + SEGMENT] for x in symbols for at in range(0, len(x), SEGMENT)]
     streams = _Streams(pieces, LANES, end)
     h = np.zeros((len(streams.length), HIDDEN), np.float32)
     for live, alive, place in streams.windows(STEPS):
         _, h = net.gradient(streams.before[place], streams.flat[place], alive, h[:live], streams.fresh[place])
         n = int(alive.sum())
-        g = net.gradients
+        g = net.gradients.flat
         g *= np.float32(1 / n)
         step += 1
-        m += np.float32(0.1) * (g - m)
+        np.subtract(g, m, out=root)
+        root *= np.float32(0.1)
+        m += root
         g *= g
-        v += np.float32(0.01) * (g - v)
+        g -= v
+        g *= np.float32(0.01)
+        v += g
         # The corrections of both means as factors, so that few arrays are made.
-        root = np.sqrt(v)
+        np.sqrt(v, out=root)
         root += np.float32(1e-6 * (1 - 0.99**step) ** 0.5)
-        net.flat -= np.float32(RATE * min(1.0, n / 1000) * (1 - 0.99**step) ** 0.5 / (1 - 0.9**step)) * (m / root)
+        np.divide(m, root, out=root)
+        root *= np.float32(RATE * min(1.0, n / 1000) * (1 - 0.99**step) ** 0.5 / (1 - 0.9**step))
+        net.flat -= root
     return net.flat
 
 
@@ -261,15 +356,11 @@ def _training(documents: DataFrame) -> DataFrame:
 def word_counts(documents: DataFrame) -> DataFrame:
     """word (binary), c: over all texts with one end mark each; combined per batch before the shuffle."""
     def count(batches):
-        for pdf in batches:
-            for at in range(0, len(pdf), 2000):
-                seen = Counter()
-                for text in pdf["text"].iloc[at:at + 2000].fillna(""):
-                    seen.update(words_of(text))
-                if seen:
-                    yield pd.DataFrame({"word": list(seen), "c": list(seen.values())})
+        for batch in _slices(batches):
+            _, number, words = words_of(pc.fill_null(batch.column("text"), ""))
+            yield pa.record_batch({"word": words, "c": np.bincount(number, minlength=len(words))})
 
-    return documents.select("text").mapInPandas(count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    return documents.select("text").mapInArrow(count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _most_frequent(counts: DataFrame) -> pd.DataFrame:
@@ -288,14 +379,13 @@ def _most_frequent(counts: DataFrame) -> pd.DataFrame:
 def _tail_totals(counts: DataFrame, known: dict) -> np.ndarray:
     """Sum of c + 0.5 over the words of each tail class."""
     def total(batches):
-        for pdf in batches:
-            out = np.zeros(TAILS)
-            for word, c in zip(pdf["word"], pdf["c"], strict=True):
-                if bytes(word) not in known:
-                    out[tail_class(bytes(word))] += c + 0.5
-            yield pd.DataFrame({"kind": np.arange(TAILS), "total": out})
-
-    got = counts.mapInPandas(total, "kind int, total double").groupBy("kind").agg(F.sum("total").alias("total")).toPandas()  # TAILS rows
+        for batch in batches:
+            words = batch.column("word")
+            tail = _places(known.get, _listed(words)) < 0
+            out = np.bincount(tail_classes(words)[tail], batch.column("c").to_numpy()[tail] + 0.5, TAILS)
+            yield pa.record_batch({"kind": np.arange(TAILS, dtype=np.int32), "total": out.astype(np.float64)})  # of no words they are whole numbers
+
+    got = counts.mapInArrow(total, "kind int, total double").groupBy("kind").agg(F.sum("total").alias("total")).toPandas()  # TAILS rows
     out = np.zeros(TAILS)
     out[got["kind"]] = got["total"]
     return out
@@ -312,11 +402,11 @@ def _train(documents: DataFrame, start: Network, known: dict) -> np.ndarray:
         now = spark.sparkContext.broadcast((flat, known))
         part = F.pmod(F.xxhash64(F.lit("shard"), "doc_id", "text", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
 
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        def run(rows: pa.Table) -> pa.Table:
             weights, vocabulary = now.value
-            symbols = _symbols(pdf.sort_values(["doc_id", "text"])["text"].tolist(), vocabulary)
+            symbols = _symbols(rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])["text"].combine_chunks(), vocabulary)
             out = train_shard(weights, symbols, vocabulary[END])
-            return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "n": [sum(len(s) for s in symbols)], "weights": [out.astype(np.float64).tobytes()]})
+            return pa.table({"shard": rows["shard"][:1], "n": [sum(len(s) for s in symbols)], "weights": pa.array([out.astype(np.float64).tobytes()], pa.binary())})
 
         def average(pdf: pd.DataFrame) -> pd.DataFrame:
             n = pdf["n"].to_numpy(np.float64)
@@ -324,7 +414,7 @@ def _train(documents: DataFrame, start: Network, known: dict) -> np.ndarray:
             return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "n": [int(n.sum())], "weights": [total.tobytes()]})
 
         schema = "shard int, n bigint, weights binary"
-        trained = saved(train.where(F.col("round") == turn).select("doc_id", "text", part.alias("shard")).groupBy("shard").applyInPandas(run, schema), "lm-weights")
+        trained = saved(train.where(F.col("round") == turn).select("doc_id", "text", part.alias("shard")).groupBy("shard").applyInArrow(run, schema), "lm-weights")
         while shards > 1:
             shards = -(-shards // FAN)
             trained = saved(trained.withColumn("shard", F.pmod("shard", F.lit(shards))).groupBy("shard").applyInPandas(average, schema), "lm-weights")
@@ -337,17 +427,11 @@ def _places(get, words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
 
 
-def _symbols(texts: list[str], known: dict) -> list[np.ndarray]:
-    out, met = [], dict(known)  # with the tail classes of the words met
-    for text in texts:
-        words = words_of(text)
-        found = _places(met.get, words)
-        for i in np.flatnonzero(found < 0).tolist():
-            found[i] = met[words[i]] = MODELLED + tail_class(words[i])
-        if len(met) > MET:
-            met = dict(known)
-        out.append(found)
-    return out
+def _symbols(texts: pa.Array, known: dict) -> list[np.ndarray]:
+    begin, number, words = words_of(texts)
+    symbol = _places(known.get, _listed(words))
+    symbol = np.where(symbol < 0, MODELLED + tail_classes(words), symbol)
+    return np.split(symbol[number], begin[1:-1])
 
 
 def score_documents(documents: DataFrame) -> DataFrame:
@@ -365,51 +449,41 @@ def score_documents(documents: DataFrame) -> DataFrame:
     head_counts = np.array([head[w] for w in modelled] + [0] * (MODELLED - len(modelled)), np.float64)
     totals = _tail_totals(counts, known)
     flat = _train(docs, Network.start(head_counts, totals), known)
-    # Of the words whose counts travel: place -> symbol, log10(c + 0.5), whether seen, whether outside the network.
+    # Of the words whose counts travel: place -> symbol, log10(c + 0.5), whether seen.
     words = list(head)
-    symbol = np.array([known[w] if w in known else MODELLED + tail_class(w) for w in words], np.int64)
+    symbol = _places(known.get, words)
+    symbol = np.where(symbol < 0, MODELLED + tail_classes(pa.array(words, pa.binary())), symbol)
     logs = np.log10(np.array([head[w] for w in words], np.float64) + 0.5)
-    seen, outside = np.array([head[w] > 0 for w in words]), symbol >= MODELLED
-    sent = spark.sparkContext.broadcast((flat, {w: i for i, w in enumerate(words)}, symbol, logs, seen, outside, known[END], np.log10(totals + 0.5)))
-    schema = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, logs double, score double, tail double, word binary, times int"
+    seen = np.array([head[w] > 0 for w in words])
+    sent = spark.sparkContext.broadcast((flat, {w: i for i, w in enumerate(words)}, symbol, logs, seen, known[END], np.log10(totals + 0.5)))
+    schema = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, logs double, score double, tail double, words array<binary>, times array<bigint>"
 
     def run(batches):
-        flat, places, symbol, logs, seen, outside, end, tail_logs = sent.value
-        net, place = Network(flat.copy()), places.get
-        for pdf in batches:
-            for at in range(0, len(pdf), SCORED):
-                part = pdf.iloc[at:at + SCORED]
-                symbols, n_known, sums, tails, rare_row, rare_word, rare_times = [], [], [], [], [], [], []
-                for row, text in zip(part["row"].tolist(), part["text"].fillna("").tolist(), strict=True):
-                    words = words_of(text)
-                    at_head = _places(place, words)
-                    away = np.flatnonzero(at_head < 0)
-                    ids = symbol[at_head]
-                    if len(away):
-                        far = [words[i] for i in away.tolist()]
-                        ids[away] = [MODELLED + tail_class(w) for w in far]
-                        counted = Counter(far)
-                        rare_row += [row] * len(counted)
-                        rare_word += counted.keys()
-                        rare_times += counted.values()
-                        at_head = at_head[at_head >= 0]
-                    near = logs[at_head]
-                    symbols.append(ids)
-                    n_known.append(int(seen[at_head].sum()))
-                    sums.append(float(near.sum()))
-                    # In the tail a word's probability is its count over its class's total.
-                    tails.append(float(near[outside[at_head]].sum() - tail_logs[ids[ids >= MODELLED] - MODELLED].sum()))
-                yield pd.DataFrame({
-                    "row": part["row"], "doc_id": part["doc_id"], "n_tokens": [len(x) for x in symbols], "n_known": n_known, "logs": sums,
-                    "score": score_symbols(net, symbols, end), "tail": tails, "word": None, "times": None})
-                if rare_row:
-                    yield pd.DataFrame({
-                        "row": rare_row, "doc_id": None, "n_tokens": None, "n_known": None, "logs": None, "score": None, "tail": None, "word": rare_word, "times": rare_times})
-
-    read = saved(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInPandas(run, schema), "lm-scored")
-    base = read.where("word is null").drop("word", "times")
+        flat, places, symbol, logs, seen, end, tail_logs = sent.value
+        net = Network(flat.copy())
+        for batch in _slices(batches):
+            begin, number, words = words_of(pc.fill_null(batch.column("text"), ""))
+            at_head = _places(places.get, _listed(words))
+            away = at_head < 0
+            # Of each different word: symbol, log10(c + 0.5) and whether it is seen, as far as its count is here.
+            ids, near, there = np.where(away, MODELLED + tail_classes(words), symbol[at_head]), np.where(away, 0, logs[at_head]), seen[at_head] & ~away
+            # In the tail a word's probability is its count over its class's total.
+            tail = np.where(ids >= MODELLED, near - tail_logs[np.maximum(ids - MODELLED, 0)], 0)
+            far = np.flatnonzero(away[number])
+            of = np.searchsorted(begin, far, "right") - 1
+            pairs, times = np.unique(of * len(words) + number[far], return_counts=True)
+            bounds = np.searchsorted(pairs, np.arange(len(begin)) * len(words)).astype(np.int32)
+            yield pa.record_batch({
+                "row": batch.column("row"), "doc_id": batch.column("doc_id"), "n_tokens": np.diff(begin), "n_known": np.add.reduceat(there[number].astype(np.int64), begin[:-1]),
+                "logs": np.add.reduceat(near[number], begin[:-1]), "score": score_symbols(net, np.split(ids[number], begin[1:-1]), end),
+                "tail": np.add.reduceat(tail[number], begin[:-1]),
+                "words": pa.ListArray.from_arrays(bounds, words.take(pa.array(pairs % len(words)))), "times": pa.ListArray.from_arrays(bounds, times)})
+
+    read = saved(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(run, schema), "lm-scored")
+    base = read.drop("words", "times")
     c = F.coalesce("c", F.lit(0))
-    rare = read.where("word is not null").select("row", "word", "times").join(counts, "word", "left").groupBy("row").agg(
+    # Words whose counts did not travel, with how often the row holds them.
+    rare = read.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times")).join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(c + 0.5)).alias("rare_logs"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"))
     found = base.join(rare, "row", "left")
     rare_logs = F.coalesce("rare_logs", F.lit(0.0))

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -359,6 +360,70 @@ def test_language_model_learns_from_every_training_row(spark, tmp_path, monkeypa
     assert max(map(sum, shards)) < 1500
 
 
+def test_language_model_writes_one_row_a_document(spark, monkeypatch):
+    # Words whose counts do not travel stay in their document's row until they are joined, and their counts are whole.
+    rows_of, real = {}, language_model.saved
+
+    def noted(df, name):
+        out = real(df, name)
+        rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(language_model, "saved", noted)
+    monkeypatch.setattr(language_model, "HEAD", 3)
+    rows = [(i, " ".join(f"W{i * j % 17} w{j}" for j in range(i % 7))) for i in range(60)] + [(None, None), (None, ""), (3, "only here"), (1, "Far FAR far w1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6)) for r in language_model.score_documents(docs).collect())
+    assert rows_of["lm-scored"] == len(rows)
+    counts = {}
+    for i, t in rows:
+        for w in [*(t or "").lower().split(), "\n"] if i is None or hash_mod(i) != 1 else []:
+            counts[w] = counts.get(w, 0) + 1
+    n, v = sum(counts.values()), len(counts)
+    assert v > 10
+    texts = [(i, [*(t or "").lower().split(), "\n"]) for i, t in rows]
+    assert got == sorted((str(i), len(t), sum(w in counts for w in t), round(sum(np.log10((counts.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))) for w in t), 6)) for i, t in texts)
+
+
+def test_words_of_odd_texts():
+    texts = ["", "  ", " a  B\t", "\u00c9 x\u0085y \x1cz\x0b", "\n", "\u00e9", " " * 5 + "Z", "a.b a.b, \u4e2d!"]
+    for rows in (pa.array(texts), pa.array(["x y", *texts, "end"]).slice(1, len(texts)), pa.array(texts[:1])):
+        begin, number, words = language_model.words_of(rows)
+        different = words.to_pylist()
+        assert len(set(different)) == len(different)
+        assert [[different[i] for i in x] for x in np.split(number, begin[1:-1])] == [[*t.encode().lower().split(), language_model.END] for t in rows.to_pylist()]
+    words = pa.array([b"ab", b"a.", b"\xc3\xa9!", b"z\xe4", b"\xe4\xb8\xad", b"\x80"], pa.binary())
+    assert language_model.tail_classes(words).tolist() == [1, 17, 8 + ((0xA9 >> 2) & 7) + 16, 8, 8 + ((0xB8 >> 2) & 7), 0]
+    assert language_model.tail_classes(words.slice(2, 2)).tolist() == language_model.tail_classes(words).tolist()[2:4]
+    assert language_model.tail_classes(words[:0]).tolist() == []
+
+
+def test_gradient_across_texts_and_classes():
+    # Streams of unlike length with texts that begin inside, more rows of a class than a block, one class with a single row: as numeric differences.
+    rng = np.random.default_rng(5)
+    net = language_model.Network.start(rng.integers(1, 50, language_model.MODELLED), rng.integers(1, 50, language_model.TAILS).astype(float))
+    net.flat += rng.normal(0, 0.1, len(net.flat)).astype(np.float32)
+    steps, wide, per = 6, 9, language_model.PER
+    x, y = rng.integers(0, 1050, (steps, wide)), rng.integers(3 * per, 4 * per, (steps, wide))
+    y[0, :3] = 5 * per + 1, 1030, 1055
+    alive = np.arange(steps)[:, None] < np.array([6, 6, 6, 6, 5, 5, 4, 2, 1])
+    fresh, h = rng.random((steps, wide)) < 0.2, rng.uniform(-0.5, 0.5, (wide, language_model.HIDDEN)).astype(np.float32)
+    grad, last = net.gradient(x, y, alive, h, fresh)
+    grad = {k: v.copy() for k, v in grad.items()}
+    wider = language_model.Network(net.flat.astype(np.float64))
+    loss = lambda: -wider.log_probability(wider.steps(x, h.astype(np.float64), False, fresh)[0][alive], y[alive]).sum()
+    assert np.allclose(last, wider.steps(x, h.astype(np.float64), False, fresh)[0][-1], atol=1e-5)
+    for name, part in wider.part.items():
+        for at in [np.unravel_index(i, part.shape) for i in rng.choice(np.flatnonzero(np.abs(grad[name].ravel()) > 1e-3), 12)]:
+            old = part[at]
+            part[at] = old + 1e-5
+            up = loss()
+            part[at] = old - 1e-5
+            down = loss()
+            part[at] = old
+            assert abs((up - down) / 2e-5 - grad[name][at]) < 1e-3 + 0.005 * abs(grad[name][at])
+
+
 def hash_mod(doc_id):
     import zlib
 
