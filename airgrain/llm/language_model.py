@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import crc_mod, saved, table
 
 HEAD, MODELLED, CLASSES, TAILS, HIDDEN, STEPS, LANES, SCORE_LANES, SEGMENT, SCORED, BYTES = 50_000, 1024, 32, 32, 16, 16, 128, 512, 4096, 5000, 1 << 24
-SHARD, ROUNDS, RATE, FAN, BLOCK = 1 << 22, 2, 0.02, 32, 16
+SHARD, ROUNDS, RATE, FAN, BLOCK, BUILT = 1 << 22, 2, 0.02, 32, 16, 1 << 20
 END = b"\n"  # no word holds whitespace
 PER = MODELLED // CLASSES
 KIND = np.concatenate([np.arange(MODELLED) // PER, CLASSES + np.arange(TAILS)])  # a symbol's class
@@ -482,8 +482,10 @@ def score_documents(documents: DataFrame) -> DataFrame:
     read = saved(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(run, schema), "lm-scored")
     base = read.drop("words", "times")
     c = F.coalesce("c", F.lit(0))
-    # Words whose counts did not travel, with how often the row holds them.
-    rare = read.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times")).join(counts, "word", "left").groupBy("row").agg(
+    # Words whose counts did not travel, with how often the row holds them. While a partition's counts fit into memory many times over, nothing is sorted.
+    few = v <= BUILT * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rare = read.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times"))
+    rare = rare.join(counts.hint("shuffle_hash") if few else counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(c + 0.5)).alias("rare_logs"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"))
     found = base.join(rare, "row", "left")
     rare_logs = F.coalesce("rare_logs", F.lit(0.0))
