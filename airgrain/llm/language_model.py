@@ -79,6 +79,7 @@ def _listed(words: pa.Array) -> list[bytes]:
 
 def tail_classes(words: pa.Array) -> np.ndarray:
     """Of words (binary, none empty) outside the network's vocabulary: by the first non-ASCII letter, else the first byte, and the closing mark."""
+    words = words.cast(pa.binary())
     _, bounds, data = words.buffers()
     bounds = np.frombuffer(bounds, np.int32)[words.offset:words.offset + len(words) + 1]
     data = np.frombuffer(data, np.uint8)[:bounds[-1]] if len(words) else np.zeros(0, np.uint8)
