@@ -56,7 +56,7 @@ from airgrain.schemas import (
     WEATHER_DOCUMENT,
     WEATHER_NUMERIC,
 )
-from airgrain.session import scratch_path
+from airgrain.session import scratch_path, shuffles_released
 from airgrain.sources.documents import read_pollutant, read_weather
 from airgrain.sources.files import to_records, write_csv
 from airgrain.sources.store import Store, compact, current, publish
@@ -509,7 +509,10 @@ def _pollutant_documents(rows: DataFrame) -> DataFrame:
 
 
 def _land(df: DataFrame, path: str) -> None:
-    df.write.mode("append").options(**JSON_TIME).json(path)
+    """Packed to an eighth; a task cannot share a packed file with others, so files are kept short."""
+    packed = {"compression": "gzip", "maxRecordsPerFile": 250_000}
+    with shuffles_released(df.sparkSession):
+        df.write.mode("append").options(**JSON_TIME, **packed).json(path)
 
 
 def json_weather(spark: Spark, d: str) -> DataFrame:

@@ -75,21 +75,38 @@ def refresh_average(
     are summed apart, then their few sums are weighted and added, so a hot day uses many tasks.
     ``text`` columns keep their first known value.
     """
-    order = [order] if isinstance(order, str) else list(order)
-    rows = new.select(*keys, *order, *values, *text, F.lit(1).alias("_origin"),
-                      (F.lit(0) if segment is None else segment).alias(SEG))
-    if stored is not None:
-        kept = stored.select(*keys, *values, *text).withColumn("_origin", F.lit(0))
-        rows = rows.unionByName(kept, allowMissingColumns=True)
-    if mode == "true_mean" or batch == "together":
-        source = rows.where("_origin = 1") if mode == "true_mean" else rows
+    if mode == "true_mean":
+        order = [order] if isinstance(order, str) else list(order)
         means = {c: f"avg({quoted(c)})" for c in values}
-        firsts = {c: first_known(c, ["_origin", *order]) for c in text}
-        return source.groupBy(*keys).agg(*aggregates(means | firsts))
+        return new.withColumn("_origin", F.lit(1)).groupBy(*keys).agg(*aggregates(means | _firsts(text, order)))
+    summary = refresh_summary(new, values, keys, order, text, batch, segment)
+    return refreshed(summary, values, keys, stored, text, batch)
+
 
-    run = ["_origin", SEG]
-    backwards = over([*keys, *run], order, reverse=True)
-    to_end = over([*keys, *run], order, reverse=True, frame=UP_TO)
+def _firsts(text: Sequence[str], order: Sequence[str] = ()) -> dict[str, str]:
+    return {c: first_known(c, ["_origin", *order]) for c in text}
+
+
+def refresh_summary(
+    new: DataFrame,
+    values: Sequence[str],
+    keys: Sequence[str] = (*KEYS, DAY),
+    order: Order = "seq",
+    text: Sequence[str] = (),
+    batch: str = "sequential",
+    segment: Column | None = None,
+) -> DataFrame:
+    """What ``refreshed`` needs of new observations, one row per key: of each value the number of known ones, their
+    (weighted) sum and, unless all weigh the same, the first one; of ``text`` the first known."""
+    order = [order] if isinstance(order, str) else list(order)
+    rows = new.select(*keys, *order, *values, *text, (F.lit(0) if segment is None else segment).alias(SEG))
+    if batch == "together":
+        sums = {f"_n_{c}": f"count({quoted(c)})" for c in values} | {f"_s_{c}": f"sum({quoted(c)})" for c in values}
+        return rows.withColumn("_origin", F.lit(1)).groupBy(*keys).agg(*aggregates(sums | _firsts(text, order)))
+
+    run = [*keys, SEG]
+    backwards = over(run, order, reverse=True)
+    to_end = over(run, order, reverse=True, frame=UP_TO)
     # per run: known values, their sum weighted from the run's end, and the run's first value,
     # which is the one with the most known values from it to the end
     counts = {f"_k_{c}": f"count({quoted(c)}) {to_end}" for c in values}
@@ -99,20 +116,53 @@ def refresh_average(
     per_run |= {f"_s_{c}": f"sum({quoted(c)} * pow(0.5D, {quoted('_k_' + c)}))" for c in values}
     per_run |= {f"_f_{c}": _at_largest(c, f"_k_{c}") for c in values}
     per_run |= {c: _at_largest(c, "_rn") for c in text}
-    runs = with_expressions(rows, counts).groupBy(*keys, *run).agg(*aggregates(per_run))
+    runs = with_expressions(rows, counts).groupBy(*run).agg(*aggregates(per_run))
+    return _in_a_row(runs, values, keys, SEG, text)
+
 
-    later = over(keys, run, reverse=True, frame=BEFORE)
+def _in_a_row(
+    parts: DataFrame, values: Sequence[str], keys: Sequence[str], place: str, text: Sequence[str]
+) -> DataFrame:
+    """Summaries that follow each other along ``place``, as one summary per key."""
+    later = over(keys, [place], reverse=True, frame=BEFORE)
     after = {f"_a_{c}": f"coalesce(sum({quoted('_n_' + c)}) {later}, 0)" for c in values}
-    runs = with_expressions(runs, {"_run": f"row_number() {over(keys, run, reverse=True)}"} | after)
+    placed = with_expressions(parts, {"_run": f"row_number() {over(keys, [place], reverse=True)}"} | after)
+    total = {f"_n_{c}": f"sum({quoted('_n_' + c)})" for c in values}
+    total |= {f"_s_{c}": f"sum({quoted('_s_' + c)} * pow(0.5D, {quoted('_a_' + c)}))" for c in values}
+    total |= {f"_f_{c}": _at_largest("_f_" + c, "_run") for c in values}
+    total |= {c: _at_largest(c, "_run") for c in text}
+    return placed.groupBy(*keys).agg(*aggregates(total))
+
 
-    def combined(c: str) -> str:
-        s, n, a = (quoted(f"_{x}_{c}") for x in "sna")
-        total = f"sum({s} * pow(0.5D, {a}))"
+def refreshed(
+    summary: DataFrame,
+    values: Sequence[str],
+    keys: Sequence[str] = (*KEYS, DAY),
+    stored: DataFrame | None = None,
+    text: Sequence[str] = (),
+    batch: str = "sequential",
+) -> DataFrame:
+    """The refresh average of stored values with the new ones of a ``refresh_summary``."""
+    together = batch == "together"
+    if stored is not None:
+        known = {f"_n_{c}": f"CAST({quoted(c)} IS NOT NULL AS bigint)" for c in values}
+        known |= {f"_s_{c}": quoted(c) if together else f"{quoted(c)} * 0.5D" for c in values}
+        known |= {} if together else {f"_f_{c}": quoted(c) for c in values}
+        kept = stored.selectExpr(*map(quoted, keys), *[f"{e} AS {quoted(c)}" for c, e in known.items()],
+                                 *map(quoted, text), "0 AS _origin")
+        parts = summary.withColumn("_origin", F.lit(1)).unionByName(kept)
+        if together:
+            sums = {c: f"sum({quoted(c)})" for c in known}
+            summary = parts.groupBy(*keys).agg(*aggregates(sums | _firsts(text)))
+        else:
+            summary = _in_a_row(parts, values, keys, "_origin", text)
+
+    def value(c: str) -> str:
+        n, total, first = (quoted(f"_{x}_{c}") for x in "nsf")
         # x1 weighs as much as x2, so it is added once more with the weight it already has
-        return f"{total} + {_at_largest('_f_' + c, '_run')} * pow(0.5D, sum({n}))"
+        return f"{total} / nullif({n}, 0)" if together else f"{total} + {first} * pow(0.5D, {n})"
 
-    result = {c: combined(c) for c in values} | {c: _at_largest(c, "_run") for c in text}
-    return runs.groupBy(*keys).agg(*aggregates(result))
+    return summary.selectExpr(*map(quoted, keys), *[f"{value(c)} AS {quoted(c)}" for c in values], *map(quoted, text))
 
 
 def _at_largest(col: str, rank: str) -> str:

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airgrain.functions.sub_index import with_aqi
-from airgrain.operators.aggregates import refresh_average
+from airgrain.operators.aggregates import refresh_summary, refreshed
 from airgrain.operators.columns import select_features
 from airgrain.operators.joins import build_raw
-from airgrain.operators.series import time_segment
+from airgrain.operators.series import SEG, time_segment
 from airgrain.plans.cleaning import clean_weather
 from airgrain.plans.model import check_horizon, first_day, forecast, load_or_train, save_model, train
 from airgrain.plans.register import compact_registered, known_series
@@ -27,51 +27,86 @@ from airgrain.schemas import (
     WEATHER_NUMERIC,
     WEATHER_TEXT,
 )
+from airgrain.session import shuffles_released
 from airgrain.sources.files import read_csv_table
-from airgrain.sources.store import Store, current, publish, write_targets
+from airgrain.sources.store import Store, current, publish, remove_folder, write_targets
 
 DAILY = (*KEYS, DAY)
 FETCH = "fetched_at"
+SCORED = (*POLLUTANTS, *SUB_INDEXES, "AQI")
 
 
-def refreshed_tables(
-    weather: DataFrame,
-    pollutant: DataFrame,
-    stored_weather: DataFrame | None = None,
-    stored_pollutant: DataFrame | None = None,
-    batch: str = "sequential",
-    segment_seconds: int = 3600,
-) -> dict[str, DataFrame]:
-    """The daily rows of all four tables for the days in the batch.
+def batch_summaries(
+    weather: DataFrame, pollutant: DataFrame, batch: str = "sequential", segment_seconds: int = 3600
+) -> tuple[DataFrame, DataFrame]:
+    """What the refresh average needs of a batch: for each kind one row per series and day.
 
     ``weather`` and ``pollutant`` are rows of ``sources.documents``: typed, with ``fetched_at``. Each fetch is cleaned on
     its own, as it would be if it came alone; a pollutant fetch is a single row, which
-    interpolation leaves as it is, so that step needs no window here. Of the stored rows those of
-    days in either batch take part, so a day with news of one kind is joined anew too.
+    interpolation leaves as it is, so that step needs no window here.
+
+    The rows of each kind are shuffled once, up to the sums of the runs: all windows on weather rows are by series and
+    run at least, and the sub-indices are computed behind the shuffle.
     """
-    cleaned_weather = clean_weather(weather, [*KEYS, FETCH], DAY)
-    scored = with_aqi(pollutant.where(F.col(DAY).isNotNull()))
     runs = time_segment(FETCH, segment_seconds)
+    fetches = weather.withColumn(SEG, runs).repartition(*KEYS, SEG)
+    cleaned = clean_weather(fetches, [*KEYS, SEG, FETCH], DAY)
+    air = pollutant.where(F.col(DAY).isNotNull()).select(*DAILY, FETCH, *POLLUTANTS).withColumn(SEG, runs)
+    if batch == "sequential":
+        air = air.repartition(*DAILY, SEG)
+
+    def summary(rows, numeric, text):
+        return refresh_summary(rows, numeric, DAILY, FETCH, text, batch, F.col(SEG))
+
+    return summary(cleaned, WEATHER_NUMERIC, WEATHER_TEXT), summary(with_aqi(air), SCORED, ())
+
+
+def merged_days(
+    weather: DataFrame,
+    pollutant: DataFrame,
+    stored_weather: DataFrame | None = None,
+    stored_pollutant: DataFrame | None = None,
+    batch: str = "sequential",
+) -> tuple[DataFrame, DataFrame]:
+    """Both averaged tables from the two ``batch_summaries``, for the days in the batch. Of the stored rows those of
+    days in either summary take part, so a day with news of one kind is joined anew too."""
     days = weather.select(*DAILY).union(pollutant.select(*DAILY)).distinct()
 
-    def refresh(new, stored, numeric, text):
+    def refresh(summary, stored, numeric, text):
         if stored is not None:
             stored = stored.join(days, list(DAILY), "left_semi")
-        return refresh_average(
-            new, numeric, DAILY, FETCH, stored, text, batch=batch, segment=runs
-        )
+        return refreshed(summary, numeric, DAILY, stored, text, batch)
 
-    daily_weather = refresh(cleaned_weather, stored_weather, WEATHER_NUMERIC, WEATHER_TEXT)
-    daily_pollutant = refresh(scored, stored_pollutant, (*POLLUTANTS, *SUB_INDEXES, "AQI"), ())
-    raw = build_raw(daily_weather, daily_pollutant)
+    return (
+        refresh(weather, stored_weather, WEATHER_NUMERIC, WEATHER_TEXT),
+        refresh(pollutant, stored_pollutant, SCORED, ()),
+    )
+
+
+def daily_tables(weather: DataFrame, pollutant: DataFrame) -> dict[str, DataFrame]:
+    """All four tables from the two averaged ones."""
+    raw = build_raw(weather, pollutant)
     return {
-        "weather_data": daily_weather,
-        "pollutant_data": daily_pollutant,
+        "weather_data": weather,
+        "pollutant_data": pollutant,
         "raw_data": raw,
         "cleaned_data": select_features(raw, strict=False),
     }
 
 
+def refreshed_tables(
+    weather: DataFrame,
+    pollutant: DataFrame,
+    stored_weather: DataFrame | None = None,
+    stored_pollutant: DataFrame | None = None,
+    batch: str = "sequential",
+    segment_seconds: int = 3600,
+) -> dict[str, DataFrame]:
+    """The daily rows of all four tables for the days in the batch."""
+    summaries = batch_summaries(weather, pollutant, batch, segment_seconds)
+    return daily_tables(*merged_days(*summaries, stored_weather, stored_pollutant, batch))
+
+
 def refresh_daily(
     weather: DataFrame,
     pollutant: DataFrame,
@@ -81,18 +116,25 @@ def refresh_daily(
 ) -> bool:
     """Merge one batch of fetched rows into the four daily tables, all or none.
 
-    Only the store's periods that the batch has days in are read. The batch and the two averaged
-    tables are persisted, since each is read several times.
+    Only the store's periods that the batch has days in are read. The batch is read once, one kind after the other, and
+    may be larger than all memory: what is kept of it is a row per series and day, in the store's folder until the run
+    ends, and its shuffle files go as soon as a kind is summed up. The two averaged tables are persisted, since each is
+    read several times.
     """
     if store.is_committed(run_id):
         return False
-    weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
-    pollutant = pollutant.persist(StorageLevel.MEMORY_AND_DISK)
+    folder = store.path("_batches", run_id)
     try:
-        return _merge_batch(weather, pollutant, store, run_id, batch)
+        with shuffles_released(weather.sparkSession):
+            kinds = zip(("weather", "pollutant"), batch_summaries(weather, pollutant, batch), strict=True)
+            return _merge_batch(*[_kept(df, f"{folder}/{kind}") for kind, df in kinds], store, run_id, batch)
     finally:
-        weather.unpersist()
-        pollutant.unpersist()
+        remove_folder(store.spark, folder)
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _merge_batch(
@@ -104,27 +146,18 @@ def _merge_batch(
     if not found:
         return False
     periods = sorted(r["period"] for r in found)
-    tables = refreshed_tables(
-        weather,
-        pollutant,
-        current(store, "weather_data", periods=periods),
-        current(store, "pollutant_data", periods=periods),
-        batch,
+    daily_weather, daily_pollutant = (
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+        for df in merged_days(
+            weather,
+            pollutant,
+            current(store, "weather_data", periods=periods),
+            current(store, "pollutant_data", periods=periods),
+            batch,
+        )
     )
-    daily_weather = tables["weather_data"].persist(StorageLevel.MEMORY_AND_DISK)
-    daily_pollutant = tables["pollutant_data"].persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        raw = build_raw(daily_weather, daily_pollutant)
-        return publish(
-            {
-                "weather_data": daily_weather,
-                "pollutant_data": daily_pollutant,
-                "raw_data": raw,
-                "cleaned_data": select_features(raw, strict=False),
-            },
-            store,
-            run_id,
-        )
+        return publish(daily_tables(daily_weather, daily_pollutant), store, run_id)
     finally:
         daily_weather.unpersist()
         daily_pollutant.unpersist()

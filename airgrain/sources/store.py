@@ -4,6 +4,7 @@ Layout::
 
     <root>/<table>/run_id=<run>/_period=<yyyy-MM>/part-*.parquet
     <root>/_commits/part-*.json            one line per (run, table)
+    <root>/_batches/<run>/                 what a running refresh keeps of its batch
 
 A run writes its rows to every table first and its commit lines, in one file, last. Readers take
 committed runs only, so a failed run stays invisible. Commits are numbered; rows of a later commit
@@ -110,6 +111,11 @@ def make_folder(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def append_rows(df: DataFrame, store: Store, table: str, run_id: str) -> None:
     """Write one run's rows of one table; invisible until committed. A run repeated before its
     commit overwrites its own folder."""

@@ -1,15 +1,18 @@
 import json
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import column
 
+from airgrain.checks.queries import JSON_TIME, _land
 from airgrain.operators.columns import conform
-from airgrain.plans import register, views as Q
+from airgrain.plans import refresh, register, views as Q
 from airgrain.plans.model import load_or_train, model_version
 from airgrain.plans.register import compact_registered, known_series
-from airgrain.plans.refresh import bootstrap, daily_job, hourly_job, publish_forecast, refresh_daily
+from airgrain.plans.refresh import bootstrap, daily_job, hourly_job, publish_forecast, refresh_daily, refreshed_tables
 from airgrain.schemas import CLEANED, EVALUATION, FORECAST, POLLUTANT_DOCUMENT, RAW, TABLES, WEATHER, WEATHER_DOCUMENT
+from airgrain.session import CLEANUP
 from airgrain.sources.documents import pollutant_rows, read_pollutant, read_weather, weather_rows
 from airgrain.sources.files import jdbc_options, read_csv_table, to_records, write_records
 from airgrain.sources.store import Store, append_rows, compact, current, load_table, publish, replace_table, write_targets
@@ -253,6 +256,63 @@ def test_streamed_refresh_equals_the_runs(spark, store, tmp_path):
     assert len(store.runs("cleaned_data")) == 2
 
 
+def test_fetches_of_several_days_are_averaged_day_by_day(spark, store):
+    """Each fetch fills its own gaps; the days of an hour's fetches are then folded in the order of fetching."""
+    days = ("2025-01-01", "2025-01-02", "2025-01-03")
+    fetches = [(datetime(2025, 1, 1, 5, 10), (None, 8.0, None)), (datetime(2025, 1, 1, 5, 20), (10.0, None, 30.0)), (datetime(2025, 1, 2, 7), (4.0, 12.0, None))]
+    docs = [{"fetched_at": at, "days": [day(d, temp=t) for d, t in zip(days, temps, strict=True)]} for at, temps in fetches]
+    air = spark.createDataFrame([], POLLUTANT_DOCUMENT)
+    for run, some in (("0001", docs[:2]), ("0002", docs[2:])):
+        refresh_daily(weather_rows(weather_document(spark, *some)), pollutant_rows(air, None, "UTC"), store, run)
+    assert column(current(store, "weather_data"), "temp") == [((8 + 10) / 2 + 4) / 2, ((8 + 20) / 2 + 12) / 2, ((8 + 30) / 2 + 12) / 2]
+
+
+@pytest.mark.parametrize("table", ["weather_data", "pollutant_data"])
+def test_rows_of_a_batch_are_shuffled_once(spark, table):
+    weather, air = fetch(spark, 1, 10.0, 20.0)
+    tables = refreshed_tables(weather_rows(weather), pollutant_rows(air, None, "UTC"))
+    plan = tables[table]._jdf.queryExecution().executedPlan().toString()
+    # one shuffle of the rows, one of the runs' sums
+    assert plan.count("Exchange hashpartitioning") == 2
+    # what is computed from the rows does not travel with them
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line][-1]
+    assert "_segment" in moved and "AQI_pm25" not in plan[plan.rindex("Exchange hashpartitioning"):]
+
+
+def disk_files(spark, prefix):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith(prefix)}
+
+
+def test_a_batch_leaves_no_rows_on_disk(spark, store, monkeypatch):
+    weather, air = fetch(spark, 1, 10.0, 20.0)
+    seen = []
+
+    def merge(weather, pollutant, *args):
+        seen.append((disk_files(spark, "shuffle_") - before, [f.name for f in Path(store.path("_batches", "0001")).iterdir()]))
+        return merged(weather, pollutant, *args)
+
+    merged = refresh._merge_batch
+    monkeypatch.setattr(refresh, "_merge_batch", merge)
+    setting = spark.conf.get(CLEANUP, None)
+    before = disk_files(spark, "shuffle_")
+    assert refresh_daily(weather_rows(weather), pollutant_rows(air, None, "UTC"), store, "0001")
+    (files, kept), = seen
+    assert not files and sorted(kept) == ["pollutant", "weather"]
+    assert not store.exists("_batches", "0001") and spark.conf.get(CLEANUP, None) == setting
+
+
+def test_landed_documents_are_packed(spark, tmp_path):
+    weather, _ = fetch(spark, 1, 10.0, 20.0)
+    documents = weather.crossJoin(spark.range(2000)).drop("id").coalesce(1)
+    _land(documents, str(tmp_path / "packed"))
+    documents.write.options(**JSON_TIME).json(str(tmp_path / "plain"))
+    size = {kind: sum(f.stat().st_size for f in (tmp_path / kind).glob("part-*")) for kind in ("packed", "plain")}
+    assert size["packed"] * 4 < size["plain"]
+    packed, plain = (read_weather(spark, str(tmp_path / kind)) for kind in ("packed", "plain"))
+    assert packed.count() == 2000 and packed.exceptAll(plain).isEmpty()
+
+
 AIR = {"fetched_at": "2025-01-01T01:00:00Z", "data": {"aqi": 1.0, "iaqi": {"pm25": {"v": 20.0}}}}
 SKY = {"fetched_at": "2025-01-01T01:00:00Z", "days": [{"datetime": "2025-01-01", "temp": 10.0}]}
 
